@@ -86,10 +86,11 @@ BLOCK = 4096
 def numbered_copies(templates: DataFrame, copies: Column, number: str = "number") -> DataFrame:
     """`copies` rows per template, numbered from 1. Numbers are made in blocks that are spread over
     all tasks before they unfold, so one template with very many copies is no bottleneck."""
+    tasks = int(templates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (templates.withColumn("_copies", copies.cast("long")).where(F.col("_copies") > 0)
               .withColumn("_block", F.explode(F.sequence(
                   F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / BLOCK))))
-              .repartition())
+              .repartition(tasks, *templates.columns, "_block"))
     first = F.col("_block") * BLOCK + 1
     return (blocks.withColumn(number, F.explode(F.sequence(
                 first, F.least(F.col("_copies"), first + (BLOCK - 1)))))

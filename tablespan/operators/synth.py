@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablespan.functions.checks import nip_check_digit
+from tablespan.functions.checks import NIP_WEIGHTS
 from tablespan.functions.draws import draw, draw_from
 from tablespan.operators.ordinals import running_total
 
@@ -39,15 +39,24 @@ def digits(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
 
-def nip_number(row_no: Column) -> Column:
-    """A valid ten-digit number for each row number from 0, all different. Eight digits are a
-    permutation of the row number; the ninth is the one of a pair (0/1, 2/3, ...) that gives a
-    check digit below 10, which at least one of the two does."""
-    prefix = digits((F.pmod(row_no, F.lit(NIP_PREFIXES)) * NIP_STEP + NIP_SHIFT) % NIP_PREFIXES, 8)
-    pair = F.floor(row_no / NIP_PREFIXES) * 2
-    low, high = F.concat(prefix, pair.cast("string")), F.concat(prefix, (pair + 1).cast("string"))
-    body = F.when(nip_check_digit(low) < 10, low).otherwise(high)
-    return F.concat(body, nip_check_digit(body).cast("string"))
+def with_nip(rows: DataFrame, row_no: str, name: str) -> DataFrame:
+    """Add a valid ten-digit number for each row number from 0, all different. Eight digits are a
+    permutation of the row number; the ninth is the one of a pair (0/1, 2/3, ...) that leaves a
+    check digit below 10, which at least one of the two does. Built in steps, each a short
+    expression over the columns of the one before."""
+    row = F.when(F.col(row_no) < NIP_CAPACITY, F.col(row_no)).otherwise(
+        F.raise_error(F.lit(f"more than {NIP_CAPACITY} unique numbers asked for")).cast("long"))
+    weighted = " + ".join(f"{w} * (_prefix div {10 ** (7 - i)} % 10)" for i, w in enumerate(NIP_WEIGHTS[:8]))
+    last = NIP_WEIGHTS[8]
+    return (rows
+            .withColumn("_row", row)
+            .withColumn("_prefix", F.expr(f"(_row % {NIP_PREFIXES} * {NIP_STEP} + {NIP_SHIFT}) % {NIP_PREFIXES}"))
+            .withColumn("_sum", F.expr(weighted))
+            .withColumn("_ninth", F.expr(f"_row div {NIP_PREFIXES} * 2"))
+            .withColumn("_ninth", F.expr(f"_ninth + if((_sum + {last} * _ninth) % 11 = 10, 1, 0)"))
+            .withColumn(name, F.concat(digits(F.col("_prefix"), 8), F.col("_ninth").cast("string"),
+                                       F.expr(f"string((_sum + {last} * _ninth) % 11)")))
+            .drop("_row", "_prefix", "_sum", "_ninth"))
 
 
 def postcode(row_no: Column) -> Column:
@@ -91,16 +100,14 @@ def persons_for(rows: DataFrame, row_no: str, office_total: int | Column, seed:
     sex = F.when(draw(row, "sex", seed, 0, 2) == 0, F.lit("m")).otherwise(F.lit("k"))
     name = F.when(F.col("OSO_PLEC") == "m", draw_from(row, "male", seed, MALE_NAMES)).otherwise(
         draw_from(row, "female", seed, FEMALE_NAMES))
-    fits = F.when(row < NIP_CAPACITY, nip_number(row)).otherwise(
-        F.raise_error(F.lit(f"more than {NIP_CAPACITY} unique numbers asked for")).cast("string"))
-    return rows.withColumn("OSO_PLEC", sex).select(
+    return with_nip(rows, row_no, "OSO_NIP").withColumn("OSO_PLEC", sex).select(
         (row + 1).alias("OSOK_1_ID"),
         name.alias("OSO_IMIE"),
         draw_from(row, "surname", seed, SURNAMES).alias("OSO_NAZWISKO"),
         "OSO_PLEC",
         birth_date(row, seed).alias("OSO_DATA_URODZENIA"),
         F.lit(None).cast("string").alias("OSO_PESEL"),
-        fits.alias("OSO_NIP"),
+        "OSO_NIP",
         draw_from(row, "street", seed, STREETS).alias("OSO_ULICA"),
         flat_number(row, "person", seed).alias("OSO_NR_LOKALU"),
         (draw(row, "office", seed, 0, office_total) + 1).alias("ADR_ID"))
