@@ -9,30 +9,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablespan.operators.ordinals import running_total, top_in_group
+from tablespan.operators.relational import keep_empty_join
+from tablespan.scratch import written_table
 
 CHUNK = 50  # declared bound of a record collection
 
 
 def nest(df: DataFrame, keys: list[str], children: list[str], order: list[str],
          name: str = "items", chunk: int = CHUNK, **sampling) -> DataFrame:
-    """(keys, chunk_no, items): the child records of each parent in `order`. A row whose child
-    columns are all NULL (from an outer join) gives its parent an empty array."""
+    """(keys, chunk_no, items): the child records of each parent in `order`."""
     numbered = running_total(df, keys, order, "_pos", **sampling)
-    present = F.coalesce(*[F.col(c).cast("string") for c in children]).isNotNull()
     record = F.struct("_pos", *children)
     return (numbered.withColumn("chunk_no", F.floor((F.col("_pos") - 1) / chunk).cast("long"))
             .groupBy(*keys, "chunk_no")
-            .agg(F.array_sort(F.collect_list(F.when(present, record))).alias("_items"))
+            .agg(F.array_sort(F.collect_list(record)).alias("_items"))
             .select(*keys, "chunk_no", F.transform(
                 "_items", lambda r: F.struct(*[r[c].alias(c) for c in children])).alias(name)))
 
 
+def nest_under(parents: DataFrame, parent_key: str, df: DataFrame, child_key: str,
+               children: list[str], order: list[str], name: str = "items", chunk: int = CHUNK,
+               **sampling) -> DataFrame:
+    """Every parent with its child records. Children are nested before the join, which then moves
+    one row per chunk; a parent without any gets chunk 0 with an empty array."""
+    nested = nest(df, [child_key], children, order, name, chunk, **sampling)
+    empty = F.array().cast(nested.schema[name].dataType)
+    return (keep_empty_join(parents, parent_key, nested, child_key)
+            .select(*parents.columns, F.coalesce("chunk_no", F.lit(0)).alias("chunk_no"),
+                    F.coalesce(name, empty).alias(name)))
+
+
 def count_map(df: DataFrame, keys: list[str], entry: str, name: str = "counts",
               **sampling) -> DataFrame:
     """(keys, chunk_no, map of entry -> rows), at most CHUNK entries per map, keys ascending.
     Counting happens first, so only distinct entries are collected."""
     counted = (df.where(F.col(entry).isNotNull()).groupBy(*keys, entry)
                .agg(F.count(F.lit(1)).alias("_n")))
+    counted = written_table(counted, "entry-counts")  # read several times below
     nested = nest(counted, keys, [entry, "_n"], [entry], "_entries", **sampling)
     return nested.select(*keys, "chunk_no", F.map_from_entries("_entries").alias(name))
 

@@ -1,7 +1,8 @@
 """Running totals and ordinals that stay parallel when one group holds most of the rows.
 
-A plain window sorts each group in one task. Here a group that is large is cut into ranges of its
-own order, each range is totalled on its own, and the totals of the earlier ranges are added:
+A plain window sorts each group in one task, which is right for a table of few rows only. Beyond
+that a group that is large is cut into ranges of its own order, each range is totalled on its own,
+and the totals of the earlier ranges are added:
 
 1.  a sample of bounded size (chosen by a hash of the order columns, hence the same on every
     evaluation) shows which groups are large and where to cut them;
@@ -18,20 +19,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+PLAIN_ROWS = 1 << 14  # up to this many rows in the whole table a plain window is used
 SAMPLE_ROWS = 8192   # expected sample size
 LARGE_GROUP = 64     # a group with this many sampled rows (about 1 in 128 of all) is cut
 RANGE_ROWS = 16      # sampled rows per range: at most 512 ranges in all
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
-
-
-def _cuts(df: DataFrame, keys: list[str], order: list[str], sample_rows: int,
-          large_group: int, range_rows: int) -> DataFrame:
-    """One row per large group with the order values that end its ranges. At most
-    sample_rows / large_group groups and sample_rows / range_rows values in total."""
-    step = df.agg(F.greatest(F.floor(F.count(F.lit(1)) / sample_rows), F.lit(1)).cast("long")).scalar()
+def _cuts(df: DataFrame, keys: list[str], order: list[str], step: int, large_group: int,
+          range_rows: int) -> DataFrame:
+    """One row per large group with the order values that end its ranges, from a sample of one row
+    in `step`: at most sample / large_group groups and sample / range_rows values in total."""
     sampled = (df.select(*keys, F.struct(*order).alias("_at"))
                .where(F.pmod(F.xxhash64("_at"), step) == 0)
                .distinct())
@@ -44,11 +41,13 @@ def _cuts(df: DataFrame, keys: list[str], order: list[str], sample_rows: int,
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal",
-                  weight: str | None = None, sample_rows: int = SAMPLE_ROWS,
-                  large_group: int = LARGE_GROUP, range_rows: int = RANGE_ROWS) -> DataFrame:
+                  weight: str | None = None, plain_rows: int = PLAIN_ROWS,
+                  sample_rows: int = SAMPLE_ROWS, large_group: int = LARGE_GROUP,
+                  range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add `name`: the sum of `weight` (1 per row if None) over the rows of the same `keys` up to
     and including this one in ascending `order`, NULLs first. `keys` may be empty, for one total
-    over the whole table. `order` should identify a row within its group."""
+    over the whole table. `order` should identify a row within its group. Reads `df` several times:
+    write the result of a costly query first."""
     if large_group < range_rows:
         raise ValueError("large_group must be at least range_rows")
     columns = df.columns
@@ -56,8 +55,15 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], name: str =
     rows = df.withColumn("_all", F.lit(0)) if not keys else df
     rows = rows.withColumn("_w", F.col(weight) if weight else F.lit(1).cast("long"))
 
+    total_rows = df.count()
+    if total_rows <= plain_rows:
+        window = (Window.partitionBy(*group).orderBy(*order)
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return rows.select(*columns, F.sum("_w").over(window).alias(name))
+    step = max(1, total_rows // sample_rows)
+
     # bounded: see _cuts
-    cuts = F.broadcast(_cuts(rows, group, order, sample_rows, large_group, range_rows)
+    cuts = F.broadcast(_cuts(rows, group, order, step, large_group, range_rows)
                        .withColumnsRenamed({k: f"_cut_{k}" for k in group}))
     same_group = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in group])
     ranged = (rows.join(cuts, same_group, "left")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablespan.operators.ordinals import running_total
+from tablespan.scratch import written_table
 
 MAX_BUCKETS = 254  # declared upper bound of histogram buckets
 
@@ -83,6 +84,7 @@ def frequency_histogram(df: DataFrame, column: str, **sampling) -> DataFrame:
     """(value, n, endpoint): rows per value and the running number of rows in value order."""
     counts = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
               .agg(F.count(F.lit(1)).alias("n")))
+    counts = written_table(counts, "value-counts")  # read several times below
     return running_total(counts, [], ["value"], "endpoint", weight="n", **sampling)
 
 
@@ -91,7 +93,7 @@ def height_balanced_histogram(df: DataFrame, column: str, buckets: int = MAX_BUC
     """(bucket, endpoint) for buckets 1..B: the smallest value up to which at least ceil(b*N/B)
     rows lie. Exact, for any ordered type, texts included."""
     ranked = frequency_histogram(df, column, **sampling)
-    total = df.agg(F.count(column)).scalar()
+    total = ranked.agg(F.sum("n")).scalar()
     return (ranked.withColumn("_total", total)
             .withColumn("_from", F.expr(f"((endpoint - n) * {buckets}) div _total") + 1)
             .withColumn("_to", F.expr(f"(endpoint * {buckets}) div _total"))

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablespan.functions.text import contains_ci
+from tablespan.scratch import written_table
 
 # ---------------------------------------------------------------- filters
 
@@ -129,7 +130,7 @@ def references_or_creates(facts: DataFrame, name_col: str, dim: DataFrame, dim_i
     from tablespan.operators.ordinals import running_total
 
     names = facts.select(F.col(name_col).alias(dim_name)).where(F.col(dim_name).isNotNull()).distinct()
-    new = names.join(dim.select(dim_name), dim_name, "left_anti")
+    new = written_table(names.join(dim.select(dim_name), dim_name, "left_anti"), "new-names")
     top = dim.agg(F.coalesce(F.max(dim_id), F.lit(0)).cast("long")).scalar()
     created = (running_total(new, [], [dim_name], "_n")
                .select((F.col("_n") + top).alias(dim_id), dim_name))

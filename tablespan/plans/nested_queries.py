@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tablespan.functions import arrays
 from tablespan.operators import nested
-from tablespan.operators.relational import keep_empty_join
 from tablespan.plans.registry import Tables, query
 
 
@@ -38,8 +37,8 @@ def _(t: Tables):
 def _(t: Tables):
     # doubled keys: about half of the customers find no order and get one empty array
     customers = t.customer.select("c_custkey", (F.col("c_custkey") * 2).alias("_twice"))
-    joined = keep_empty_join(customers, "_twice", t.orders.select("o_custkey", "o_orderkey"), "o_custkey")
-    return (nested.nest(joined.select("c_custkey", "o_orderkey"), ["c_custkey"], ["o_orderkey"], ["o_orderkey"])
+    return (nested.nest_under(customers, "_twice", t.orders.select("o_custkey", "o_orderkey"), "o_custkey",
+                              ["o_orderkey"], ["o_orderkey"])
             .select("c_custkey", "chunk_no", F.size("items").cast("long").alias("n"),
                     _texts("items", "o_orderkey").alias("orders")))
 

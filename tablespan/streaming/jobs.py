@@ -103,9 +103,13 @@ def running_counts(rows: DataFrame, key: str, label: str, path: str | None = Non
     return entries.groupBy(key).agg(F.max_by("n", "batch").alias("n"))
 
 
-def first_arrivals(rows: DataFrame, keys: list[str], ts: str, within: str) -> DataFrame:
+def first_arrivals(rows: DataFrame, keys: list[str], ts: str, within: str,
+                   stored: DataFrame | None = None) -> DataFrame:
     """The first row per key; later rows with the same key are refused for at least `within`, after
-    which the key is forgotten, so that state does not grow without end."""
+    which the key is forgotten, so that state does not grow without end. Keys in the table `stored`
+    are refused from the start."""
+    if stored is not None:
+        rows = rows.join(stored.select(*keys).distinct(), keys, "left_anti")
     return rows.withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
 
 
