@@ -14,19 +14,18 @@ TYPES = {
     "long": T.LongType(), "int": T.IntegerType(), "text": T.StringType(),
     "ts": T.TimestampType(), "ntz": T.TimestampNTZType(), "date": T.DateType(),
     "double": T.DoubleType(), "binary": T.BinaryType(),
-    "texts": T.ArrayType(T.StringType()),
+    "texts": T.ArrayType(T.StringType()), "decimal(10,1)": T.DecimalType(10, 1),
 }
 
 
 def column(name: str, kind: str, max_len: int | None = None, nullable: bool = False,
            default=None) -> T.StructField:
-    data_type = TYPES[kind] if kind in TYPES else T.StructType.fromDDL(f"c {kind}")["c"].dataType
     notes = {}
     if max_len is not None:
         notes["max_len"] = max_len
     if default is not None:
         notes["default"] = default
-    return T.StructField(name, data_type, nullable, notes)
+    return T.StructField(name, TYPES[kind], nullable, notes)
 
 
 @dataclass(frozen=True)
