@@ -42,7 +42,8 @@ def checked_predicate(df: DataFrame, text: str, allowed: list[str]) -> Column:
         raise ValueError("empty predicate; use 1=1 to select every row")
     if re.search(r"\bselect\b", text, re.IGNORECASE):
         raise ValueError("a predicate may not contain a query")
-    df.select(*allowed).where(text).schema  # analysis fails on any other column
+    only_allowed = df.sparkSession.createDataFrame([], df.select(*allowed).schema)
+    only_allowed.where(text).schema  # analysis fails on any other column
     return F.expr(text)
 
 
