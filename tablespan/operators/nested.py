@@ -34,7 +34,7 @@ def nest_under(parents: DataFrame, parent_key: str, df: DataFrame, child_key: st
     one row per chunk; a parent without any gets chunk 0 with an empty array."""
     nested = nest(df, [child_key], children, order, name, chunk, **sampling)
     empty = F.array().cast(nested.schema[name].dataType)
-    return (keep_empty_join(parents, parent_key, nested, child_key)
+    return (keep_empty_join(parents, parent_key, nested, child_key, right_keys=df)
             .select(*parents.columns, F.coalesce("chunk_no", F.lit(0)).alias("chunk_no"),
                     F.coalesce(name, empty).alias(name)))
 

@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 PLAIN_ROWS = 1 << 14  # up to this many rows in the whole table a plain window is used
 SAMPLE_ROWS = 8192   # expected sample size
 LARGE_GROUP = 64     # a group with this many sampled rows (about 1 in 128 of all) is cut
-RANGE_ROWS = 16      # sampled rows per range: at most 512 ranges in all
+RANGE_ROWS = 16      # sampled rows per range: about 512 ranges in all
+HALVINGS = tuple(1 << n for n in range(9, -1, -1))
 
 
 def _cuts(df: DataFrame, keys: list[str], order: list[str], step: int, large_group: int,
@@ -51,39 +52,38 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], name: str =
     if large_group < range_rows:
         raise ValueError("large_group must be at least range_rows")
     columns = df.columns
-    group = keys or ["_all"]
-    rows = df.withColumn("_all", F.lit(0)) if not keys else df
-    rows = rows.withColumn("_w", F.col(weight) if weight else F.lit(1).cast("long"))
-
+    rows = df.withColumn("_w", F.col(weight) if weight else F.lit(1).cast("long"))
     total_rows = df.count()
     if total_rows <= plain_rows:
-        window = (Window.partitionBy(*group).orderBy(*order)
+        window = (Window.partitionBy(*keys).orderBy(*order)
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return rows.select(*columns, F.sum("_w").over(window).alias(name))
-    step = max(1, total_rows // sample_rows)
-
-    # bounded: see _cuts
-    cuts = F.broadcast(_cuts(rows, group, order, step, large_group, range_rows)
-                       .withColumnsRenamed({k: f"_cut_{k}" for k in group}))
-    same_group = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in group])
-    ranged = (rows.join(cuts, same_group, "left")
-              .withColumn("_at", F.struct(*order))
-              .withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-                  F.size(F.filter("_cuts", lambda c: c < F.col("_at")))))
-              .drop("_at", *[f"_cut_{k}" for k in group]))
-
-    # one total per (large group, range); the window below sees at most 513 rows per group
+
+    cuts = _cuts(rows, keys, order, max(1, total_rows // sample_rows), large_group, range_rows)
+    cut_keys = [f"_cut_{k}" for k in keys]
+    same_group = reduce(lambda a, b: a & b,
+                        [F.col(k).eqNullSafe(F.col(c)) for k, c in zip(keys, cut_keys)], F.lit(True))
+    if keys:  # bounded: see _cuts
+        ranged = rows.join(F.broadcast(cuts.toDF(*cut_keys, "_cuts")), same_group, "left").drop(*cut_keys)
+    else:
+        ranged = rows.withColumn("_cuts", cuts.scalar())
+    # number of cuts before this row, found by ten halving steps; other rows have no cuts
+    search = F.aggregate(
+        F.array(*[F.lit(n) for n in HALVINGS]), F.lit(0),
+        lambda at, n: F.when(F.get("_cuts", at + n - 1) < F.col("_at"), at + n).otherwise(at))
+    ranged = (ranged.withColumn("_at", F.struct(*order))
+              .withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(search)))
+
+    # one total per (large group, range); the window below sees one row per range of a group
     totals = (ranged.where(F.col("_cuts").isNotNull())
-              .groupBy(*group, "_range").agg(F.sum("_w").alias("_sum")))
-    before = (Window.partitionBy(*group).orderBy("_range")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carried = F.broadcast(totals.select(
-        *[F.col(k).alias(f"_cut_{k}") for k in group], F.col("_range").alias("_cut_range"),
-        F.sum("_sum").over(before).alias("_carried")))
-
-    within = (Window.partitionBy(*group, "_range").orderBy(*order)
+              .groupBy(*keys, "_range").agg(F.sum("_w").alias("_sum")))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.broadcast(totals.select(*keys, "_range", F.sum("_sum").over(before).alias("_carried"))
+                          .toDF(*cut_keys, "_cut_range", "_carried"))
+
+    within = (Window.partitionBy(*keys, "_range").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ranged.withColumn("_local", F.sum("_w").over(within))
+    return (ranged.select(*columns, "_w", "_range").withColumn("_local", F.sum("_w").over(within))
             .join(carried, same_group & (F.col("_range") == F.col("_cut_range")), "left")
             .select(*columns, (F.col("_local") + F.coalesce(F.col("_carried"), F.lit(0))).alias(name)))
 

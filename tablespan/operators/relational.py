@@ -59,14 +59,17 @@ def child_counts(parents: DataFrame, parent_key: str, children: DataFrame, child
             .select(*parents.columns, F.coalesce("_n", F.lit(0)).alias(name)))
 
 
-def keep_empty_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+def keep_empty_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
+                    right_keys: DataFrame | None = None) -> DataFrame:
     """Left outer join for a right side that may repeat one key very often.
 
     Spark splits a skewed partition only on the preserved side of an outer join, but on both sides
     of an inner one. So: the inner join, plus the left rows without partner padded with NULLs; the
-    second part needs only the distinct right keys, which are reduced before their shuffle."""
+    second part needs only the distinct right keys, which are reduced before their shuffle. They can
+    be given as `right_keys` where they are cheaper to get than from `right`."""
     matched = left.join(right, left[left_key] == right[right_key], "inner")
-    keys = right.select(F.col(right_key).alias("_key")).distinct()
+    source = right if right_keys is None else right_keys
+    keys = source.select(F.col(right_key).alias("_key")).distinct()
     alone = left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
     return matched.unionByName(alone.select(*left.columns, *padding))
@@ -84,6 +87,13 @@ def semi_chain(target: DataFrame, steps: list[tuple[str, DataFrame, str, str | N
     return target.join(keys, F.col(outer_col) == F.col("_in"), "left_semi")
 
 
+def resolved_by_code(df: DataFrame, code_col: str, parent: DataFrame, parent_code: str,
+                     parent_id: str, name: str) -> DataFrame:
+    """Add the id of the parent that has the given unique code, NULL when there is none."""
+    codes = parent.select(F.col(parent_code).alias("_code"), F.col(parent_id).alias(name))
+    return df.join(codes, F.col(code_col) == F.col("_code"), "left").drop("_code")
+
+
 def byte_size(df: DataFrame) -> Column:
     """Aggregate: an upper estimate of the bytes of all rows."""
     total = F.lit(0).cast("long")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablespan.functions import checks
 from tablespan.operators import quality
+from tablespan.operators.relational import resolved_by_code
 from tablespan.plans.registry import Tables, query
 
 _BODY = "lpad(CAST((c_custkey * 7919 + 123456789) % 1000000000 AS STRING), 9, '0')"
@@ -74,6 +75,18 @@ def _(t: Tables):
     return quality.validated(flagged, [(-20009, F.col("found"))]).select("o_orderkey", "code")
 
 
+@query("resolve_by_code", """
+    SELECT o_orderkey, c_custkey AS customer_id, CASE WHEN c_custkey IS NULL THEN -20001 END AS code
+    FROM orders LEFT JOIN customer ON 'Customer#' || lpad(CAST(o_custkey + 50 AS VARCHAR), 9, '0') = c_name""")
+def _(t: Tables):
+    # the other form of an insert: the parent is given by its unique code instead of its id
+    name = F.concat(F.lit("Customer#"), F.lpad((F.col("o_custkey") + 50).cast("string"), 9, "0"))
+    incoming = t.orders.select("o_orderkey", name.alias("ref"))
+    found = resolved_by_code(incoming, "ref", t.customer, "c_name", "c_custkey", "customer_id")
+    return (quality.validated(found, [(-20001, F.col("customer_id").isNotNull())])
+            .select("o_orderkey", "customer_id", "code"))
+
+
 @query("length_audit", """
     SELECT doc_id, 'text' AS column_name, length(text) AS length FROM documents WHERE length(text) < 40 OR length(text) > 4000
     UNION ALL

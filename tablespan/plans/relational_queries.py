@@ -95,12 +95,12 @@ def _(t: Tables):
     LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON l_partkey = p_partkey
     WHERE c_nationkey = 7""")
 def _(t: Tables):
-    # lines join their part first, so the chain has one expansion per level
-    lines = (t.lineitem.select("l_orderkey", "l_partkey")
-             .join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"), "left"))
+    # from the one nation outwards, so that each join sees only what is left
     customers = t.customer.where("c_nationkey = 7").select("c_custkey")
     orders = rel.keep_empty_join(customers, "c_custkey", t.orders.select("o_custkey", "o_orderkey"), "o_custkey")
-    return (rel.keep_empty_join(orders, "o_orderkey", lines, "l_orderkey")
+    lines = rel.keep_empty_join(orders, "o_orderkey", t.lineitem.select("l_orderkey", "l_partkey"), "l_orderkey")
+    part = t.part.select("p_partkey", "p_name")
+    return (lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
             .select("c_custkey", "o_orderkey", "l_partkey", "p_name"))
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tablespan.functions import text
 from tablespan.operators import pseudo
+from tablespan.operators.ordinals import running_total
+from tablespan.operators.relational import search_titles
 from tablespan.plans.registry import Tables, query
 from tablespan.scratch import new_path
 from tablespan.sources.tables import write_report
@@ -47,6 +49,19 @@ def _(t: Tables):
     return write_report(joined, line, new_path(t.spark, "report"))
 
 
+@query("search_report", """
+    SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS VARCHAR) || '. Znaleziono: ' || p_name || ' z kategorii: '
+      || COALESCE(n_name, 'Brak') AS line
+    FROM part LEFT JOIN nation ON p_partkey % 30 = n_nationkey WHERE lower(p_name) LIKE '%ring%'""")
+def _(t: Tables):
+    n = t.nation
+    found = search_titles(t.part.select("p_partkey", "p_name"), "p_name", "RING")
+    numbered = running_total(found, [], ["p_partkey"], "number")
+    return (numbered.join(n, F.col("p_partkey") % 30 == n.n_nationkey, "left")
+            .select(text.joined(F.col("number"), ". Znaleziono: ", F.col("p_name"), " z kategorii: ",
+                                F.coalesce("n_name", F.lit("Brak"))).alias("line")))
+
+
 @query("age_years", "SELECT o_orderkey, 2026 - CAST(year(o_orderdate) AS BIGINT) AS age FROM orders")
 def _(t: Tables):
     today = F.lit("2026-01-01").cast("date")
