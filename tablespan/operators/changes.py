@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tablespan.functions.draws import draw, draw_from
 from tablespan.operators.ordinals import running_total
 from tablespan.operators.relational import checked_predicate
+from tablespan.scratch import table_or_empty
 from tablespan.sources.contracts import Contract, aligned
 
 
@@ -147,12 +148,7 @@ class SnapshotTable:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _versions(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(VERSIONS).parquet(f"{self.folder}/published")
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return self.spark.createDataFrame([], VERSIONS)
-            raise
+        return table_or_empty(self.spark, f"{self.folder}/published", VERSIONS)
 
     def current(self) -> DataFrame | None:
         newest = self._versions().orderBy(F.desc("version")).first()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -75,16 +76,25 @@ def keep_empty_join(left: DataFrame, left_key: str, right: DataFrame, right_key:
     return matched.unionByName(alone.select(*left.columns, *padding))
 
 
-def semi_chain(target: DataFrame, steps: list[tuple[str, DataFrame, str, str | None]]) -> DataFrame:
-    """Nested IN queries from the outside in. Each step is (outer column, inner table, inner
-    column, column of the inner table that the next step restricts). Inner keys are made distinct
-    first: the same shuffle serves both, and repeated keys shrink before it."""
-    outer_col, inner, inner_col, next_col = steps[0]
-    if len(steps) > 1:
-        rest = [(next_col, *steps[1][1:]), *steps[2:]]
-        inner = semi_chain(inner, rest)
-    keys = inner.select(F.col(inner_col).alias("_in")).distinct()
-    return target.join(keys, F.col(outer_col) == F.col("_in"), "left_semi")
+class Level(NamedTuple):
+    """One IN of a nested query: rows whose `outer` is among the `key` values of `table`. Say
+    `unique` when `key` identifies the rows of `table`."""
+
+    outer: str
+    table: DataFrame
+    key: str
+    unique: bool = False
+
+
+def semi_chain(target: DataFrame, levels: list[Level]) -> DataFrame:
+    """Nested IN queries, outermost first; the `outer` of a level is a column of the table before
+    it. Keys that may repeat are made distinct first: the same shuffle serves both steps, and a
+    frequent key shrinks to one row per task before it."""
+    first, rest = levels[0], levels[1:]
+    inner = semi_chain(first.table, rest) if rest else first.table
+    keys = inner.select(F.col(first.key).alias("_in"))
+    keys = keys if first.unique else keys.distinct()
+    return target.join(keys, F.col(first.outer) == F.col("_in"), "left_semi")
 
 
 def resolved_by_code(df: DataFrame, code_col: str, parent: DataFrame, parent_code: str,

@@ -105,17 +105,19 @@ def _(t: Tables):
 
 
 @query("collection_update", f"""
-    SELECT p_partkey, array_to_string(CASE
-      WHEN p_partkey % 2 = 0 AND p_partkey % 3 = 0 THEN list_concat(a, list_filter([w2, 'nowy', 'nowy'], lambda x: NOT list_contains(a, x)))
-      WHEN p_partkey % 2 = 0 AND p_partkey % 3 = 1 THEN [w2, 'nowy', 'nowy'] ELSE a END, ',') AS words
-    FROM {PAIR_LISTS}""")
+    WITH pairs AS (SELECT * FROM {PAIR_LISTS})
+    SELECT p.p_partkey, array_to_string(CASE
+      WHEN c.p_partkey % 3 = 0 THEN list_concat(p.a, list_filter([c.w2, 'nowy', 'nowy'], lambda x: NOT list_contains(p.a, x)))
+      WHEN c.p_partkey % 3 = 1 THEN [c.w2, 'nowy', 'nowy'] ELSE p.a END, ',') AS words
+    FROM pairs p LEFT JOIN pairs c ON p.p_partkey = c.p_partkey * 2""")
 def _(t: Tables):
-    # a change table with a row for every second key: append, overwrite, or an unknown mode
+    # a change table of doubled keys, so about half of the parts have a change: append, overwrite,
+    # or an unknown mode
     pairs = _pairs(t)
-    mode = (F.when(F.col("p_partkey") % 3 == 0, arrays.APPEND_MODE)
-            .when(F.col("p_partkey") % 3 == 1, arrays.OVERWRITE_MODE).otherwise("?"))
-    changes = pairs.where("p_partkey % 2 = 0").select(
-        F.col("p_partkey").alias("_key"), F.array("w2", F.lit("nowy"), F.lit("nowy")).alias("extra"), mode.alias("mode"))
-    return (pairs.join(changes, F.col("p_partkey") == F.col("_key"), "left")
+    key = F.col("p_partkey")
+    mode = (F.when(key % 3 == 0, arrays.APPEND_MODE).when(key % 3 == 1, arrays.OVERWRITE_MODE).otherwise("?"))
+    changes = pairs.select((key * 2).alias("_key"), F.array("w2", F.lit("nowy"), F.lit("nowy")).alias("extra"),
+                           mode.alias("mode"))
+    return (pairs.join(changes, key == F.col("_key"), "left")
             .select("p_partkey", F.array_join(
                 arrays.updated(F.col("a"), F.col("extra"), F.col("mode")), ",").alias("words")))

@@ -111,9 +111,9 @@ def _(t: Tables):
           SELECT r_regionkey FROM region WHERE r_name = 'ASIA')))""")
 def _(t: Tables):
     return rel.semi_chain(t.orders.select("o_orderkey", "o_orderstatus", "o_custkey"), [
-        ("o_custkey", t.customer, "c_custkey", "c_nationkey"),
-        ("c_nationkey", t.nation, "n_nationkey", "n_regionkey"),
-        ("n_regionkey", t.region.where("r_name = 'ASIA'"), "r_regionkey", None),
+        rel.Level("o_custkey", t.customer, "c_custkey", unique=True),
+        rel.Level("c_nationkey", t.nation, "n_nationkey", unique=True),
+        rel.Level("n_regionkey", t.region.where("r_name = 'ASIA'"), "r_regionkey", unique=True),
     ]).select("o_orderkey", "o_orderstatus")
 
 
@@ -125,10 +125,10 @@ def _(t: Tables):
             SELECT n_nationkey FROM nation WHERE n_name = 'NATION_3'))))""")
 def _(t: Tables):
     return rel.semi_chain(t.part.select("p_partkey", "p_brand"), [
-        ("p_partkey", t.lineitem, "l_partkey", "l_orderkey"),
-        ("l_orderkey", t.orders, "o_orderkey", "o_custkey"),
-        ("o_custkey", t.customer, "c_custkey", "c_nationkey"),
-        ("c_nationkey", t.nation.where("n_name = 'NATION_3'"), "n_nationkey", None),
+        rel.Level("p_partkey", t.lineitem, "l_partkey"),
+        rel.Level("l_orderkey", t.orders, "o_orderkey", unique=True),
+        rel.Level("o_custkey", t.customer, "c_custkey", unique=True),
+        rel.Level("c_nationkey", t.nation.where("n_name = 'NATION_3'"), "n_nationkey", unique=True),
     ]).select("p_brand").distinct()
 
 
@@ -141,8 +141,8 @@ def _(t: Tables):
     # a scalar subquery: fails if the name is not unique
     user = t.customer.where("c_name = 'Customer#000000007'").select("c_custkey").scalar()
     return rel.semi_chain(t.part.select("p_partkey", "p_name"), [
-        ("p_partkey", t.lineitem, "l_partkey", "l_orderkey"),
-        ("l_orderkey", t.orders.where(F.col("o_custkey") == user), "o_orderkey", None)])
+        rel.Level("p_partkey", t.lineitem, "l_partkey"),
+        rel.Level("l_orderkey", t.orders.where(F.col("o_custkey") == user), "o_orderkey", unique=True)])
 
 
 @query("count_in_top3", """

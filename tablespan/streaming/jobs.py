@@ -13,9 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablespan.operators.quality import Rule, validated
-from tablespan.scratch import new_path
-
-Batch = Callable[[DataFrame, int], None]
+from tablespan.scratch import new_path, table_or_empty
 
 
 def arriving(spark: SparkSession, folder: str, pattern: str, schema: T.StructType,
@@ -62,7 +60,7 @@ def run_to_table(stream: DataFrame, label: str, mode: str = "append", path: str
     path = path or new_path(spark, label)
     with _stream_settings(spark):
         _run(stream.writeStream.format("parquet").outputMode(mode).option("path", f"{path}/out"), path)
-    return spark.read.schema(stream.schema).parquet(f"{path}/out")
+    return table_or_empty(spark, f"{path}/out", stream.schema)
 
 
 def run_batches(stream: DataFrame, label: str, handle: Callable[[DataFrame, int, str], None],
@@ -99,7 +97,7 @@ def running_counts(rows: DataFrame, key: str, label: str, path: str | None = Non
 
     path = run_batches(counts, label, log, "update", path)
     schema = T.StructType([*counts.schema.fields, T.StructField("batch", T.LongType())])
-    entries = rows.sparkSession.read.schema(schema).parquet(f"{path}/log")
+    entries = table_or_empty(rows.sparkSession, f"{path}/log", schema)
     return entries.groupBy(key).agg(F.max_by("n", "batch").alias("n"))
 
 
@@ -126,7 +124,7 @@ def validating(rows: DataFrame, rules: list[Rule], label: str,
     path = run_batches(marked, label, split, "append", path)
     schema = T.StructType([*marked.schema.fields, T.StructField("batch", T.LongType()),
                            T.StructField("sink", T.StringType())])
-    entries = rows.sparkSession.read.schema(schema).parquet(f"{path}/log").drop("batch")
+    entries = table_or_empty(rows.sparkSession, f"{path}/log", schema).drop("batch")
     good = entries.where(F.col("sink") == "good").drop("sink", "code")
     return good, entries.where(F.col("sink") == "rejected").drop("sink")
 
@@ -143,5 +141,6 @@ def latest_changes(rows: DataFrame, key: str, order: list[Column], label: str,
          .write.mode("overwrite").parquet(f"{folder}/log/batch={number}"))
 
     path = run_batches(rows, label, log, "append", path)
-    entries = rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/log/batch=*")
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
+    entries = table_or_empty(rows.sparkSession, f"{path}/log", schema)
     return entries.groupBy(F.col(key).alias("_key")).agg(newest.alias("_row")).select("_row.*")

@@ -61,18 +61,18 @@ def test_title_search(portal):
 
 def test_authors_in_subcategories(portal):
     df = rel.semi_chain(portal["AUTORZY"], [
-        ("AUTK_1_ID", portal["AUK_AUTORZY_KSIAZKI"], "AUT_ID", "KSI_ID"),
-        ("KSI_ID", portal["KSIAZKI"], "KSIK_1_ID", "KAT_ID"),
-        ("KAT_ID", portal["KATEGORIE_KSIAZEK"].where("KAT_RODZIC_KATEGORII = 1"), "KATK_1_ID", None)])
+        rel.Level("AUTK_1_ID", portal["AUK_AUTORZY_KSIAZKI"], "AUT_ID"),
+        rel.Level("KSI_ID", portal["KSIAZKI"], "KSIK_1_ID", unique=True),
+        rel.Level("KAT_ID", portal["KATEGORIE_KSIAZEK"].where("KAT_RODZIC_KATEGORII = 1"), "KATK_1_ID")])
     assert values(df.orderBy("AUT_IMIE"), "AUT_IMIE") == ["Adam", "Jan", "John", "Marek"]
 
 
 def test_categories_of_one_author(portal):
     nowak = portal["AUTORZY"].where("AUT_IMIE = 'Marek' AND AUT_NAZWISKO = 'Nowak'")
     df = rel.semi_chain(portal["KATEGORIE_KSIAZEK"], [
-        ("KATK_1_ID", portal["KSIAZKI"], "KAT_ID", "KSIK_1_ID"),
-        ("KSIK_1_ID", portal["AUK_AUTORZY_KSIAZKI"], "KSI_ID", "AUT_ID"),
-        ("AUT_ID", nowak, "AUTK_1_ID", None)]).select("KAT_NAZWA").distinct()
+        rel.Level("KATK_1_ID", portal["KSIAZKI"], "KAT_ID"),
+        rel.Level("KSIK_1_ID", portal["AUK_AUTORZY_KSIAZKI"], "KSI_ID"),
+        rel.Level("AUT_ID", nowak, "AUTK_1_ID", unique=True)]).select("KAT_NAZWA").distinct()
     assert sorted(values(df, "KAT_NAZWA")) == ["Historyczne", "Popularnonaukowe", "Powieść"]
 
 
@@ -87,7 +87,7 @@ def test_category_tree_listing(portal):
 def favourites(portal, login):
     user = portal["UZYTKOWNICY"].where(F.col("UZY_LOGIN") == login).select("UZYK_1_ID").scalar()
     return rel.semi_chain(portal["KSIAZKI"], [
-        ("KSIK_1_ID", portal["ULUBIONE_KSIAZKI"].where(F.col("UZY_ID") == user), "KSI_ID", None)])
+        rel.Level("KSIK_1_ID", portal["ULUBIONE_KSIAZKI"].where(F.col("UZY_ID") == user), "KSI_ID")])
 
 
 def named_links(portal):
