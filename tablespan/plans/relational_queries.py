@@ -269,7 +269,7 @@ def _(t: Tables):
 
 
 @query("text_histogram", """
-    SELECT o_custkey, n, 1 AS rows_per_mark, repeat('+', n) AS bar
+    SELECT o_custkey, n, CAST(1 AS BIGINT) AS rows_per_mark, repeat('+', n) AS bar
     FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ORDER BY length(bar) DESC, o_custkey""")
 def _(t: Tables):
     return rel.text_bars(t.orders, "o_custkey")
