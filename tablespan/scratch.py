@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +18,13 @@ from pyspark.sql.types import StructType
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="tablespan-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tablespan-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder.rstrip("/")
+    return (spark.conf.get(CHECKPOINT_SETTING, None) or _own_folder()).rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

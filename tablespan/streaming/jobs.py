@@ -102,13 +102,19 @@ def running_counts(rows: DataFrame, key: str, label: str, path: str | None = Non
 
 
 def first_arrivals(rows: DataFrame, keys: list[str], ts: str, within: str,
-                   stored: DataFrame | None = None) -> DataFrame:
+                   stored: DataFrame | None = None, shares: int = 8) -> DataFrame:
     """The first row per key; later rows with the same key are refused for at least `within`, after
     which the key is forgotten, so that state does not grow without end. Keys in the table `stored`
-    are refused from the start."""
+    are refused from the start.
+
+    Repeats are removed twice: first within hashed shares of each key, so that the rows of a very
+    frequent key are spread over several tasks, then among the at most `shares` rows left per key."""
     if stored is not None:
         rows = rows.join(stored.select(*keys).distinct(), keys, "left_anti")
-    return rows.withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
+    share = F.pmod(F.xxhash64(F.struct(*rows.columns)), F.lit(shares))
+    return (rows.withColumn("_share", share).withWatermark(ts, within)
+            .dropDuplicatesWithinWatermark([*keys, "_share"])
+            .dropDuplicatesWithinWatermark(keys).drop("_share"))
 
 
 def validating(rows: DataFrame, rules: list[Rule], label: str,

@@ -144,3 +144,13 @@ def test_join_selectivity_formula(spark):
     assert join_selectivity(a, "a", b, "b").first()[0] == round(1 / 1943, 10)
     at = dt.datetime(2024, 1, 1)
     assert {tuple(r) for r in table_profile({"a": a, "b": b}, at).collect()} == {("a", 594, 594, at), ("b", 1943, 1943, at)}
+
+
+def test_scratch_tables_use_the_shared_folder(spark):
+    from tablespan import scratch
+
+    setting = spark.conf.get(scratch.CHECKPOINT_SETTING, None)
+    path = scratch.new_path(spark, "x")
+    assert path.startswith((setting or scratch._own_folder()).rstrip("/"))
+    assert path != scratch.new_path(spark, "x")
+    assert scratch.table_or_empty(spark, path, spark.range(1).schema).count() == 0

@@ -81,3 +81,11 @@ def test_last_change_wins_across_batches(spark):
     folder = files(spark, schema, [(1, 1, "a"), (1, 3, "c"), (2, 1, "x")], [(1, 2, "b"), (2, 5, "y")])
     got = jobs.latest_changes(stream(spark, folder, schema), "key", [F.col("at")], "u")
     assert {tuple(r) for r in got.collect()} == {(1, 3, "c"), (2, 5, "y")}
+
+
+def test_frequent_key_keeps_one_row(spark):
+    schema = "login string, n long, ts timestamp"
+    rows = [("hot", n, hours(0)) for n in range(200)] + [("cold", 1, hours(1))]
+    folder = files(spark, schema, rows, [("hot", 999, hours(2)), ("new", 1, hours(2))])
+    first = jobs.first_arrivals(stream(spark, folder, schema), ["login"], "ts", "1 day")
+    assert sorted(r.login for r in jobs.run_to_table(first, "d").collect()) == ["cold", "hot", "new"]
