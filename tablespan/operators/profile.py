@@ -80,21 +80,25 @@ def column_profile(df: DataFrame, columns: list[str], buckets: int = MAX_BUCKETS
             .withColumn("histogram", F.when(few, F.lit("FREQUENCY")).otherwise(F.lit("HEIGHT BALANCED"))))
 
 
+def _written_counts(df: DataFrame, column: str) -> DataFrame:
+    """(value, n), written once because the histograms read it several times."""
+    return written_table(
+        df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n")), "value-counts")
+
+
 def frequency_histogram(df: DataFrame, column: str, **sampling) -> DataFrame:
     """(value, n, endpoint): rows per value and the running number of rows in value order."""
-    counts = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    counts = written_table(counts, "value-counts")  # read several times below
-    return running_total(counts, [], ["value"], "endpoint", weight="n", **sampling)
+    return running_total(_written_counts(df, column), [], ["value"], "endpoint", weight="n", **sampling)
 
 
 def height_balanced_histogram(df: DataFrame, column: str, buckets: int = MAX_BUCKETS,
                               **sampling) -> DataFrame:
     """(bucket, endpoint) for buckets 1..B: the smallest value up to which at least ceil(b*N/B)
     rows lie. Exact, for any ordered type, texts included."""
-    ranked = frequency_histogram(df, column, **sampling)
-    total = ranked.agg(F.sum("n")).scalar()
-    return (ranked.withColumn("_total", total)
+    counts = _written_counts(df, column)
+    ranked = running_total(counts, [], ["value"], "endpoint", weight="n", **sampling)
+    return (ranked.withColumn("_total", counts.agg(F.sum("n")).scalar())
             .withColumn("_from", F.expr(f"((endpoint - n) * {buckets}) div _total") + 1)
             .withColumn("_to", F.expr(f"(endpoint * {buckets}) div _total"))
             .where(F.col("_from") <= F.col("_to"))

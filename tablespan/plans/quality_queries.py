@@ -9,6 +9,7 @@ from tablespan.functions import checks
 from tablespan.operators import quality
 from tablespan.operators.relational import resolved_by_code
 from tablespan.plans.registry import Tables, query
+from tablespan.sources.contracts import Contract, column, refers
 
 _BODY = "lpad(CAST((c_custkey * 7919 + 123456789) % 1000000000 AS STRING), 9, '0')"
 _SUM = " + ".join(f"{w} * CAST(substr({_BODY}, {i}, 1) AS INT)" for i, w in enumerate(checks.NIP_WEIGHTS, 1))
@@ -60,6 +61,37 @@ def _(t: Tables):
     return quality.duplicate_keys(people(t), ["sex", "office"], skip_nulls=True)
 
 
+LINES = Contract("lines", [
+    column("l_orderkey", "long"), column("l_linenumber", "int"), column("part", "long"),
+    column("l_returnflag", "text", 1), column("l_linestatus", "text", 1, nullable=True),
+], key=("l_orderkey", "l_linenumber"), references=(refers("part", "part", "p_partkey"),),
+    domains={"l_returnflag": ["A", "N"]})
+
+DIRTY_LINES = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_partkey + 5 END AS part,
+      l_returnflag, l_linestatus || CASE WHEN l_suppkey % 5 = 0 THEN '?' ELSE '' END AS l_linestatus FROM lineitem)"""
+
+
+@query("contract_audit", " UNION ALL ".join(
+    f"SELECT 'lines' AS table_name, '{rule}' AS rule, ({count}) AS violations" for rule, count in {
+        "key l_orderkey,l_linenumber": "SELECT count(*) FROM (SELECT 1 FROM lineitem"
+                                       " GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)",
+        "reference part": f"SELECT count(*) FROM {DIRTY_LINES} WHERE part IS NOT NULL"
+                          " AND part NOT IN (SELECT p_partkey FROM part)",
+        "required l_orderkey": f"SELECT count(*) FROM {DIRTY_LINES} WHERE l_orderkey IS NULL",
+        "required l_linenumber": f"SELECT count(*) FROM {DIRTY_LINES} WHERE l_linenumber IS NULL",
+        "required part": f"SELECT count(*) FROM {DIRTY_LINES} WHERE part IS NULL",
+        "required l_returnflag": f"SELECT count(*) FROM {DIRTY_LINES} WHERE l_returnflag IS NULL",
+        "domain l_returnflag": f"SELECT count(*) FROM {DIRTY_LINES} WHERE l_returnflag NOT IN ('A', 'N')",
+        "length l_returnflag": f"SELECT count(*) FROM {DIRTY_LINES} WHERE length(l_returnflag) > 1",
+        "length l_linestatus": f"SELECT count(*) FROM {DIRTY_LINES} WHERE length(l_linestatus) > 1",
+    }.items()))
+def _(t: Tables):
+    lines = t.lineitem.selectExpr(
+        "l_orderkey", "l_linenumber", "CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_partkey + 5 END AS part",
+        "l_returnflag", "l_linestatus || CASE WHEN l_suppkey % 5 = 0 THEN '?' ELSE '' END AS l_linestatus")
+    return quality.audit_contract({"lines": lines, "part": t.part}, LINES)
+
+
 @query("fk_orphans", f"""
     SELECT c_custkey, office FROM {PEOPLE} WHERE office IS NOT NULL AND office NOT IN (SELECT n_nationkey FROM nation)""")
 def _(t: Tables):

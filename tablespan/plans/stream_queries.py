@@ -32,14 +32,16 @@ def _events(t: Tables) -> DataFrame:
       strftime(max(ts) + INTERVAL 12 HOUR, '{DAY}') AS valid_until
     FROM numbered GROUP BY user_id, s HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
 def _(t: Tables):
-    closed = jobs.run_to_table(jobs.sessions(_events(t), "user_id", "ts", "12 hours", "1 day"), "sessions")
+    closed = jobs.run_to_table(jobs.sessions(_events(t), "user_id", "ts", "12 hours", "1 day"), "sessions",
+                               partitions=jobs.state_partitions(t.events))
     return closed.select("user_id", "touches", F.date_format("started", TEXT).alias("started"),
                          F.date_format("valid_until", TEXT).alias("valid_until"))
 
 
 @query("stream_counter", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
 def _(t: Tables):
-    return jobs.running_counts(_stream(t, "orders").select("o_custkey"), "o_custkey", "counter")
+    return jobs.running_counts(_stream(t, "orders").select("o_custkey"), "o_custkey", "counter",
+                               partitions=jobs.state_partitions(t.orders))
 
 
 @query("stream_dedup", """
@@ -48,7 +50,8 @@ def _(t: Tables):
     # a key holds one day, so its repeats all arrive within the time it is remembered
     rows = _events(t).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     first = jobs.first_arrivals(rows, ["user_id", "event_type", "day"], "ts", "2 days")
-    return jobs.run_to_table(first.select("user_id", "event_type", "day"), "dedup")
+    return jobs.run_to_table(first.select("user_id", "event_type", "day"), "dedup",
+                             partitions=jobs.state_partitions(t.events))
 
 
 @query("stream_validate", f"""

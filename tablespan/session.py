@@ -11,7 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # all timestamps are read and printed as UTC
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # stream state on local disk with copies in the checkpoint folder, not on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

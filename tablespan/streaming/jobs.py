@@ -26,15 +26,16 @@ def arriving(spark: SparkSession, folder: str, pattern: str, schema: T.StructTyp
 
 
 @contextmanager
-def _stream_settings(spark: SparkSession):
-    """Settings a stream takes over when it starts: UTC, sessions merged within each task before
-    the shuffle (so a busy key sends sessions, not rows), state on disk instead of the heap."""
+def _stream_settings(spark: SparkSession, partitions: int | None = None):
+    """Settings a stream takes over when it starts: UTC, and sessions merged within each task before
+    the shuffle, so that a busy key sends sessions, not rows. Where state is kept is the session's
+    choice (`build_session` chooses RocksDB)."""
     wanted = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
     before = {k: spark.conf.get(k, None) for k in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -53,22 +54,31 @@ def _run(writer, path: str) -> None:
     query.awaitTermination()
 
 
-def run_to_table(stream: DataFrame, label: str, mode: str = "append", path: str | None = None) -> DataFrame:
+def state_partitions(table: DataFrame) -> int:
+    """How far to divide state for a source of this size: one part per input split, at least one
+    per core and at most the session's shuffle partitions. A stream keeps the number it began with."""
+    spark = table.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, table.rdd.getNumPartitions()))
+
+
+def run_to_table(stream: DataFrame, label: str, mode: str = "append", path: str | None = None,
+                 partitions: int | None = None) -> DataFrame:
     """Run to the end of what has arrived; returns the result table. With `path` from an earlier
     run it resumes there."""
     spark = stream.sparkSession
     path = path or new_path(spark, label)
-    with _stream_settings(spark):
+    with _stream_settings(spark, partitions):
         _run(stream.writeStream.format("parquet").outputMode(mode).option("path", f"{path}/out"), path)
     return table_or_empty(spark, f"{path}/out", stream.schema)
 
 
 def run_batches(stream: DataFrame, label: str, handle: Callable[[DataFrame, int, str], None],
-                mode: str = "append", path: str | None = None) -> str:
+                mode: str = "append", path: str | None = None, partitions: int | None = None) -> str:
     """Run `handle(batch, batch_id, path)` for each batch; returns the path used."""
     spark = stream.sparkSession
     path = path or new_path(spark, label)
-    with _stream_settings(spark):
+    with _stream_settings(spark, partitions):
         _run(stream.writeStream.outputMode(mode).foreachBatch(
             lambda df, batch: handle(df, batch, path)), path)
     return path
@@ -88,14 +98,15 @@ def sessions(touches: DataFrame, key: str, ts: str, gap: str, late: str) -> Data
                     (F.col("last_touch") + F.expr(f"interval {gap}")).alias("valid_until")))
 
 
-def running_counts(rows: DataFrame, key: str, label: str, path: str | None = None) -> DataFrame:
+def running_counts(rows: DataFrame, key: str, label: str, path: str | None = None,
+                   partitions: int | None = None) -> DataFrame:
     """Rows per key, maintained as they arrive; each batch logs the keys it changed."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
     def log(batch: DataFrame, number: int, folder: str) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/log/batch={number}")
 
-    path = run_batches(counts, label, log, "update", path)
+    path = run_batches(counts, label, log, "update", path, partitions)
     schema = T.StructType([*counts.schema.fields, T.StructField("batch", T.LongType())])
     entries = table_or_empty(rows.sparkSession, f"{path}/log", schema)
     return entries.groupBy(key).agg(F.max_by("n", "batch").alias("n"))
