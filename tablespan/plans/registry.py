@@ -15,13 +15,16 @@ SQL: dict[str, str] = {}
 
 
 class Tables:
-    """The tables of one folder as attributes."""
+    """The tables of one folder as attributes. A schema is looked up in the files once per query."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.schemas = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        table = read_table(self.spark, self.folder, name, self.schemas.get(name))
+        self.schemas[name] = table.schema
+        return table
 
 
 def query(name: str, sql: str | None = None):

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tablespan.sources.contracts import Contract, aligned, load_order
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: StructType | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def append_rows(df: DataFrame, contract: Contract, folder: str) -> None:
