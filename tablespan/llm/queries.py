@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablespan.llm import chat
+from tablespan.llm import chat, rules
 from tablespan.sources.tables import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,9 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     table = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], table.schema)
     return chat.digests(chat.formatted_turns(table.unionByName(extra)))
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.judged(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
