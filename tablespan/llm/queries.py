@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablespan.llm import chat, rules
+from tablespan.llm import chat, packing, rules
 from tablespan.sources.tables import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +58,12 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.formatted_turns(table.unionByName(extra)))
 
 
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.tokenised_pieces(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(pieces)
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = rules.judged(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
