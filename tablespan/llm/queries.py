@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablespan.llm import chat, packing, rules
+from tablespan.llm import chat, jaccard, packing, rules
 from tablespan.sources.tables import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = rules.judged(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked_components(read_table(spark, folder, "documents"))
