@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablespan.llm import chat, jaccard, packing, rules
+from tablespan.llm import chat, jaccard, packing, repeats, rules
 from tablespan.sources.tables import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_ngram_jaccard_join")
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_components(read_table(spark, folder, "documents"))
+
+
+@query("op10_suffix_array_dedup")
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(read_table(spark, folder, "documents")).drop("kept")
