@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text worked on at a time inside a task. Only whole texts are worked on, so one long text may exceed it.
@@ -27,3 +28,24 @@ def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n //= 2
             yield batch.slice(start, n)
             start += n
+
+
+#: Size of a bit table, whatever the data: 2 MB.
+BITS = 1 << 24
+
+
+def bit_table(hashes: DataFrame) -> np.ndarray:
+    """A table of BITS bits, as 64-bit words, with the bit of every value of the only column (long) set. It tells which
+    rows cannot match; the more values, the fewer it spares."""
+    value = F.col(hashes.columns[0])
+    words = hashes.select(F.shiftright(value.bitwiseAND(F.lit(BITS - 1)), 6).alias("word"),
+                          F.call_function("shiftleft", F.lit(1).cast("long"), value.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    table = np.zeros(BITS >> 6, np.uint64)
+    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return table
+
+
+def has_bit(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slot = (hashes.astype(np.uint64) & np.uint64(BITS - 1))
+    return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

@@ -14,7 +14,7 @@ array of a whole corpus fits one machine, so suffixes are first dealt into block
    smallest document of a class decides.
 4. Occurrences take the spans of their regions; each document's spans are united and cut.
 
-A table of BITS bits tells, before the second shuffle, which anchors can be shared. Its size is fixed; with more shared
+A bit table (`common.BITS`) tells, before the second shuffle, which anchors can be shared. Its size is fixed; with more shared
 anchors than bits it spares less but changes no result. A block holds about BLOCK regions, beyond that anchors of one
 document are dealt over several.
 
@@ -35,14 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import text_blocks
+from tablespan.llm.common import bit_table, has_bit, text_blocks
 from tablespan.llm.shingles import mix, text_bytes
 from tablespan.llm.suffixes import suffix_array
 from tablespan.scratch import written_table
 
 WINDOW, KEY = 50, 24
 AROUND = WINDOW - KEY
-BITS = 1 << 24
 BLOCK = 4000
 #: Stands for a null doc_id.
 LAST = (1 << 63) - 1
@@ -107,8 +106,7 @@ def _occurrences(bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
             body, at, hashes, owner, place = anchors(batch.column(1))
-            slot = (hashes & np.uint64(BITS - 1)).astype(np.int64)
-            may = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+            may = has_bit(bits, hashes)
             hashes, owner, place = hashes[may], owner[may], place[may]
             left = np.maximum(at[owner], place - AROUND)
             right = np.minimum(at[owner + 1], place + KEY + AROUND)
@@ -122,15 +120,6 @@ def _occurrences(bits: np.ndarray):
     return run
 
 
-def _bit_table(shared: DataFrame) -> np.ndarray:
-    slot = F.col("anchor").bitwiseAND(F.lit(BITS - 1))
-    words = shared.select(F.shiftright(slot, 6).alias("word"), F.expr(f"shiftleft(1L, cast(anchor & {63} as int))").alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    table = np.zeros(BITS >> 6, np.uint64)
-    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return table
-
-
 def _region_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the regions named by each document's list."""
     for batch in batches:
@@ -249,7 +238,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
                              F.coalesce(F.xxhash64("text"), F.lit(0)).alias("digest"))
     found = texts.select("doc", "text").mapInArrow(_documents_of_anchors, "anchor long")
     shared = written_table(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "shared")
-    occurrences = texts.mapInArrow(_occurrences(_bit_table(shared)), "anchor long, region long, doc long, digest long, pos long")
+    occurrences = texts.mapInArrow(_occurrences(bit_table(shared)), "anchor long, region long, doc long, digest long, pos long")
     occurrences = written_table(occurrences.join(shared, "anchor", "left_semi"), "occurrences")
 
     where = F.struct("doc", "digest", "pos")
