@@ -3,10 +3,10 @@
 1. Documents with the same shingle set are one node, whatever their number.
 2. Nodes are partitioned into groups of similar ones: nodes with the same min-hash whose similarity to the group's
    smallest node is verified. A node that fails is a group of its own. Members of a group are linked through it.
-3. The token-group matrix holds, for each group (in chunks of at most CHUNK members), the union of its members' tokens.
+3. The token-group matrix holds, for each group (in chunks of about CHUNK members), the union of its members' tokens.
    Its sparse index keeps the tokens of the members' prefixes: ordered from rare to common, two sets as similar as
-   asked for share one of the first |X| - ceil(s |X|) + 1 tokens. Two groups that share an index token and whose sizes
-   allow a link are a candidate pair.
+   asked for share k of their first |X| - ceil(s |X|) + k tokens; k grows with the sets (`_spare`). Two groups that
+   share so many index tokens and whose sizes allow a link are a candidate pair.
 4. A member of the smaller group is a query against each chunk of the other: the chunk opens only if the query shares
    at least s |query| tokens with the chunk's union. Members of opened chunks are verified one by one on their sets.
 5. Components of verified links, each named by its smallest doc_id.
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import text_blocks
+from tablespan.llm.common import bit_table, has_bit, text_blocks
 from tablespan.llm.components import components
 from tablespan.llm.shingles import mix, shingle_sets
 from tablespan.scratch import written_table
@@ -40,7 +40,9 @@ from tablespan.scratch import written_table
 COUNTERS = 1 << 18
 CHUNK = 64
 
-_SETS = "doc_id long, n_shingles long, d1 long, d2 long, key long, counts binary"
+_SETS = "doc_id long, hash long, n_shingles long, d1 long, d2 long, key long, counts binary"
+#: Stands for a null doc_id.
+LAST = (1 << 63) - 1
 
 
 def _digests(tokens: np.ndarray) -> tuple[int, int, int]:
@@ -59,11 +61,11 @@ def _summaries(width: int):
             sets = shingle_sets(batch.column(1), width)
             counts += np.bincount(np.concatenate(sets).astype(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
             found = [_digests(t) if len(t) else (0, 0, 0) for t in sets]
-            columns = [batch.column(0).cast(pa.int64()), pa.array([len(t) for t in sets], pa.int64()),
+            columns = [batch.column(0), batch.column(2), pa.array([len(t) for t in sets], pa.int64()),
                        *[pa.array([f[k] for f in found], pa.int64()) for k in range(3)], pa.nulls(len(sets), pa.binary())]
             yield pa.record_batch(columns, names=names)
         nothing = pa.nulls(1, pa.int64())
-        yield pa.record_batch([nothing] * 5 + [pa.array([counts.tobytes()], pa.binary())], names=names)
+        yield pa.record_batch([nothing] * 6 + [pa.array([counts.tobytes()], pa.binary())], names=names)
 
     return run
 
@@ -84,36 +86,43 @@ def _counters(summaries: DataFrame) -> np.ndarray:
     return np.frombuffer(bytes(row.counts), np.int64)
 
 
-def _token_lists(width: int, percent: int, counts: np.ndarray | None):
-    """From node, text, whole, d1, repeated: node, the prefix from rare to common (given counters), the whole set where
-    `whole` is set. A text that is not the node's own (a doc_id may be used twice) gives no row."""
+def _spare(n: int) -> int:
+    """Tokens that two sets share at least in their prefixes; a prefix is longer by as many. More than one, so that a
+    short common passage makes no candidates."""
+    return 1 + n // 20
+
+
+def _token_lists(width: int, percent: int, counts: np.ndarray | None, bits: np.ndarray, bit_of: int):
+    """doc_id, d1, the prefix from rare to common (given counters; else only rows with their bit set come), and the
+    whole set if the bit of the digest `bit_of` is set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
             out: list[list] = [[], [], [], []]
-            rest = zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4)))
-            for tokens, (node, whole, d1, repeated) in zip(shingle_sets(batch.column(1), width), rest):
-                if len(tokens) == 0 or _digests(tokens)[0] != d1:
+            for tokens, doc in zip(shingle_sets(batch.column(1), width), batch.column(0).to_pylist()):
+                n = len(tokens)
+                digests = _digests(tokens) if n else (0, 0, 0)
+                whole = n > 0 and bool(has_bit(bits, np.array([digests[bit_of]]))[0])
+                if n == 0 or not (whole or counts is not None):
                     continue
                 prefix = None
                 if counts is not None:
-                    n = len(tokens)
                     order = np.lexsort((tokens, counts[tokens.astype(np.int64) & (COUNTERS - 1)]))
-                    prefix = tokens[order[:n + (-n * percent // 100) + 1]].view(np.int64)
-                for column, cell in zip(out, (node, repeated, prefix, tokens.view(np.int64) if whole else None)):
+                    prefix = tokens[order[:n + (-n * percent // 100) + _spare(n)]].view(np.int64)
+                for column, cell in zip(out, (doc, digests[0], prefix, tokens.view(np.int64) if whole else None)):
                     column.append(cell)
-            types = pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["node", "repeated", "prefix", "tokens"])
+            types = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "prefix", "tokens"])
 
     return run
 
 
-def _tokens_of(texts: DataFrame, nodes: DataFrame, width: int, percent: int, counts: np.ndarray | None) -> DataFrame:
-    """node, prefix, tokens: one row per node of `nodes` (node, doc, d1, whole, repeated)."""
-    where = nodes.select(F.col("doc").alias("doc_id"), "node", "whole", "d1", "repeated")
-    found = texts.join(where, "doc_id").select("node", "text", "whole", "d1", "repeated").mapInArrow(
-        _token_lists(width, percent, counts), "node long, repeated boolean, prefix array<long>, tokens array<long>")
+def _tokens_of(texts: DataFrame, nodes: DataFrame, width: int, percent: int, counts, bits: np.ndarray, bit_of: int) -> DataFrame:
+    """One row per node of `nodes` (doc, d1, repeated and others, all kept): prefix and tokens."""
+    lists = texts.mapInArrow(_token_lists(width, percent, counts, bits, bit_of),
+                             "doc_id long, d1 long, prefix array<long>, tokens array<long>")
+    found = nodes.withColumnRenamed("doc", "doc_id").join(lists, ["doc_id", "d1"])
     found = written_table(found, "tokens")
-    once, often = found.filter("not repeated").drop("repeated"), found.filter("repeated").drop("repeated")
+    once, often = found.filter("not repeated"), found.filter("repeated")
     return once.unionByName(often.dropDuplicates(["node"]))
 
 
@@ -123,8 +132,9 @@ def _similar(a: Column, b: Column, percent: int) -> Column:
 
 
 def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, for every row."""
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, hash (of the text), n_shingles and component_id, the smallest doc_id reachable by links, for every row."""
+    texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text",
+                             F.coalesce(F.xxhash64("text"), F.lit(0)).alias("hash"))
     summaries = written_table(texts.mapInArrow(_summaries(width), _SETS), "shingle-sets")
     counts = _counters(summaries)
     rows = summaries.filter("counts is null").drop("counts")
@@ -134,14 +144,15 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
         F.min("doc_id").alias("doc"), F.min_by(F.col("rows") > 1, "doc_id").alias("repeated"), F.first("key").alias("key"))
     nodes = written_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = nodes.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("alike"))
-    nodes = nodes.join(keys, "key").withColumn("whole", F.col("alike") > 1).drop("key", "alike")
+    keys = keys.filter("alike > 1").drop("alike")
+    bits = bit_table(keys.select("key"))
+    nodes = nodes.join(keys, "key", "left").withColumn("leader", F.coalesce("leader", "node")).drop("key")
     nodes = written_table(nodes, "nodes")
-    sets = _tokens_of(texts, nodes, width, percent, counts)
+    sets = _tokens_of(texts, nodes.select("node", "leader", "doc", "d1", "repeated", "n_shingles"), width, percent, counts, bits, 2)
 
-    wholes = sets.filter("tokens is not null").select("node", "tokens")
-    stars = nodes.filter("whole and node <> leader").select("node", "leader")
-    lead = wholes.select(F.col("node").alias("leader"), F.col("tokens").alias("first"))
-    stars = wholes.join(stars, "node").join(lead, "leader").filter(_similar(F.col("tokens"), F.col("first"), percent))
+    wholes = sets.filter("tokens is not null").select("node", "leader", "tokens")
+    lead = wholes.filter("node = leader").select("leader", F.col("tokens").alias("first"))
+    stars = wholes.filter("node <> leader").join(lead, "leader").filter(_similar(F.col("tokens"), F.col("first"), percent))
     grouped = nodes.join(stars.select("node", F.col("leader").alias("grp")), "node", "left").select(
         "node", "n_shingles", F.coalesce("grp", "node").alias("grp"))
     grouped = written_table(grouped, "groups")
@@ -152,7 +163,20 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     smallest = named.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = named.join(smallest, "root").select(*digest, "component_id")
     found = rows.join(named, digest, "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    real = [F.when(c < LAST, c).alias(name) for name, c in (
+        ("doc_id", F.col("doc_id")), ("component_id", F.coalesce("component_id", "doc_id")))]
+    return found.select(real[0], "hash", "n_shingles", real[1])
+
+
+def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without near duplicates: of each component the row with the smallest doc_id, and of several such
+    rows one. Documents without words are linked with nothing and stay, one for each doc_id and text."""
+    found = linked_components(documents, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = found.groupBy("doc_id", F.when(F.col("n_shingles") == 0, F.col("hash")).alias("empty")).agg(F.min("hash").alias("hash"))
+    first = first.select(F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.col("hash").alias("h"))
+    rows = documents.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"),
+                            F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h"))
+    return rows.join(first, ["d", "h"]).dropDuplicates(["d", "h"]).select("row.*")
 
 
 def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
@@ -160,8 +184,9 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, sets:
     pairs = written_table(_candidate_groups(grouped, sets, percent), "group-pairs")
     involved = pairs.select(F.explode(F.array("asks", "holds")).alias("grp")).distinct()
     members = grouped.join(involved, "grp", "left_semi")
-    missing = members.join(sets.filter("tokens is null"), "node", "left_semi").select("node").join(nodes, "node")
-    more = _tokens_of(texts, missing.withColumn("whole", F.lit(True)), width, percent, None).select("node", "tokens")
+    missing = members.join(sets.filter("tokens is null").select("node"), "node", "left_semi").select("node").join(nodes, "node")
+    missing = missing.select("node", "doc", "d1", "repeated")
+    more = _tokens_of(texts, missing, width, percent, None, bit_table(missing.select("d1")), 0).select("node", "tokens")
     have = sets.filter("tokens is not null").select("node", "tokens").unionByName(more)
     chunks = grouped.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     members = members.join(chunks, "grp").join(have, "node").select(
@@ -181,14 +206,16 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, sets:
 
 def _candidate_groups(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups that share an index token: asks (the one with fewer members) and holds."""
-    tokens = sets.select("node", F.explode("prefix").alias("token")).join(grouped, "node")
+    tokens = sets.select("node", "prefix").join(grouped, "node").select("grp", "n_shingles", F.explode("prefix").alias("token"))
     index = tokens.groupBy("token", "grp").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
     a, b = index.alias("a"), index.alias("b")
     fits = (F.col("a.grp") < F.col("b.grp")) & (percent * F.col("a.least") <= 100 * F.col("b.most")) & (
         percent * F.col("b.least") <= 100 * F.col("a.most"))
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & fits).select(F.col("a.grp").alias("g"), F.col("b.grp").alias("h")).distinct()
-    sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    one, two = (sizes.select(F.col("grp").alias(x), F.col("n").alias(f"n_{x}")) for x in "gh")
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & fits).groupBy(
+        F.col("a.grp").alias("g"), F.col("b.grp").alias("h")).agg(F.count(F.lit(1)).alias("shared"))
+    sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("n_shingles").alias("m"))
+    one, two = (sizes.select(F.col("grp").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}")) for x in "gh")
     fewer = F.col("n_g") <= F.col("n_h")
-    return pairs.join(one, "g").join(two, "h").select(
+    enough = F.col("shared") >= 1 + F.floor(F.least("m_g", "m_h") / 20)
+    return pairs.join(one, "g").join(two, "h").filter(enough).select(
         F.when(fewer, F.col("g")).otherwise(F.col("h")).alias("asks"), F.when(fewer, F.col("h")).otherwise(F.col("g")).alias("holds"))

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablespan.llm import chat, jaccard, packing, repeats, rules
+from tablespan.llm import chat, jaccard, mixing, packing, repeats, rules
 from tablespan.sources.tables import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,14 +68,58 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = rules.judged(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 @query("op9_ngram_jaccard_join")
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.linked_components(read_table(spark, folder, "documents"))
+    return jaccard.linked_components(read_table(spark, folder, "documents")).drop("hash")
 
 
 @query("op10_suffix_array_dedup")
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.without_repeats(read_table(spark, folder, "documents")).drop("kept")
+    cut = repeats.without_repeats(read_table(spark, folder, "documents"))
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+MIX = mixing.Targets(
+    source={"src0": 0.10}, lang={"en": 0.58, "de": 0.15, "fr": 0.15, "es": 0.10},
+    topic={"long": 0.58, "medium": 0.29, "licensed": 0.02})
+
+
+def _mixing_sql() -> str:
+    def category(column: str, named: dict) -> str:
+        return f"CASE WHEN {column} IN ({', '.join(map(repr, named))}) THEN {column} ELSE '(other)' END"
+
+    d = mixing.DIMENSIONS
+    out = [f"""WITH w AS MATERIALIZED (
+        SELECT doc_id, source, lang, text, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+        FROM documents),
+    t AS MATERIALIZED (
+        SELECT doc_id, n_tokens, {category("source", MIX.source)} AS source, {category("lang", MIX.lang)} AS lang,
+            {category("(CASE WHEN contains(text, 'License') THEN 'licensed' WHEN n_tokens >= 600 THEN 'long' "
+                      "WHEN n_tokens >= 200 THEN 'medium' ELSE 'short' END)", MIX.topic)} AS topic FROM w),
+    c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS n, 1.0::DOUBLE AS f FROM t
+        GROUP BY ALL HAVING sum(n_tokens) > 0),
+    want AS MATERIALIZED (SELECT * FROM (VALUES """ + ", ".join(
+        f"('{x}', '{k}', {share!r}::DOUBLE)" for x in d for k, share in MIX.of(x).items()) + """) v(d, k, s)),
+    there AS MATERIALIZED (SELECT d, k, s / sum(s) OVER (PARTITION BY d) AS s FROM want WHERE """ + " OR ".join(
+        f"(d = '{x}' AND k IN (SELECT {x} FROM c0))" for x in d) + ")"]
+    last = "c0"
+    for i in range(mixing.SWEEPS):
+        for j, x in enumerate(d):
+            out.append(f"c{i}_{j} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.n, "
+                       f"c.f * w.s / sum(c.n * c.f) OVER (PARTITION BY c.{x}) AS f "
+                       f"FROM {last} c JOIN there w ON w.d = '{x}' AND w.k = c.{x})")
+            last = f"c{i}_{j}"
+    return ",\n".join(out) + f"""
+    SELECT t.doc_id, t.source, t.lang, t.topic, t.n_tokens, round(f / (SELECT max(f) FROM {last}), 9) AS probability
+    FROM t JOIN {last} c USING (source, lang, topic)
+    WHERE ('0x' || substr(md5('mix-' || coalesce(t.doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0
+        < f / (SELECT max(f) FROM {last})"""
+
+
+@query("op5_source_mixing", sql=_mixing_sql())
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.weighted(read_table(spark, folder, "documents"), MIX).filter("drawn")
+    return found.select("row.doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 9).alias("probability"))

@@ -20,7 +20,8 @@ document are dealt over several.
 
 Defined results: a null text is empty and stays as it is; texts shorter than WINDOW bytes lose nothing; rows of the same
 doc_id never remove from each other; a null doc_id counts as larger than any other; columns besides doc_id and text
-are ignored; an empty table gives no rows. Texts are bytes throughout, so a cut may fall inside a character.
+are ignored; an empty table gives no rows. Texts are bytes
+throughout, so a cut may fall inside a character; `text` leaves out the bytes of such a character.
 """
 
 from __future__ import annotations
@@ -225,17 +226,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = _united(spans.as_py() or [], len(raw))
             at = [0, *(x for span in gone for x in span), len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(at[::2], at[1::2]))
-            for column, cell in zip(out, (len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept)):
+            for column, cell in zip(out, (len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore"))):
                 column.append(cell)
-        types = pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()
+        types = pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()
         yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(out, types))],
-                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                              names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
 
-def without_repeats(documents: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and kept (binary), one row per row."""
-    texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), "text",
-                             F.coalesce(F.xxhash64("text"), F.lit(0)).alias("digest"))
+def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    """row (a record of the carried columns, doc_id if none are named), n_bytes, n_removed, n_spans (maximal removed
+    runs), kept_sha256 of the bytes that stay, and text: their whole characters. One row per row."""
+    rows = documents.select(F.struct(*(carried or ["doc_id"])).alias("row"), "text",
+                            F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+                            F.coalesce(F.xxhash64("text"), F.lit(0)).alias("digest"))
+    texts = rows.select("doc", "text", "digest")
     found = texts.select("doc", "text").mapInArrow(_documents_of_anchors, "anchor long")
     shared = written_table(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "shared")
     occurrences = texts.mapInArrow(_occurrences(bit_table(shared)), "anchor long, region long, doc long, digest long, pos long")
@@ -252,9 +256,9 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     spans = settled.unionByName(_spans_by_order(texts, regions.join(met.filter("n > 1"), "anchor")))
     covered = occurrences.join(spans, ["anchor", "region"]).filter("least < doc").groupBy("doc", "digest").agg(
         F.collect_set(F.struct((F.col("pos") + F.col("begin")).alias("a"), (F.col("pos") + F.col("end")).alias("b"))).alias("spans"))
-    rows = texts.join(covered, ["doc", "digest"], "left").select("doc", "text", "spans")
-    cut = rows.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return cut.withColumn("doc_id", F.when(F.col("doc_id") < LAST, F.col("doc_id")))
+    rows = rows.join(covered, ["doc", "digest"], "left").select("row", "text", "spans")
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(_cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:

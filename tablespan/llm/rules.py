@@ -79,8 +79,8 @@ def _repeated_window_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, 0).otherwise(let(F.transform(starts, window), by_hash)).cast("long")
 
 
-def text_stats(documents: DataFrame) -> DataFrame:
-    """doc_id and the statistics of its whole text, one row per row."""
+def text_stats(documents: DataFrame, *carried: str) -> DataFrame:
+    """The carried columns and the statistics of the whole text, one row per row."""
     text = F.coalesce("text", F.lit(""))
     plain = F.translate(text, WHITE[1:], " " * (len(WHITE) - 1))
     words = F.filter(F.split(plain, " "), lambda w: w != "")
@@ -97,13 +97,13 @@ def text_stats(documents: DataFrame) -> DataFrame:
                         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
 
     rows = documents.select(
-        "doc_id", let(words, of_words).alias("w"), let(lines, of_lines).alias("l"),
+        F.struct(*carried).alias("row"), let(words, of_words).alias("w"), let(lines, of_lines).alias("l"),
         F.length(_without(text, WHITE)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.length(text) - F.length(_without(text, "!?.,;:"))).cast("long").alias("n_marks"),
         (F.length(text) - F.length(_without(text, "0123456789"))).cast("long").alias("n_digits"),
         capitals.cast("long").alias("n_capitals"))
-    return rows.select("doc_id", "w.*", "l.*", "word_chars", "n_symbols", "n_marks", "n_digits", "n_capitals")
+    return rows.select("row", "w.*", "l.*", "word_chars", "n_symbols", "n_marks", "n_digits", "n_capitals")
 
 
 def base_failed() -> Column:
@@ -141,17 +141,21 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def learn_rules(stats: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> list[Rule]:
+def learn_rules(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> list[Rule]:
     """Ordered rules that reject documents like those with quality 0, from `labels` (doc_id, quality) of documents
     that pass the base rules."""
     known = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", (F.col("quality") == 0).cast("int").alias("bad"))
     n = known.count()
     if n == 0:
         return []
-    share = min(1.0, max_labelled / n)
-    known = known.filter(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0))
-    rows = stats.filter(~base_failed()).join(known, "doc_id").select(
-        "bad", (F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(3)) < 2).alias("grow"),
+    if n > max_labelled:
+        share = max_labelled / n
+        known = known.filter(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    known = written_table(known, "labels")
+    if known.count() <= 2 * max_labelled:   # a doc_id with many labels could make more
+        known = F.broadcast(known)
+    rows = text_stats(documents.select("doc_id", "text").join(known, "doc_id"), "doc_id", "bad").filter(~base_failed()).select(
+        "row.bad", (F.pmod(F.xxhash64(F.lit(2), "row.doc_id"), F.lit(3)) < 2).alias("grow"),
         *[F.expr(e).alias(f) for f, e in FEATURES.items()])
     rows = written_table(rows, "labelled")
     names = list(FEATURES)
@@ -237,8 +241,9 @@ def _centred(rows: DataFrame, terms: list[Term], names: list[str], limits: dict[
     return tuple(Term(t.feature, t.limit if edge[k] is None else (t.limit + edge[k]) / 2, t.above) for k, t in enumerate(terms))
 
 
-def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The statistics of every document with base_failed and kept."""
-    stats = written_table(text_stats(documents), "text-stats")
-    kept = F.when(base_failed(), False).otherwise(verdict(learn_rules(stats, labels)))
-    return stats.select("*", base_failed().alias("base_failed"), kept.alias("kept"))
+def judged(documents: DataFrame, labels: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    """For every document `row` (a record of the carried columns, doc_id if none are named), its statistics,
+    base_failed and kept."""
+    rules = learn_rules(documents, labels)
+    kept = F.when(base_failed(), False).otherwise(verdict(rules))
+    return text_stats(documents, *(carried or ["doc_id"])).select("*", base_failed().alias("base_failed"), kept.alias("kept"))
