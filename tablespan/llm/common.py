@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text worked on at a time inside a task. Only whole texts are worked on, so one long text may exceed it.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespan.llm import chat, jaccard, mixing, packing, repeats, rules
+from tablespan.llm import chat, jaccard, langid, mixing, packing, repeats, rules
 from tablespan.sources.tables import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,11 @@ def _mixing_sql() -> str:
 def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.weighted(read_table(spark, folder, "documents"), MIX).filter("drawn")
     return found.select("row.doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 9).alias("probability"))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    documents = read_table(spark, folder, "documents").withColumn("held_out", held_out)
+    model = langid.fit(documents.filter(~F.col("held_out")))
+    return langid.predict(documents, model, ["doc_id", "held_out"])
