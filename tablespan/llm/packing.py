@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablespan.llm.words import WordTokenizer
+from tablespan.llm.common import text_blocks
+from tablespan.llm.words import word_tokenizer
 from tablespan.scratch import written_table
 
 LENGTH = 2048
@@ -47,14 +48,16 @@ def tokenised_pieces(documents: DataFrame, tokenizer_file: str, length: int = LE
     names = PIECE.names if keep_ids else PIECE.names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer_file)
-        for batch in batches:
+        words = word_tokenizer(tokenizer_file)
+        for batch in text_blocks(batches):
             out: list[list] = [[] for _ in names]
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = words.encoded(text or "") + SEPARATOR.to_bytes(4, "little")
+            for doc, ids in zip(batch.column(0).to_pylist(), words.encoded(batch.column(1).fill_null("").to_pylist())):
+                ids += SEPARATOR.to_bytes(4, "little")
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at:at + 4 * length]
-                    cells = doc, piece, at // 4, len(part) // 4, zlib.crc32(part), np.frombuffer(part, "<i4")
+                    cells = [doc, piece, at // 4, len(part) // 4, zlib.crc32(part)]
+                    if keep_ids:
+                        cells.append(np.frombuffer(part, "<i4"))
                     for column, cell in zip(out, cells):
                         column.append(cell)
             yield pa.record_batch([pa.array(c, PIECE.field(n).type) for n, c in zip(names, out)], names=names)

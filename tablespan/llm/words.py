@@ -8,6 +8,9 @@ or with the vocabulary's special strings, go through the tokenizer as they are.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
+from functools import cache
 
 from tokenizers import Tokenizer
 
@@ -19,31 +22,43 @@ _NUMBER = "0-9²³¹¼-¾"
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^ \t\n\r{_LETTER}{_NUMBER}]+")
 _SPECIAL = "<|"
 
-#: Words kept by one task.
-KEPT_WORDS = 400_000
+#: Words remembered by one worker process, in each of two generations.
+KEPT_WORDS = 200_000
+
+
+@cache
+def word_tokenizer(file: str) -> WordTokenizer:
+    """One per worker process, which serves many tasks."""
+    return WordTokenizer(file)
 
 
 class WordTokenizer:
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as unsigned little-endian 32-bit numbers, without special tokens."""
+        split = [_WORD.findall(t.lower()) if _PLAIN.fullmatch(t) and _SPECIAL not in t else None for t in texts]
+        self._learn(set().union(*(s for s in split if s is not None)))
+        ids = self.known.__getitem__
+        return [_bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if s is None else b"".join(map(ids, s))
+                for t, s in zip(texts, split)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Makes `words` known. Words not seen for a while are forgotten."""
+        if len(self.known) > KEPT_WORDS:
+            self.known, self.older = {}, self.known
+        new = words.difference(self.known)
+        old = new.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in old)
+        new = list(new.difference(old))
+        for at in range(0, len(new), 4096):
+            some = new[at:at + 4096]
+            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[word] = _bytes(found.ids)
+
 
-    def _bytes(self, ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
-
-    def encoded(self, text: str) -> bytes:
-        """The ids of `text` as unsigned little-endian 32-bit numbers, without special tokens."""
-        if _PLAIN.fullmatch(text) is None or _SPECIAL in text:
-            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        words = _WORD.findall(text.lower())
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = list({w for w in words if w not in known})
-            if len(known) + len(new) > KEPT_WORDS:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[w] = self._bytes(e.ids)
-            return b"".join(map(known.__getitem__, words))
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if sys.byteorder == "little" else b"".join(i.to_bytes(4, "little") for i in ids)
