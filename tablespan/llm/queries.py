@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespan.llm import chat, jaccard, langid, mixing, packing, repeats, rules
+from tablespan.llm import chat, impacts, jaccard, langid, mixing, packing, repeats, rules
 from tablespan.sources.tables import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,20 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents").withColumn("held_out", held_out)
     model = langid.fit(documents.filter(~F.col("held_out")))
     return langid.predict(documents, model, ["doc_id", "held_out"])
+
+
+@query("op6_exact_top_k", sql="""
+    WITH v AS (
+        SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)])::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+    SELECT query_id, rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    WHERE rank <= 10
+""")
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = impacts.integer_vectors(read_table(spark, folder, "embeddings"))
+    return impacts.top_k(vectors, vectors.filter("vec_id % 100 = 0"), 10)
