@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablespan.scratch import new_path
+
 #: Bytes of text worked on at a time inside a task. Only whole texts are worked on, so one long text may exceed it.
 BLOCK_BYTES = 1 << 20
 
@@ -30,8 +33,8 @@ def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start += n
 
 
-#: Size of a bit table, whatever the data: 2 MB.
-BITS = 1 << 24
+#: Size of a bit table, whatever the data: 8 MB.
+BITS = 1 << 26
 
 
 def bit_table(hashes: DataFrame) -> np.ndarray:
@@ -40,12 +43,34 @@ def bit_table(hashes: DataFrame) -> np.ndarray:
     value = F.col(hashes.columns[0])
     words = hashes.select(F.shiftright(value.bitwiseAND(F.lit(BITS - 1)), 6).alias("word"),
                           F.call_function("shiftleft", F.lit(1).cast("long"), value.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     table = np.zeros(BITS >> 6, np.uint64)
-    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    table[found["word"].to_numpy().astype(np.int64)] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return table
 
 
 def has_bit(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     slot = (hashes.astype(np.uint64) & np.uint64(BITS - 1))
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def may_be_in(table: np.ndarray, hashes: Column, spark: SparkSession) -> Column:
+    """Whether the bit of a row's hash (long) is set in the table."""
+    shared = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def test(values: pd.Series) -> pd.Series:
+        return pd.Series(has_bit(shared.value, values.to_numpy(np.int64)))
+
+    return test(hashes)
+
+
+def bucketed_table(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """`df` written once in the shared folder, in as many buckets by `keys` as the session has shuffle partitions:
+    grouping by the keys needs no shuffle afterwards, and a join by them shuffles the other side only."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark, label)
+    name = f"{label}_{path.rsplit('-', 1)[-1]}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+    return spark.table(name)

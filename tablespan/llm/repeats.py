@@ -3,6 +3,7 @@
 A byte goes if it lies in a string of WINDOW bytes that also starts in a document with a smaller doc_id. No suffix
 array of a whole corpus fits one machine, so suffixes are first dealt into blocks that cannot miss a match:
 
+0. Copies. Of documents with the same text only the one with the smallest doc_id goes on; the others lose everything.
 1. Anchors. Of the KEY-byte substrings of a window the one with the smallest hash is its anchor, so equal windows have
    equal anchors at equal places. Only anchors of more than one document matter.
 2. Regions. An occurrence of an anchor has around it all windows it may serve, at most WINDOW - KEY bytes either way.
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import bit_table, has_bit, text_blocks
+from tablespan.llm.common import bit_table, bucketed_table, has_bit, may_be_in, text_blocks
 from tablespan.llm.shingles import mix, text_bytes
 from tablespan.llm.suffixes import suffix_array
 from tablespan.scratch import written_table
@@ -236,29 +237,50 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """row (a record of the carried columns, doc_id if none are named), n_bytes, n_removed, n_spans (maximal removed
     runs), kept_sha256 of the bytes that stay, and text: their whole characters. One row per row."""
-    rows = documents.select(F.struct(*(carried or ["doc_id"])).alias("row"), "text",
-                            F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-                            F.coalesce(F.xxhash64("text"), F.lit(0)).alias("digest"))
-    texts = rows.select("doc", "text", "digest")
-    found = texts.select("doc", "text").mapInArrow(_documents_of_anchors, "anchor long")
+    spark = documents.sparkSession
+    rows = documents.select(
+        F.struct(*(carried or ["doc_id"])).alias("row"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("h1"), F.xxhash64(F.lit(1), F.coalesce("text", F.lit(""))).alias("h2"))
+    # a row is known by its doc_id; where doc_ids repeat, by a hash of its text too
+    unique = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    rows = rows.withColumn("digest", F.lit(0).cast("long") if unique else F.col("h1"))
+    texts = rows.select("doc", "text", "digest", "h1", "h2")
+
+    classes = texts.filter(F.octet_length("text") >= WINDOW).groupBy("h1", "h2").agg(
+        F.min("doc").alias("original"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    classes = written_table(classes, "copies")
+    may_be_copy = may_be_in(bit_table(classes.select("h1")), F.col("h1"), spark)
+    copies = texts.filter(may_be_copy).join(classes, ["h1", "h2"], "left")
+    originals = texts.filter(~may_be_copy).drop("h1", "h2").unionByName(
+        copies.filter("original is null or original = doc").select("doc", "text", "digest"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(LAST).alias("b")))
+    copied = copies.filter("original < doc").select("doc", "digest", whole.alias("spans")).distinct()
+
+    found = originals.select("doc", "text").mapInArrow(_documents_of_anchors, "anchor long")
     shared = written_table(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "shared")
-    occurrences = texts.mapInArrow(_occurrences(bit_table(shared)), "anchor long, region long, doc long, digest long, pos long")
-    occurrences = written_table(occurrences.join(shared, "anchor", "left_semi"), "occurrences")
+    occurrences = originals.mapInArrow(_occurrences(bit_table(shared)), "anchor long, region long, doc long, digest long, pos long")
+    occurrences = bucketed_table(occurrences, ["anchor", "region"], "occurrences")
 
     where = F.struct("doc", "digest", "pos")
-    regions = occurrences.groupBy("anchor", "region").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min(where).alias("at"))
-    regions = written_table(regions, "regions")
+    regions = occurrences.groupBy("anchor", "region").agg(F.min(where).alias("at"), F.max("doc").alias("hi"))
+    regions = written_table(regions.select("anchor", "region", F.col("at.doc").alias("lo"), "hi", "at"), "regions")
     met = regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("first"), F.max("hi").alias("last"))
-    met = met.filter("first < last")
+    met = written_table(met.filter("first < last"), "shared-by-documents")
     settled = regions.join(met.filter("n = 1").select("anchor"), "anchor").select(
         "anchor", "region", F.lit(-AROUND).cast("long").alias("begin"), F.lit(KEY + AROUND).cast("long").alias("end"),
         F.col("lo").alias("least"))
     spans = settled.unionByName(_spans_by_order(texts, regions.join(met.filter("n > 1"), "anchor")))
     covered = occurrences.join(spans, ["anchor", "region"]).filter("least < doc").groupBy("doc", "digest").agg(
         F.collect_set(F.struct((F.col("pos") + F.col("begin")).alias("a"), (F.col("pos") + F.col("end")).alias("b"))).alias("spans"))
-    rows = rows.join(covered, ["doc", "digest"], "left").select("row", "text", "spans")
+    covered = written_table(covered.unionByName(copied), "covered")
+
+    touched = may_be_in(bit_table(covered.select(F.xxhash64("doc"))), F.xxhash64("doc"), spark)
+    rows = rows.select("row", "text", "doc", "digest")
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+    out = f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
+    tied = rows.filter(touched).join(covered, ["doc", "digest"], "left").select("row", "text", "spans")
+    free = rows.filter(~touched).select("row", "text", F.lit(None).cast(tied.schema["spans"].dataType).alias("spans"))
+    return tied.mapInArrow(_cut, out).unionByName(free.mapInArrow(_cut, out))
 
 
 def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:
@@ -271,6 +293,8 @@ def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:
     listed = rows.groupBy("doc", "digest").agg(
         F.collect_list(F.struct("bucket", "anchor", "region", "lo", "hi", "doc", "digest", "pos")).alias("regions"))
     columns = "bucket long, anchor long, region long, lo long, hi long, doc long, digest long, pos long, left long, bytes binary"
-    pieces = texts.join(listed, ["doc", "digest"]).select("text", "regions").mapInArrow(_region_texts, columns)
+    listed = written_table(listed, "listed-regions")
+    needed = may_be_in(bit_table(listed.select(F.xxhash64("doc"))), F.xxhash64("doc"), texts.sparkSession)
+    pieces = texts.select("doc", "digest", "text").filter(needed).join(listed, ["doc", "digest"]).select("text", "regions").mapInArrow(_region_texts, columns)
     return pieces.groupBy("bucket").applyInPandas(
         shared_spans, "anchor long, region long, begin long, end long, least long")
