@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SHARD, QUERIES = 8192, 512
-LEVELS = 32                # quantised impacts per sign of a dimension
+LEVELS = 16                # quantised impacts per sign of a dimension
 FEW = 64                   # vectors that may be left to score exactly when processing stops
-ROUNDS = (0.6, 0.75, 0.9, 1.0)
+ROUNDS = (0.7, 0.85, 1.0)
 
 
 def integer_vectors(rows: DataFrame, vector: str = "embedding", scale: int = 1024) -> DataFrame:
