@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespan.llm import chat, impacts, jaccard, langid, mixing, packing, repeats, rules
+from tablespan.llm import chat, impacts, jaccard, langid, mixing, packing, repeats, rules, url_lists, weak_labels
 from tablespan.sources.tables import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,51 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = impacts.integer_vectors(read_table(spark, folder, "embeddings"))
     return impacts.top_k(vectors, vectors.filter("vec_id % 100 = 0"), 10)
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_labels.classified(read_table(spark, folder, "documents"))
+
+
+def _drawn(value, salt: str, n: int):
+    """A reproducible number from 0 to n - 1."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), value.cast("string"))), 1, 8), 16, 10).cast("long") % n
+
+
+_HOST_SQL = "regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\\.+$', '')"
+
+
+# The tables hold neither fetch days nor lists. Both derive from the pages: a day of two years by page_id, and for some
+# of the hosts and of their domains an addition, for half of these a later removal, for a quarter a second addition.
+@query("op2_url_lists", sql=f"""
+    WITH c AS (
+        SELECT page_id, nullif({_HOST_SQL}, '') AS host,
+               DATE '2023-01-01' + (('0x' || substr(md5('fetch' || page_id::VARCHAR), 1, 8))::BIGINT % 730)::INTEGER AS fetched_on
+        FROM pages),
+    k AS (SELECT DISTINCT page_id, host, fetched_on, list_aggregate((string_split(host, '.'))[i:], 'string_agg', '.') AS key
+        FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM c WHERE host IS NOT NULL)),
+    h AS (
+        SELECT key, ('0x' || substr(md5('list' || key), 1, 8))::BIGINT % 16 AS r,
+               DATE '2023-01-01' + (('0x' || substr(md5('day' || key), 1, 8))::BIGINT % 500)::INTEGER AS day
+        FROM (SELECT DISTINCT key FROM k WHERE contains(key, '.'))),
+    v AS (
+        SELECT key, day AS since, CASE WHEN r < 2 THEN day + 100 END AS until FROM h WHERE r < 4
+        UNION ALL SELECT key, day + 160, NULL FROM h WHERE r < 1),
+    m AS (SELECT k.page_id, k.key, v.since, row_number() OVER (PARTITION BY page_id ORDER BY length(k.key) DESC) AS n
+        FROM k JOIN v ON k.key = v.key AND v.since <= fetched_on AND (v.until IS NULL OR fetched_on < v.until))
+    SELECT c.page_id, c.host, c.fetched_on, m.key IS NOT NULL AS listed, m.key AS matched, m.since
+    FROM c LEFT JOIN m ON c.page_id = m.page_id AND m.n = 1
+""")
+def op2_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages").select("page_id", "url")
+    start = F.lit("2023-01-01").cast("date")
+    captures = pages.withColumn("day", F.date_add(start, _drawn(F.col("page_id"), "fetch", 730).cast("int")))
+    keys = pages.select(F.explode(url_lists.domains_of(url_lists.host_of(F.col("url")))).alias("key")).distinct().filter(F.col("key").contains("."))
+    first = F.date_add(start, _drawn(F.col("key"), "day", 500).cast("int"))
+    keys = keys.select("key", first.alias("first"), _drawn(F.col("key"), "list", 16).alias("r"))
+    events = F.array(*[F.struct(F.date_add("first", n).alias("day"), F.lit(added).alias("added"), F.lit(below).alias("below"))
+                       for n, added, below in ((0, True, 4), (100, False, 2), (160, True, 1))])
+    entries = keys.select("key", "r", F.inline(events)).filter("r < below").select("key", "day", "added")
+    found = url_lists.listed_at_fetch(captures, entries, "url", "day")
+    return found.select("row.page_id", "host", "fetched_on", "listed", "matched", "since")
