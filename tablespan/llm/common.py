@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespan.scratch import new_path
+from tablespan.scratch import new_path, written_table
 
 #: Bytes of text worked on at a time inside a task. Only whole texts are worked on, so one long text may exceed it.
 BLOCK_BYTES = 1 << 20
@@ -65,10 +66,24 @@ def may_be_in(table: np.ndarray, hashes: Column, spark: SparkSession) -> Column:
     return test(hashes)
 
 
+def free_finished(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nothing refers to any more. It does so when the driver collects
+    its garbage, which a large heap may put off for half an hour; an operator of many steps would pile them up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def stage_table(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once in the shared folder and read back; what earlier steps shuffled is dropped."""
+    free_finished(df.sparkSession)
+    return written_table(df, label)
+
+
 def bucketed_table(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """`df` written once in the shared folder, in as many buckets by `keys` as the session has shuffle partitions:
     grouping by the keys needs no shuffle afterwards, and a join by them shuffles the other side only."""
     spark = df.sparkSession
+    free_finished(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_path(spark, label)
     name = f"{label}_{path.rsplit('-', 1)[-1]}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablespan.scratch import written_table
+from tablespan.llm.common import stage_table
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each round every node points its larger neighbours, then its smaller ones, at the smallest node it knows. A table
     is written per round; rounds grow with the logarithm of the longest chain. Neighbours of a node are never gathered:
     their minimum is pre-aggregated and joined back, where a node with very many neighbours can be split."""
-    now = written_table(_both_ways(edges.filter("a <> b")).distinct(), "edges")
+    now = stage_table(_both_ways(edges.filter("a <> b")).distinct(), "edges")
     state = _signature(now)
     while True:
         least = now.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.join(down, "a").select("a", "b", "m")
         small = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             down.select("a", F.col("m").alias("b"))).distinct()
-        now = written_table(_both_ways(small).distinct(), "edges")
+        now = stage_table(_both_ways(small).distinct(), "edges")
         before, state = state, _signature(now)
         if state == before:
             break

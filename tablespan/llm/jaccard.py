@@ -32,10 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import bit_table, has_bit, text_blocks
+from tablespan.llm.common import bit_table, has_bit, stage_table, text_blocks
 from tablespan.llm.components import components
 from tablespan.llm.shingles import mix, shingle_sets
-from tablespan.scratch import written_table
 
 COUNTERS = 1 << 18
 CHUNK = 64
@@ -121,7 +120,7 @@ def _tokens_of(texts: DataFrame, nodes: DataFrame, width: int, percent: int, cou
     lists = texts.mapInArrow(_token_lists(width, percent, counts, bits, bit_of),
                              "doc_id long, d1 long, prefix array<long>, tokens array<long>")
     found = nodes.withColumnRenamed("doc", "doc_id").join(lists, ["doc_id", "d1"])
-    found = written_table(found, "tokens")
+    found = stage_table(found, "tokens")
     once, often = found.filter("not repeated"), found.filter("repeated")
     return once.unionByName(often.dropDuplicates(["node"]))
 
@@ -135,19 +134,19 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     """doc_id, hash (of the text), n_shingles and component_id, the smallest doc_id reachable by links, for every row."""
     texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text",
                              F.coalesce(F.xxhash64("text"), F.lit(0)).alias("hash"))
-    summaries = written_table(texts.mapInArrow(_summaries(width), _SETS), "shingle-sets")
+    summaries = stage_table(texts.mapInArrow(_summaries(width), _SETS), "shingle-sets")
     counts = _counters(summaries)
     rows = summaries.filter("counts is null").drop("counts")
     digest = ["n_shingles", "d1", "d2"]
     nodes = rows.filter("n_shingles > 0").groupBy(*digest, "doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.first("key").alias("key")).groupBy(*digest).agg(
         F.min("doc_id").alias("doc"), F.min_by(F.col("rows") > 1, "doc_id").alias("repeated"), F.first("key").alias("key"))
-    nodes = written_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = nodes.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("alike"))
     keys = keys.filter("alike > 1").drop("alike")
     bits = bit_table(keys.select("key"))
     nodes = nodes.join(keys, "key", "left").withColumn("leader", F.coalesce("leader", "node")).drop("key")
-    nodes = written_table(nodes, "nodes")
+    nodes = stage_table(nodes, "nodes")
     sets = _tokens_of(texts, nodes.select("node", "leader", "doc", "d1", "repeated", "n_shingles"), width, percent, counts, bits, 2)
 
     wholes = sets.filter("tokens is not null").select("node", "leader", "tokens")
@@ -155,7 +154,7 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     stars = wholes.filter("node <> leader").join(lead, "leader").filter(_similar(F.col("tokens"), F.col("first"), percent))
     grouped = nodes.join(stars.select("node", F.col("leader").alias("grp")), "node", "left").select(
         "node", "n_shingles", F.coalesce("grp", "node").alias("grp"))
-    grouped = written_table(grouped, "groups")
+    grouped = stage_table(grouped, "groups")
 
     roots = components(_links_between(texts, nodes, grouped, sets, width, percent))
     named = grouped.join(roots, grouped.grp == roots.node, "left").select(grouped.node, F.coalesce("root", "grp").alias("root"))
@@ -181,7 +180,7 @@ def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> Data
 
 def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (a, b) between groups that have similar members."""
-    pairs = written_table(_candidate_groups(grouped, sets, percent), "group-pairs")
+    pairs = stage_table(_candidate_groups(grouped, sets, percent), "group-pairs")
     involved = pairs.select(F.explode(F.array("asks", "holds")).alias("grp")).distinct()
     members = grouped.join(involved, "grp", "left_semi")
     missing = members.join(sets.filter("tokens is null").select("node"), "node", "left_semi").select("node").join(nodes, "node")
@@ -191,13 +190,13 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, sets:
     chunks = grouped.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     members = members.join(chunks, "grp").join(have, "node").select(
         "grp", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), "node", "tokens")
-    members = written_table(members, "members")
+    members = stage_table(members, "members")
 
     matrix = members.groupBy("grp", "chunk").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
     queries = members.select(F.col("grp").alias("asks"), F.col("node").alias("query"), F.col("tokens").alias("asked"))
     opened = pairs.join(queries, "asks").join(matrix, F.col("holds") == F.col("grp")).filter(
         100 * F.size(F.array_intersect("asked", "union")) >= percent * F.size("asked")).select("asks", "query", "grp", "chunk")
-    opened = written_table(opened, "opened")
+    opened = stage_table(opened, "opened")
     held = opened.join(members, ["grp", "chunk"]).select("asks", "query", "grp", "tokens")
     asked = members.select(F.col("node").alias("query"), F.col("tokens").alias("asked"))
     return held.join(asked, "query").filter(_similar(F.col("tokens"), F.col("asked"), percent)).select(

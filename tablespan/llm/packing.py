@@ -27,9 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import text_blocks
+from tablespan.llm.common import stage_table, text_blocks
 from tablespan.llm.words import word_tokenizer
-from tablespan.scratch import written_table
 
 LENGTH = 2048
 SEPARATOR = 0
@@ -207,7 +206,7 @@ def _evolved(items: DataFrame, blocks: int, length: int) -> DataFrame:
 
 def packed(pieces: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
     """`pieces` with sequence_id (any numbers) and offset. Lengths are from 1 to `length`."""
-    numbered = written_table(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
+    numbered = stage_table(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
     whole = numbered.filter(F.col("length") >= length).select("item", (-1 - F.col("item")).alias("sequence_id"))
     rest = numbered.filter(F.col("length") < length).select("item", "length")
     done, n = [whole], rest.count()
@@ -215,7 +214,7 @@ def packed(pieces: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataF
         if n == 0:
             break
         blocks = -(-n // block)
-        groups = written_table(_evolved(rest, blocks, length), "packed-level")
+        groups = stage_table(_evolved(rest, blocks, length), "packed-level")
         # level, block and bin in one number: a block has at most as many bins as pieces, about BLOCK of them
         sequence = F.lit(level << 59) + F.col("block") * F.lit(1 << 16) + F.col("bin")
         fill = groups.groupBy("block", "bin").agg(F.sum("length").alias("fill"))

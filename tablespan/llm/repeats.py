@@ -37,10 +37,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import bit_table, bucketed_table, has_bit, may_be_in, text_blocks
+from tablespan.llm.common import bit_table, bucketed_table, has_bit, may_be_in, stage_table, text_blocks
 from tablespan.llm.shingles import mix, text_bytes
 from tablespan.llm.suffixes import suffix_array
-from tablespan.scratch import written_table
 
 WINDOW, KEY = 50, 24
 AROUND = WINDOW - KEY
@@ -248,7 +247,7 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
 
     classes = texts.filter(F.octet_length("text") >= WINDOW).groupBy("h1", "h2").agg(
         F.min("doc").alias("original"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    classes = written_table(classes, "copies")
+    classes = stage_table(classes, "copies")
     may_be_copy = may_be_in(bit_table(classes.select("h1")), F.col("h1"), spark)
     copies = texts.filter(may_be_copy).join(classes, ["h1", "h2"], "left")
     originals = texts.filter(~may_be_copy).drop("h1", "h2").unionByName(
@@ -257,22 +256,22 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
     copied = copies.filter("original < doc").select("doc", "digest", whole.alias("spans")).distinct()
 
     found = originals.select("doc", "text").mapInArrow(_documents_of_anchors, "anchor long")
-    shared = written_table(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "shared")
+    shared = stage_table(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "shared")
     occurrences = originals.mapInArrow(_occurrences(bit_table(shared)), "anchor long, region long, doc long, digest long, pos long")
     occurrences = bucketed_table(occurrences, ["anchor", "region"], "occurrences")
 
     where = F.struct("doc", "digest", "pos")
     regions = occurrences.groupBy("anchor", "region").agg(F.min(where).alias("at"), F.max("doc").alias("hi"))
-    regions = written_table(regions.select("anchor", "region", F.col("at.doc").alias("lo"), "hi", "at"), "regions")
+    regions = stage_table(regions.select("anchor", "region", F.col("at.doc").alias("lo"), "hi", "at"), "regions")
     met = regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("first"), F.max("hi").alias("last"))
-    met = written_table(met.filter("first < last"), "shared-by-documents")
+    met = stage_table(met.filter("first < last"), "shared-by-documents")
     settled = regions.join(met.filter("n = 1").select("anchor"), "anchor").select(
         "anchor", "region", F.lit(-AROUND).cast("long").alias("begin"), F.lit(KEY + AROUND).cast("long").alias("end"),
         F.col("lo").alias("least"))
     spans = settled.unionByName(_spans_by_order(texts, regions.join(met.filter("n > 1"), "anchor")))
     covered = occurrences.join(spans, ["anchor", "region"]).filter("least < doc").groupBy("doc", "digest").agg(
         F.collect_set(F.struct((F.col("pos") + F.col("begin")).alias("a"), (F.col("pos") + F.col("end")).alias("b"))).alias("spans"))
-    covered = written_table(covered.unionByName(copied), "covered")
+    covered = stage_table(covered.unionByName(copied), "covered")
 
     touched = may_be_in(bit_table(covered.select(F.xxhash64("doc"))), F.xxhash64("doc"), spark)
     rows = rows.select("row", "text", "doc", "digest")
@@ -285,7 +284,7 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
 
 def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:
     """Spans of regions whose anchors have several, by suffix order within blocks."""
-    rows = written_table(open_regions.select("anchor", "region", "lo", "hi", "at.*", F.col("first").alias("block")), "open-regions")
+    rows = stage_table(open_regions.select("anchor", "region", "lo", "hi", "at.*", F.col("first").alias("block")), "open-regions")
     buckets = max(1, -(-rows.count() // BLOCK))
     parts = rows.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("anchor"), F.col("parts"))).otherwise(0)
@@ -293,7 +292,7 @@ def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:
     listed = rows.groupBy("doc", "digest").agg(
         F.collect_list(F.struct("bucket", "anchor", "region", "lo", "hi", "doc", "digest", "pos")).alias("regions"))
     columns = "bucket long, anchor long, region long, lo long, hi long, doc long, digest long, pos long, left long, bytes binary"
-    listed = written_table(listed, "listed-regions")
+    listed = stage_table(listed, "listed-regions")
     needed = may_be_in(bit_table(listed.select(F.xxhash64("doc"))), F.xxhash64("doc"), texts.sparkSession)
     pieces = texts.select("doc", "digest", "text").filter(needed).join(listed, ["doc", "digest"]).select("text", "regions").mapInArrow(_region_texts, columns)
     return pieces.groupBy("bucket").applyInPandas(

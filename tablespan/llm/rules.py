@@ -22,8 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import let
-from tablespan.scratch import written_table
+from tablespan.llm.common import let, stage_table
 
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -151,19 +150,19 @@ def learn_rules(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX
     if n > max_labelled:
         share = max_labelled / n
         known = known.filter(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    known = written_table(known, "labels")
+    known = stage_table(known, "labels")
     if known.count() <= 2 * max_labelled:   # a doc_id with many labels could make more
         known = F.broadcast(known)
     rows = text_stats(documents.select("doc_id", "text").join(known, "doc_id"), "doc_id", "bad").filter(~base_failed()).select(
         "row.bad", (F.pmod(F.xxhash64(F.lit(2), "row.doc_id"), F.lit(3)) < 2).alias("grow"),
         *[F.expr(e).alias(f) for f, e in FEATURES.items()])
-    rows = written_table(rows, "labelled")
+    rows = stage_table(rows, "labelled")
     names = list(FEATURES)
     at = [i / BINS for i in range(1, BINS)] + [0.01, 0.99]
     found = rows.select([F.percentile(f, F.array(*map(F.lit, at))).alias(f) for f in names]).first()
     limits = {f: sorted(set(found[f] or [])) for f in names}
     bins = [_bin(F.col(f), limits[f]).alias(f) for f in names]
-    rows = written_table(rows.select("*", F.array(*bins).alias("bins")), "labelled-bins")
+    rows = stage_table(rows.select("*", F.array(*bins).alias("bins")), "labelled-bins")
     rules: list[Rule] = []
     left = F.lit(True)
     while len(rules) < MAX_RULES:

@@ -24,21 +24,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import text_blocks
+from tablespan.llm.common import stage_table, text_blocks
 from tablespan.llm.rules import FEATURES, text_stats
 from tablespan.llm.shingles import mix, text_bytes
-from tablespan.scratch import written_table
 
 #: name -> (good if, bad if), over the columns of `rules.text_stats` and FEATURES.
 LABELLERS = {
-    "length": ("n_words >= 50", "n_words < 50"),
-    "symbols": ("symbols_per_word < 0.02", "symbols_per_word > 0.2"),
-    "repetition": ("repeated_words < 0.3", "repeated_words > 0.5"),
+    "length": ("n_words >= 50", "n_words < 3"),
+    "symbols": ("false", "symbols_per_word > 0.2"),
+    "repetition": ("false", "repeated_words > 0.5"),
     "variety": ("distinct_words > 0.4 and n_words >= 50", "distinct_words < 0.25"),
-    "lines": ("repeated_lines < 0.1 and n_words >= 50", "repeated_lines > 0.4"),
-    "case": ("capitals_per_char < 0.1", "capitals_per_char > 0.3"),
+    "lines": ("false", "repeated_lines > 0.4"),
+    "case": ("false", "capitals_per_char > 0.3"),
     "words": ("mean_word between 3 and 9", "mean_word < 2 or mean_word > 14"),
 }
+#: P(vote bad, good, abstains) assumed at first for a bad and for a good document: complaints are rarely wrong, praise
+#: says less. The assumption keeps the weight of PRIOR_SHARE of all documents.
+ASSUMED = ((0.30, 0.35, 0.35), (0.01, 0.60, 0.39))
+PRIOR_SHARE = 0.05
+#: Bounds that keep classes apart although a bad document is usually bad in one way only: how often a labeller may
+#: complain about good documents, and how much less often it may praise bad ones than good ones.
+MAX_WRONG, MIN_PRAISE = 0.001, 0.8
 ROUNDS = 60
 MAX_SAMPLE = 20_000
 WEIGHTS = 1 << 16
@@ -60,12 +66,12 @@ def votes(stats: DataFrame) -> Column:
 
 def posteriors(counts: dict[int, int], labellers: int, rounds: int = ROUNDS) -> tuple[dict[int, float], np.ndarray]:
     """Posterior of "good" by vote pattern, and P(vote | class) as an array (labeller, class, vote). Classes keep their
-    meaning because each labeller starts out, and by smoothing stays, more often right than wrong."""
+    meaning by the votes assumed of them (ASSUMED)."""
     codes = np.array(sorted(counts), np.int64)
     weight = np.array([counts[c] for c in codes], float)
     digits = (codes[:, None] // 3 ** np.arange(labellers - 1, -1, -1)) % 3
     chance = np.zeros((labellers, 2, 3))
-    chance[:, 0], chance[:, 1] = (0.5, 0.2, 0.3), (0.2, 0.5, 0.3)
+    chance[:, 0], chance[:, 1] = ASSUMED
     prior = 0.7
     good = np.full(len(codes), prior)
     for _ in range(rounds if len(codes) else 0):
@@ -76,9 +82,14 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = ROUNDS) ->
         for k in range(3):
             hit = digits == k
             for c, p in enumerate((1 - good, good)):
-                smooth = weight.sum() * 1e-4 * (1.0 if k == 2 or k == c else 0.5)
-                chance[:, c, k] = (hit * (weight * p)[:, None]).sum(axis=0) + smooth
+                chance[:, c, k] = (hit * (weight * p)[:, None]).sum(axis=0) + PRIOR_SHARE * weight.sum() * ASSUMED[c][k]
         chance /= chance.sum(axis=2, keepdims=True)
+        wrong = np.minimum(chance[:, 1, 0], MAX_WRONG)
+        chance[:, 1, 1:] *= ((1 - wrong) / (1 - chance[:, 1, 0]))[:, None]
+        chance[:, 1, 0] = wrong
+        praise = np.maximum(chance[:, 0, 1], MIN_PRAISE * chance[:, 1, 1])
+        chance[:, 0] = np.stack([chance[:, 0, 0], praise, np.maximum(1e-6, 1 - praise - chance[:, 0, 0])], axis=1)
+        chance[:, 0] /= chance[:, 0].sum(axis=1, keepdims=True)
     return dict(zip(codes.tolist(), good.tolist())), chance
 
 
@@ -137,7 +148,7 @@ def classified(documents: DataFrame, max_sample: int = MAX_SAMPLE) -> DataFrame:
     """doc_id, votes, posterior (of "good", from the votes alone), score (of the linear scorer, 0 to 1) and kept."""
     stats = text_stats(documents, "doc_id", "text").select("row.*", "*", *[F.expr(e).alias(f) for f, e in FEATURES.items() if f != "n_words"])
     rows = stats.select("doc_id", "text", votes(stats).alias("votes"), _bins().alias("bins"))
-    small = written_table(rows.drop("text"), "votes")
+    small = stage_table(rows.drop("text"), "votes")
     counts = {r.votes: r.n for r in small.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     good, _ = posteriors(counts, len(LABELLERS))
     posterior = F.lit(0.5)
@@ -149,7 +160,7 @@ def classified(documents: DataFrame, max_sample: int = MAX_SAMPLE) -> DataFrame:
     sample = small.filter(sampled).select("doc_id", "bins", posterior.alias("goal")).dropDuplicates(["doc_id"])
     if 0 < sample.count() <= 2 * max_sample:
         sample = F.broadcast(sample)
-    sample = written_table(documents.select("doc_id", "text").join(sample, "doc_id").select("text", "bins", "goal"), "sample")
+    sample = stage_table(documents.select("doc_id", "text").join(sample, "doc_id").select("text", "bins", "goal"), "sample")
     weights = np.zeros(WEIGHTS)
     for epoch in range(EPOCHS):
         found = sample.mapInArrow(_improved(weights, epoch), "n long, weights binary").coalesce(1).mapInArrow(_averaged, "n long, weights binary").first()
