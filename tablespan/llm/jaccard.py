@@ -131,7 +131,8 @@ def _similar(a: Column, b: Column, percent: int) -> Column:
 
 
 def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, hash (of the text), n_shingles and component_id, the smallest doc_id reachable by links, for every row."""
+    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, for every row; also hash (of the text)
+    and root, which tells components apart where doc_ids repeat (null without words)."""
     texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text",
                              F.coalesce(F.xxhash64("text"), F.lit(0)).alias("hash"))
     summaries = stage_table(texts.mapInArrow(_summaries(width), _SETS), "shingle-sets")
@@ -160,18 +161,18 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     named = grouped.join(roots, grouped.grp == roots.node, "left").select(grouped.node, F.coalesce("root", "grp").alias("root"))
     named = named.join(nodes, "node").select("root", "doc", *digest)
     smallest = named.groupBy("root").agg(F.min("doc").alias("component_id"))
-    named = named.join(smallest, "root").select(*digest, "component_id")
+    named = named.join(smallest, "root").select(*digest, "root", "component_id")
     found = rows.join(named, digest, "left")
     real = [F.when(c < LAST, c).alias(name) for name, c in (
         ("doc_id", F.col("doc_id")), ("component_id", F.coalesce("component_id", "doc_id")))]
-    return found.select(real[0], "hash", "n_shingles", real[1])
+    return found.select(real[0], "hash", "root", "n_shingles", real[1])
 
 
 def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest doc_id, and of several such
     rows one. Documents without words are linked with nothing and stay, one for each doc_id and text."""
     found = linked_components(documents, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = found.groupBy("doc_id", F.when(F.col("n_shingles") == 0, F.col("hash")).alias("empty")).agg(F.min("hash").alias("hash"))
+    first = found.groupBy("doc_id", F.coalesce("root", "hash"), F.col("root").isNull()).agg(F.min("hash").alias("hash"))
     first = first.select(F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.col("hash").alias("h"))
     rows = documents.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"),
                             F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h"))

@@ -102,7 +102,7 @@ class Bins:
         self.used |= 1 << room
 
     def add_whole(self, members: list[int]) -> None:
-        self.bins.append(members)
+        self.bins.append(list(members))
         self.room.append(self.length - sum(map(self.sizes.__getitem__, members)))
         self.offer(len(self.bins) - 1)
 
