@@ -12,6 +12,7 @@ import sys
 from array import array
 from functools import cache
 
+import numpy as np
 from tokenizers import Tokenizer
 
 # Fixed values of the vocabulary's definition: characters whose handling is the same in every regular-expression engine,
@@ -35,6 +36,9 @@ def word_tokenizer(file: str) -> WordTokenizer:
 class WordTokenizer:
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)    # a word's last id, and no other, ends it
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -54,10 +58,14 @@ class WordTokenizer:
         old = new.intersection(self.older)
         self.known.update((w, self.older[w]) for w in old)
         new = list(new.difference(old))
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = _bytes(found.ids)
+        for at in range(0, len(new), 512):
+            some = new[at:at + 512]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            raw, begin = ids.tobytes(), 0
+            for word, end in zip(some, ends.tolist()):
+                self.known[word] = raw[begin:end]
+                begin = end
 
 
 def _bytes(ids: list[int]) -> bytes:
