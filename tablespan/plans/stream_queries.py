@@ -19,9 +19,16 @@ def _stream(t: Tables, name: str) -> DataFrame:
 
 
 def _events(t: Tables) -> DataFrame:
-    # a watermark needs a timestamp with time zone; the session runs in UTC
-    t.spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    # a watermark needs a timestamp with time zone: the same reading of the clock in UTC, whatever the session's zone
+    ts = F.col("ts")
+    seconds = F.second(ts) + F.date_format(ts, "SSSSSS").cast("decimal(6,0)") / 1000000
+    moment = F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), seconds, F.lit("UTC"))
+    return _stream(t, "events").withColumn("ts", moment)
+
+
+def _clock(moment: str):
+    """A timestamp as text, in UTC."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), TEXT).alias(moment)
 
 
 @query("stream_sessions", f"""
@@ -32,26 +39,22 @@ def _events(t: Tables) -> DataFrame:
       strftime(max(ts) + INTERVAL 12 HOUR, '{DAY}') AS valid_until
     FROM numbered GROUP BY user_id, s HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
 def _(t: Tables):
-    closed = jobs.run_to_table(jobs.sessions(_events(t), "user_id", "ts", "12 hours", "1 day"), "sessions",
-                               partitions=jobs.state_partitions(t.events))
-    return closed.select("user_id", "touches", F.date_format("started", TEXT).alias("started"),
-                         F.date_format("valid_until", TEXT).alias("valid_until"))
+    closed = jobs.run_to_table(jobs.sessions(_events(t), "user_id", "ts", "12 hours", "1 day"), "sessions")
+    return closed.select("user_id", "touches", _clock("started"), _clock("valid_until"))
 
 
 @query("stream_counter", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
 def _(t: Tables):
-    return jobs.running_counts(_stream(t, "orders").select("o_custkey"), "o_custkey", "counter",
-                               partitions=jobs.state_partitions(t.orders))
+    return jobs.running_counts(_stream(t, "orders").select("o_custkey"), "o_custkey", "counter")
 
 
 @query("stream_dedup", """
     SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events""")
 def _(t: Tables):
     # a key holds one day, so its repeats all arrive within the time it is remembered
-    rows = _events(t).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    rows = _events(t).withColumn("day", F.date_format(F.to_utc_timestamp("ts", F.current_timezone()), "yyyy-MM-dd"))
     first = jobs.first_arrivals(rows, ["user_id", "event_type", "day"], "ts", "2 days")
-    return jobs.run_to_table(first.select("user_id", "event_type", "day"), "dedup",
-                             partitions=jobs.state_partitions(t.events))
+    return jobs.run_to_table(first.select("user_id", "event_type", "day"), "dedup")
 
 
 @query("stream_validate", f"""

@@ -1,12 +1,17 @@
 """Intermediate tables and stream state live in the folder the cluster shares between executors.
 
-The folder is the session's `spark.checkpoint.dir`. Only where that is unset (tests on one machine)
-a temporary folder is made. Nothing here depends on one executor staying alive: a written table is
-read back from shared storage whatever happens to the tasks that wrote it.
+The folder is the session's `spark.checkpoint.dir`. Only a session on one machine (master `local`)
+may leave it unset: a temporary folder is made then, and removed when the process ends. Elsewhere
+that is an error, for executors would write to disks that the others cannot read. `drop_written`
+removes everything this library has written below the folder. Nothing here depends on one executor
+staying alive: a written table is read back from shared storage whatever happens to the tasks that
+wrote it.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -20,11 +25,20 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 @cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="tablespan-")
+    folder = tempfile.mkdtemp(prefix="tablespan-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
-    return (spark.conf.get(CHECKPOINT_SETTING, None) or _own_folder()).rstrip("/")
+    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not folder and not on_one_machine(spark.sparkContext.master):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+    return (folder or _own_folder()).rstrip("/")
+
+
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -32,6 +46,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tablespan/{label}-{uuid.uuid4().hex}"
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Remove all tables and stream state that this library has written below the shared folder.
+    DataFrames that read them cannot be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tablespan")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written_table(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and read it back: cuts the lineage, and gives the planner true sizes, so
     that a small table is broadcast and a large one is not."""

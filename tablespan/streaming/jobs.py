@@ -14,28 +14,38 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tablespan.operators.quality import Rule, validated
 from tablespan.scratch import new_path, table_or_empty
+from tablespan.session import SETTINGS
 
 
-def arriving(spark: SparkSession, folder: str, pattern: str, schema: T.StructType,
+def arriving(spark: SparkSession, folder: str, name: str, schema: T.StructType,
              files_per_batch: int | None = None) -> DataFrame:
-    """New Parquet files below `folder` whose names match `pattern`."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    """New files of the table `name`: those in the folder `name` below `folder`, or the one file of
+    that name. A table without any file is an error, for a stream over it would end without rows."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.isDirectory(path):
+        if not any(not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(path)):
+            raise FileNotFoundError(f"no files in {folder}/{name}")
+        return reader.parquet(f"{folder}/{name}")
+    if not files.exists(path):
+        raise FileNotFoundError(f"{folder}/{name}")
+    return reader.option("pathGlobFilter", name).parquet(folder)
 
 
 @contextmanager
-def _stream_settings(spark: SparkSession, partitions: int | None = None):
-    """Settings a stream takes over when it starts: UTC, and sessions merged within each task before
-    the shuffle, so that a busy key sends sessions, not rows. Where state is kept is the session's
-    choice (`build_session` chooses RocksDB)."""
+def _stream_settings(spark: SparkSession):
+    """Settings a stream takes over when it starts: UTC, state off the heap, and sessions merged
+    within each task before the shuffle, so that a busy key sends sessions, not rows. State is
+    divided by the session's shuffle partitions for good: choose them for the table to come, not for
+    what has arrived at the first start."""
     wanted = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+        "spark.sql.streaming.stateStore.providerClass": SETTINGS["spark.sql.streaming.stateStore.providerClass"],
     }
-    if partitions:
-        wanted["spark.sql.shuffle.partitions"] = str(partitions)
     before = {k: spark.conf.get(k, None) for k in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -54,31 +64,22 @@ def _run(writer, path: str) -> None:
     query.awaitTermination()
 
 
-def state_partitions(table: DataFrame) -> int:
-    """How far to divide state for a source of this size: one part per input split, at least one
-    per core and at most the session's shuffle partitions. A stream keeps the number it began with."""
-    spark = table.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(most, max(spark.sparkContext.defaultParallelism, table.rdd.getNumPartitions()))
-
-
-def run_to_table(stream: DataFrame, label: str, mode: str = "append", path: str | None = None,
-                 partitions: int | None = None) -> DataFrame:
+def run_to_table(stream: DataFrame, label: str, mode: str = "append", path: str | None = None) -> DataFrame:
     """Run to the end of what has arrived; returns the result table. With `path` from an earlier
     run it resumes there."""
     spark = stream.sparkSession
     path = path or new_path(spark, label)
-    with _stream_settings(spark, partitions):
+    with _stream_settings(spark):
         _run(stream.writeStream.format("parquet").outputMode(mode).option("path", f"{path}/out"), path)
     return table_or_empty(spark, f"{path}/out", stream.schema)
 
 
 def run_batches(stream: DataFrame, label: str, handle: Callable[[DataFrame, int, str], None],
-                mode: str = "append", path: str | None = None, partitions: int | None = None) -> str:
+                mode: str = "append", path: str | None = None) -> str:
     """Run `handle(batch, batch_id, path)` for each batch; returns the path used."""
     spark = stream.sparkSession
     path = path or new_path(spark, label)
-    with _stream_settings(spark, partitions):
+    with _stream_settings(spark):
         _run(stream.writeStream.outputMode(mode).foreachBatch(
             lambda df, batch: handle(df, batch, path)), path)
     return path
@@ -98,28 +99,29 @@ def sessions(touches: DataFrame, key: str, ts: str, gap: str, late: str) -> Data
                     (F.col("last_touch") + F.expr(f"interval {gap}")).alias("valid_until")))
 
 
-def running_counts(rows: DataFrame, key: str, label: str, path: str | None = None,
-                   partitions: int | None = None) -> DataFrame:
+def running_counts(rows: DataFrame, key: str, label: str, path: str | None = None) -> DataFrame:
     """Rows per key, maintained as they arrive; each batch logs the keys it changed."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
     def log(batch: DataFrame, number: int, folder: str) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/log/batch={number}")
 
-    path = run_batches(counts, label, log, "update", path, partitions)
+    path = run_batches(counts, label, log, "update", path)
     schema = T.StructType([*counts.schema.fields, T.StructField("batch", T.LongType())])
     entries = table_or_empty(rows.sparkSession, f"{path}/log", schema)
     return entries.groupBy(key).agg(F.max_by("n", "batch").alias("n"))
 
 
 def first_arrivals(rows: DataFrame, keys: list[str], ts: str, within: str,
-                   stored: DataFrame | None = None, shares: int = 8) -> DataFrame:
+                   stored: DataFrame | None = None, shares: int | None = None) -> DataFrame:
     """The first row per key; later rows with the same key are refused for at least `within`, after
     which the key is forgotten, so that state does not grow without end. Keys in the table `stored`
     are refused from the start.
 
     Repeats are removed twice: first within hashed shares of each key, so that the rows of a very
-    frequent key are spread over several tasks, then among the at most `shares` rows left per key."""
+    frequent key are spread over several tasks, then among the at most `shares` rows left per key
+    (as many as there are shuffle partitions, if not given)."""
+    shares = shares or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if stored is not None:
         rows = rows.join(stored.select(*keys).distinct(), keys, "left_anti")
     share = F.pmod(F.xxhash64(F.struct(*rows.columns)), F.lit(shares))

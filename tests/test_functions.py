@@ -154,3 +154,18 @@ def test_scratch_tables_use_the_shared_folder(spark):
     assert path.startswith((setting or scratch._own_folder()).rstrip("/"))
     assert path != scratch.new_path(spark, "x")
     assert scratch.table_or_empty(spark, path, spark.range(1).schema).count() == 0
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from tablespan import scratch
+
+    def session(master, folder):
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=SimpleNamespace(get=lambda *_: folder))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(ValueError):
+            scratch.shared_folder(session(master, None))
+        assert scratch.shared_folder(session(master, "hdfs:///x/")) == "hdfs:///x"
+    assert scratch.shared_folder(session("local[8]", None)) == scratch._own_folder()

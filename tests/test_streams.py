@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablespan.functions import checks
@@ -20,19 +21,19 @@ def files(spark, schema, *batches):
     import os
     import time
 
-    folder = new_path(spark, "arriving")
+    folder, seen = new_path(spark, "arriving"), set()
     for number, rows in enumerate(batches):
-        path = f"{folder}/part{number}"
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
         stamp = time.time() - 1000 + number * 10
-        for name in os.listdir(path):
-            os.utime(f"{path}/{name}", (stamp, stamp))
+        for name in set(os.listdir(folder)) - seen:
+            os.utime(f"{folder}/{name}", (stamp, stamp))
+        seen |= set(os.listdir(folder))
     return folder
 
 
 def stream(spark, folder, schema):
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet").parquet(folder))
+    parent, name = folder.rsplit("/", 1)
+    return jobs.arriving(spark, parent, name, schema, files_per_batch=1)
 
 
 def test_sessions_with_a_late_row(spark):
@@ -53,7 +54,7 @@ def test_counts_resume(spark):
     path = new_path(spark, "counts")
     first = jobs.running_counts(stream(spark, folder, schema), "k", "c", path)
     assert {tuple(r) for r in first.collect()} == {("a", 3), ("b", 1)}
-    spark.createDataFrame([("b",), ("c",)], schema).coalesce(1).write.parquet(f"{folder}/part9")
+    spark.createDataFrame([("b",), ("c",)], schema).coalesce(1).write.mode("append").parquet(folder)
     again = jobs.running_counts(stream(spark, folder, schema), "k", "c", path)
     assert {tuple(r) for r in again.collect()} == {("a", 3), ("b", 2), ("c", 1)}
 
@@ -89,3 +90,35 @@ def test_frequent_key_keeps_one_row(spark):
     folder = files(spark, schema, rows, [("hot", 999, hours(2)), ("new", 1, hours(2))])
     first = jobs.first_arrivals(stream(spark, folder, schema), ["login"], "ts", "1 day")
     assert sorted(r.login for r in jobs.run_to_table(first, "d").collect()) == ["cold", "hot", "new"]
+
+
+@pytest.mark.parametrize("name", ["stream_sessions", "stream_counter", "stream_dedup", "stream_validate", "stream_upsert"])
+def test_tables_of_several_files(spark, name):
+    """Each table as a folder of part files, as large tables are, against the SQL on the single files."""
+    import os
+
+    import duckdb
+
+    from compare import rows_of
+    from tablespan.plans import JOBS, SQL
+
+    source, folder = "/root/testdata/sf0.001", new_path(spark, "tables")
+    con = duckdb.connect()
+    for table in ("events", "orders", "customer", "nation"):
+        spark.read.parquet(f"{source}/{table}.parquet").repartition(3).write.parquet(f"{folder}/{table}.parquet")
+        assert len([f for f in os.listdir(f"{folder}/{table}.parquet") if f.endswith(".parquet")]) == 3
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{source}/{table}.parquet'")
+    got = JOBS[name](spark, folder)
+    want = con.execute(SQL[name])
+    columns = [d[0] for d in want.description]
+    assert rows_of(got.columns, got.collect()) == rows_of(columns, want.fetchall())
+
+
+def test_a_table_without_files_is_an_error(spark):
+    import os
+
+    folder = new_path(spark, "none")
+    os.makedirs(f"{folder}/t.parquet")
+    for name in ("t.parquet", "missing.parquet"):
+        with pytest.raises(FileNotFoundError):
+            jobs.arriving(spark, folder, name, "k string")
