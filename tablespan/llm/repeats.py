@@ -268,7 +268,7 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
     settled = regions.join(met.filter("n = 1").select("anchor"), "anchor").select(
         "anchor", "region", F.lit(-AROUND).cast("long").alias("begin"), F.lit(KEY + AROUND).cast("long").alias("end"),
         F.col("lo").alias("least"))
-    spans = settled.unionByName(_spans_by_order(texts, regions.join(met.filter("n > 1"), "anchor")))
+    spans = stage_table(settled.unionByName(_spans_by_order(texts, regions.join(met.filter("n > 1"), "anchor"))), "spans")
     covered = occurrences.join(spans, ["anchor", "region"]).filter("least < doc").groupBy("doc", "digest").agg(
         F.collect_set(F.struct((F.col("pos") + F.col("begin")).alias("a"), (F.col("pos") + F.col("end")).alias("b"))).alias("spans"))
     covered = stage_table(covered.unionByName(copied), "covered")
