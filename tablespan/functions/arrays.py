@@ -32,6 +32,7 @@ def updated(stored: Column, extra: Column, mode: Column) -> Column:
             .otherwise(stored))
 
 
-def first_elements(a: Column, limit: int) -> tuple[Column, Column]:
-    """A bounded array and the number of elements beyond the bound, so that none goes unnoticed."""
-    return F.slice(a, 1, limit), F.greatest(F.size(a) - limit, F.lit(0))
+def bounded(a: Column, limit: int) -> Column:
+    """The array, which may hold at most `limit` elements; one that holds more is an error. For children
+    without such a bound use `nested.nest`."""
+    return F.when(F.size(a) > limit, F.raise_error(F.lit(f"more than {limit} elements"))).otherwise(a)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablespan.functions.draws import draw, draw_from
@@ -57,12 +58,12 @@ def merge_rows(target: DataFrame, source: DataFrame, target_key: str, source_key
     per_key = (source.where(F.col(source_key).isNotNull())
                .groupBy(F.col(source_key).alias("_key"))
                .agg(F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(*source.columns)).alias("src")))
-    checked = F.when(F.col("_rows") > 1, F.raise_error(F.lit("several source rows match one target row")))
     hit = F.col("_key").isNotNull()
     joined = target.join(per_key, F.col(target_key) == F.col("_key"), "left")
-    updated = joined.select([
-        F.coalesce(checked.cast(f.dataType), F.when(hit, update[f.name]).otherwise(F.col(f.name))
-                   .cast(f.dataType)).alias(f.name)
+    # a filter, so that a query that uses none of the updated columns cannot go round the check
+    several = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    updated = joined.where(F.when(F.col("_rows") > 1, several).otherwise(True)).select([
+        F.when(hit, update[f.name]).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)
         if f.name in update else F.col(f.name) for f in target.schema])
     known = target.select(F.col(target_key).alias("_known")).distinct()
     new = (source.select(F.struct(*source.columns).alias("src"))
@@ -148,12 +149,28 @@ class SnapshotTable:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _versions(self) -> DataFrame:
-        return table_or_empty(self.spark, f"{self.folder}/published", VERSIONS)
+        return table_or_empty(self.spark, f"{self.folder}/published", VERSIONS).select(VERSIONS.names)
 
     def current(self) -> DataFrame | None:
         newest = self._versions().orderBy(F.desc("version")).first()
         return self.spark.read.parquet(newest["path"]) if newest else None
 
+    def _claimed(self) -> int:
+        """The next version number. It is claimed by making a file of that name, which only one of
+        several publishers can."""
+        version = self._versions().agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"] + 1
+        jvm = self.spark._jvm.org.apache.hadoop.fs
+        while True:
+            claim = jvm.Path(f"{self.folder}/claims/{version}")
+            files = claim.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            try:
+                if files.createNewFile(claim):
+                    return version
+            except Py4JJavaError:
+                if not files.exists(claim):
+                    raise
+            version += 1
+
     def publish(self, batch: DataFrame, at: dt.datetime, expected_rows: int | None = None,
                 rejected: DataFrame | None = None) -> bool:
         """Stage the batch and publish it only if it has the expected number of rows and nothing
@@ -165,7 +182,8 @@ class SnapshotTable:
             return False
         if rejected is not None and not rejected.isEmpty():
             return False
-        newest = self._versions().agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"]
-        (self.spark.createDataFrame([(newest + 1, path, rows, at)], VERSIONS)
-         .coalesce(1).write.mode("append").parquet(f"{self.folder}/published"))
+        version = self._claimed()
+        # a folder of its own: two writers that append to one folder clear away each other's files
+        (self.spark.createDataFrame([(version, path, rows, at)], VERSIONS)
+         .coalesce(1).write.parquet(f"{self.folder}/published/claim={version}"))
         return True

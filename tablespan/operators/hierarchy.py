@@ -6,34 +6,43 @@ number of levels bounds the loop; the number of nodes does not matter."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from itertools import count
 
-from tablespan.scratch import new_path
+from pyspark.sql import Column, DataFrame, functions as F
 
-PAD = 12
+from tablespan.scratch import new_path, written_table
 
 
-def _step_text(c: Column) -> Column:
-    """A path step that sorts as the id does: numbers padded, texts as they are."""
-    return F.when(c.cast("string").rlike("^[0-9]+$"), F.lpad(c.cast("string"), PAD, "0")).otherwise(
-        c.cast("string"))
+def _step(c: Column) -> Column:
+    """A path step that sorts as the id does, whatever its length: negative numbers, then by the text
+    before the first digit and the number that follows, so C9 comes before C10."""
+    text = c.cast("string")
+    number = F.regexp_replace(F.regexp_extract(text, r"^\D*(\d*)", 1), "^0+(?=.)", "")
+    negative = text.rlike(r"^-\d+$")
+    size = F.when(negative, -F.length(number)).otherwise(F.length(number))
+    digits = F.when(negative, F.translate(number, "0123456789", "9876543210")).otherwise(number)
+    prefix = F.when(negative, "").otherwise(F.regexp_extract(text, r"^\D*", 0))
+    return F.struct(prefix.alias("prefix"), size.alias("size"), digits.alias("digits"), text.alias("id"))
 
 
 def walk(nodes: DataFrame, node: str, parent: str, roots: Column | None = None,
-         child_condition: Column | None = None, max_levels: int = 100) -> DataFrame:
+         child_condition: Column | None = None, max_levels: int | None = None) -> DataFrame:
     """All nodes reachable from the roots (default: nodes without parent), with `level` from 1,
     `path` (ids from the root) and `sort_path`, by which ordering is depth first. The extra
     condition applies to child rows only, not to roots. A node met again on its own path, as in a
-    cycle, is not entered."""
+    cycle, is not entered, so the walk ends by itself; `max_levels` makes a deeper tree an error."""
     spark = nodes.sparkSession
     folder = new_path(spark, "levels")
     start = nodes.where(F.col(parent).isNull() if roots is None else roots)
     level = start.select(
         *nodes.columns, F.lit(1).alias("level"), F.array(F.col(node).cast("string")).alias("path"),
-        _step_text(F.col(node)).alias("sort_path"))
-    below = nodes if child_condition is None else nodes.where(child_condition)
+        F.array(_step(F.col(node))).alias("sort_path"))
+    # the edges are computed once, not once per level
+    below = written_table(nodes if child_condition is None else nodes.where(child_condition), "edges")
     paths = []
-    for number in range(1, max_levels + 2):
+    for number in count(1):
+        if max_levels is not None and number > max_levels + 1:
+            raise ValueError(f"the tree is deeper than {max_levels} levels")
         path = f"{folder}/level={number}"
         level.write.parquet(path)
         current = spark.read.schema(level.schema).parquet(path)
@@ -46,9 +55,7 @@ def walk(nodes: DataFrame, node: str, parent: str, roots: Column | None = None,
                  .where(~F.array_contains("_path", F.col(node).cast("string")))
                  .select(*nodes.columns, (F.col("level") + 1).alias("level"),
                          F.array_append("_path", F.col(node).cast("string")).alias("path"),
-                         F.concat_ws("/", "_sort", _step_text(F.col(node))).alias("sort_path")))
-    else:
-        raise ValueError(f"the tree is deeper than {max_levels} levels")
+                         F.array_append("_sort", _step(F.col(node))).alias("sort_path")))
     if not paths:
         return level.limit(0)
     tree = paths[0]

@@ -1,16 +1,14 @@
 """Running totals and ordinals that stay parallel when one group holds most of the rows.
 
-A plain window sorts each group in one task, which is right for a table of few rows only. Beyond
-that a group that is large is cut into ranges of its own order, each range is totalled on its own,
-and the totals of the earlier ranges are added:
+A plain window sorts each group in one task. Here the rows are dealt by (keys, order) into ranges of
+about RANGE_ROWS rows, so a larger table has more ranges, not larger ones, and a large group lies in
+as many as it needs. The ranges are written once, with their numbers. Then
 
-1.  a sample of bounded size (chosen by a hash of the order columns, hence the same on every
-    evaluation) shows which groups are large and where to cut them;
-2.  the window then runs per (group, range), with ordinary groups kept as one range;
-3.  one small total per (large group, range) gives the amount to carry forward.
+1.  each (range, group) is totalled, and where a group goes on in a later range the totals of its
+    earlier ranges are summed up: one small row per range;
+2.  a window runs within each (range, group), and the amount carried in is added.
 
-The sample decides only where the cuts are. Every row is counted, and the totals are exact
-whatever the cuts.
+One path serves all sizes, and the totals are exact wherever the ranges begin.
 """
 
 from __future__ import annotations
@@ -19,77 +17,37 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-PLAIN_ROWS = 1 << 14  # up to this many rows in the whole table a plain window is used
-SAMPLE_ROWS = 8192   # expected sample size
-LARGE_GROUP = 64     # a group with this many sampled rows (about 1 in 128 of all) is cut
-RANGE_ROWS = 16      # sampled rows per range: about 512 ranges in all
-HALVINGS = tuple(1 << n for n in range(9, -1, -1))
+from tablespan.scratch import written_table
 
+RANGE_ROWS = 2_000_000
 
-def _position(order: list[str]) -> Column:
-    """The order columns as one comparable value; a single column compares faster bare."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
-
-def _cuts(df: DataFrame, keys: list[str], order: list[str], step: int, large_group: int,
-          range_rows: int) -> DataFrame:
-    """One row per large group with the order values that end its ranges, from a sample of one row
-    in `step`: at most sample / large_group groups and sample / range_rows values in total."""
-    sampled = (df.select(*keys, _position(order).alias("_at"))
-               .where(F.pmod(F.xxhash64("_at"), step) == 0)
-               .distinct())
-    return (sampled.groupBy(*keys)
-            .agg(F.array_sort(F.collect_list("_at")).alias("_seen"))
-            .where(F.size("_seen") >= large_group)
-            .select(*keys, F.transform(
-                F.sequence(F.lit(range_rows), F.size("_seen"), F.lit(range_rows)),
-                lambda i: F.element_at("_seen", i)).alias("_cuts")))
+def ranged(df: DataFrame, keys: list[str], order: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The rows with `_range`, the number of their range in the order of (keys, order), written once:
+    boundaries come from a sample and may differ when they are drawn again."""
+    ranges = max(1, -(-df.count() // range_rows))
+    dealt = df.repartitionByRange(ranges, *keys, *order) if ranges > 1 else df.coalesce(1)
+    return written_table(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal",
-                  weight: str | None = None, plain_rows: int = PLAIN_ROWS,
-                  sample_rows: int = SAMPLE_ROWS, large_group: int = LARGE_GROUP,
-                  range_rows: int = RANGE_ROWS) -> DataFrame:
+                  weight: str | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add `name`: the sum of `weight` (1 per row if None) over the rows of the same `keys` up to
     and including this one in ascending `order`, NULLs first. `keys` may be empty, for one total
-    over the whole table. `order` should identify a row within its group. Reads `df` several times:
-    write the result of a costly query first."""
-    if large_group < range_rows:
-        raise ValueError("large_group must be at least range_rows")
+    over the whole table. `order` should identify a row within its group: rows with equal order
+    stay in one range."""
     columns = df.columns
-    rows = df.withColumn("_w", F.col(weight) if weight else F.lit(1).cast("long"))
-    total_rows = df.count()
-    if total_rows <= plain_rows:
-        window = (Window.partitionBy(*keys).orderBy(*order)
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return rows.select(*columns, F.sum("_w").over(window).alias(name))
-
-    cuts = _cuts(rows, keys, order, max(1, total_rows // sample_rows), large_group, range_rows)
-    cut_keys = [f"_cut_{k}" for k in keys]
-    same_group = reduce(lambda a, b: a & b,
-                        [F.col(k).eqNullSafe(F.col(c)) for k, c in zip(keys, cut_keys)], F.lit(True))
-    if keys:  # bounded: see _cuts
-        ranged = rows.join(F.broadcast(cuts.toDF(*cut_keys, "_cuts")), same_group, "left").drop(*cut_keys)
-    else:
-        ranged = rows.withColumn("_cuts", cuts.scalar())
-    # number of cuts before this row, found by ten halving steps; other rows have no cuts
-    search = F.aggregate(
-        F.array(*[F.lit(n) for n in HALVINGS]), F.lit(0),
-        lambda at, n: F.when(F.get("_cuts", at + n - 1) < F.col("_at"), at + n).otherwise(at))
-    ranged = (ranged.withColumn("_at", _position(order))
-              .withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(search)))
-
-    # one total per (large group, range); the window below sees one row per range of a group
-    totals = (ranged.where(F.col("_cuts").isNotNull())
-              .groupBy(*keys, "_range").agg(F.sum("_w").alias("_sum")))
+    rows = ranged(df.withColumn("_w", F.col(weight) if weight else F.lit(1).cast("long")), keys, order, range_rows)
+    parts = rows.groupBy(*keys, "_range").agg(F.sum("_w").alias("_sum"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.broadcast(totals.select(*keys, "_range", F.sum("_sum").over(before).alias("_carried"))
-                          .toDF(*cut_keys, "_cut_range", "_carried"))
-
-    within = (Window.partitionBy(*keys, "_range").orderBy(*order)
+    part_keys = [f"_part_{k}" for k in keys]
+    carried = (parts.select(*keys, "_range", F.sum("_sum").over(before).alias("_carried"))
+               .where(F.col("_carried").isNotNull()).toDF(*part_keys, "_part", "_carried"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(p)) for k, p in zip(keys, part_keys)],
+                  F.col("_range") == F.col("_part"))
+    within = (Window.partitionBy("_range", *keys).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ranged.select(*columns, "_w", "_range").withColumn("_local", F.sum("_w").over(within))
-            .join(carried, same_group & (F.col("_range") == F.col("_cut_range")), "left")
+    return (rows.withColumn("_local", F.sum("_w").over(within)).join(carried, same, "left")
             .select(*columns, (F.col("_local") + F.coalesce(F.col("_carried"), F.lit(0))).alias(name)))
 
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablespan.functions.draws import draw
 from tablespan.operators.ordinals import running_total
 from tablespan.scratch import written_table
 
@@ -105,10 +106,13 @@ def height_balanced_histogram(df: DataFrame, column: str, buckets: int = MAX_BUC
             .select(F.explode(F.sequence("_from", "_to")).alias("bucket"), F.col("value").alias("endpoint")))
 
 
-def sampled_profile(df: DataFrame, columns: list[str], fraction: float, seed: int) -> DataFrame:
-    """Estimates from a random share of the rows: counts are scaled up; the number of distinct
-    values is that of the sample, a lower bound."""
-    profile = column_profile(df.sample(fraction, seed), columns)
+def sampled_profile(df: DataFrame, columns: list[str], fraction: float, seed: int, keys: list[str]) -> DataFrame:
+    """Estimates from a share of the rows, chosen by a hash of their key columns, so that the same
+    seed gives the same rows however the files are split. Counts are scaled up; the number of
+    distinct values is that of the sample, a lower bound."""
+    row_id = F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
+    chosen = draw(row_id, "sample", seed, 0, 1_000_000) < round(fraction * 1_000_000)
+    profile = column_profile(df.where(chosen), columns)
     scaled = lambda c: F.round(F.col(c) / fraction).cast("long")
     return profile.select(
         "column_name", F.col("num_rows").alias("sample_size"), scaled("num_rows").alias("num_rows_estimate"),

@@ -18,10 +18,13 @@ def duplicate_keys(df: DataFrame, keys: list[str], skip_nulls: bool = False) ->
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def unresolved(df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Rows whose reference finds no parent. NULL references are exempt."""
-    keys = parent.select(F.col(parent_key).alias("_key")).distinct()
-    return df.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_key"), "left_anti")
+def unresolved(df: DataFrame, column: str | list[str], parent: DataFrame, parent_key: str | list[str]) -> DataFrame:
+    """Rows whose reference, of one or several columns, finds no parent. References with a NULL are
+    exempt."""
+    columns, keys = ([x] if isinstance(x, str) else list(x) for x in (column, parent_key))
+    found = parent.select([F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(columns)])
+    return df.dropna(subset=columns).join(found, same, "left_anti")
 
 
 def length_violations(df: DataFrame, key: str, limits: dict[str, tuple[int, int | None]]) -> DataFrame:
@@ -118,11 +121,14 @@ def audit_contract(tables: dict[str, DataFrame], contract: Contract) -> DataFram
         add(f"unique {name}", duplicate_keys(df, [name], skip_nulls=True))
     for r in contract.references:
         if r.table in tables:
-            add(f"reference {r.columns[0]}", unresolved(df, r.columns[0], tables[r.table], r.keys[0]))
+            add("reference " + ",".join(r.columns), unresolved(df, list(r.columns), tables[r.table], list(r.keys)))
     row_rules = {f"required {c.name}": F.col(c.name).isNull() for c in contract.columns if not c.nullable}
     row_rules |= {f"domain {c}": ~F.col(c).isin(v) for c, v in contract.domains.items()}
     row_rules |= {f"length {c}": F.length(c) > high for c, (_, high) in contract_limits(contract).items()}
-    counts = df.agg(*[F.count_if(bad).alias(rule) for rule, bad in row_rules.items()])
-    reports.append(counts.unpivot([], list(row_rules), "rule", "violations").select(
-        F.lit(contract.name).alias("table_name"), "rule", "violations"))
+    if row_rules:
+        counts = df.agg(*[F.count_if(bad).alias(rule) for rule, bad in row_rules.items()])
+        reports.append(counts.unpivot([], list(row_rules), "rule", "violations").select(
+            F.lit(contract.name).alias("table_name"), "rule", "violations"))
+    if not reports:
+        return df.sparkSession.createDataFrame([], "table_name string, rule string, violations long")
     return reduce(DataFrame.unionByName, reports)

@@ -40,12 +40,12 @@ def digits(number: Column, width: int) -> Column:
 
 
 def with_nip(rows: DataFrame, row_no: str, name: str) -> DataFrame:
-    """Add a valid ten-digit number for each row number from 0, all different. Eight digits are a
+    """Add a valid ten-digit number for each row number from 0 below NIP_CAPACITY, all different; no
+    more exist of this form, so rows beyond have none (NULL). Eight digits are a
     permutation of the row number; the ninth is the one of a pair (0/1, 2/3, ...) that leaves a
     check digit below 10, which at least one of the two does. Built in steps, each a short
     expression over the columns of the one before."""
-    row = F.when(F.col(row_no) < NIP_CAPACITY, F.col(row_no)).otherwise(
-        F.raise_error(F.lit(f"more than {NIP_CAPACITY} unique numbers asked for")).cast("long"))
+    row = F.when(F.col(row_no) < NIP_CAPACITY, F.col(row_no))
     weighted = " + ".join(f"{w} * (_prefix div {10 ** (7 - i)} % 10)" for i, w in enumerate(NIP_WEIGHTS[:8]))
     last = NIP_WEIGHTS[8]
     return (rows
@@ -114,8 +114,6 @@ def persons_for(rows: DataFrame, row_no: str, office_total: int | Column, seed:
 
 
 def persons(spark: SparkSession, office_total: int, count: int, seed: int) -> DataFrame:
-    if count > NIP_CAPACITY:
-        raise ValueError(f"more than {NIP_CAPACITY} unique numbers asked for")
     return persons_for(spark.range(count), "id", office_total, seed)
 
 

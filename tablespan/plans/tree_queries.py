@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablespan.operators.hierarchy import indented, walk
+from tablespan.operators.ordinals import running_total
 from tablespan.plans.registry import Tables, query
 
 NODES = """
@@ -27,13 +28,15 @@ def _nodes(t: Tables):
 @query("tree_depth", f"""
     WITH RECURSIVE nodes AS ({NODES}),
     tree AS (
-      SELECT id, label, 1 AS level, id AS path FROM nodes WHERE parent IS NULL
+      SELECT id, label, 1 AS level, id AS path, id[1] || lpad(id[2:], 19, '0') AS place FROM nodes WHERE parent IS NULL
       UNION ALL
-      SELECT n.id, n.label, t.level + 1, t.path || '/' || n.id FROM nodes n JOIN tree t ON n.parent = t.id)
-    SELECT id, level, path, '-' || repeat('--', level - 1) || ' ' || label AS line FROM tree""")
+      SELECT n.id, n.label, t.level + 1, t.path || '/' || n.id, t.place || '/' || n.id[1] || lpad(n.id[2:], 19, '0')
+      FROM nodes n JOIN tree t ON n.parent = t.id)
+    SELECT id, level, path, '-' || repeat('--', level - 1) || ' ' || label AS line,
+      row_number() OVER (ORDER BY place) AS listed_as FROM tree""")
 def _(t: Tables):
-    return (walk(_nodes(t), "id", "parent").orderBy("sort_path")
-            .select("id", "level", F.concat_ws("/", "path").alias("path"), indented(F.col("label")).alias("line")))
+    listed = running_total(walk(_nodes(t), "id", "parent"), [], ["sort_path"], "listed_as")
+    return listed.select("id", "level", F.concat_ws("/", "path").alias("path"), indented(F.col("label")).alias("line"), "listed_as")
 
 
 @query("tree_descendants", f"""

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import ParseException
 from pyspark.sql import functions as F
 
 from tablespan.operators import changes, relational as rel
@@ -148,3 +149,71 @@ def test_cycle_is_not_entered(spark):
     assert sorted(r.id for r in walk(df, "id", "parent", F.col("id") == 4).collect()) == [4, 5]
     with pytest.raises(ValueError):
         walk(df, "id", "parent", max_levels=2)
+
+
+def test_long_and_mixed_ids_in_depth_first_order(spark):
+    from tablespan.operators.hierarchy import walk
+
+    ids = ["999999999999", "1000000000000001", "1000000000000002", "-3", "-20", "C9", "C10", "7"]
+    df = spark.createDataFrame([("1", None)] + [(i, "1") for i in ids], "id string, parent string")
+    got = [r.id for r in walk(df, "id", "parent").orderBy("sort_path").collect()]
+    assert got == ["1", "-20", "-3", "7", "999999999999", "1000000000000001", "1000000000000002", "C9", "C10"]
+
+
+def test_deep_tree(spark):
+    from tablespan.operators.hierarchy import walk
+
+    df = spark.createDataFrame([(0, None)] + [(i, i - 1) for i in range(1, 12)], "id long, parent long")
+    assert walk(df, "id", "parent").agg(F.max("level")).first()[0] == 12
+
+
+def test_bars_keep_their_scale(spark):
+    df = spark.range(5003).select(F.when(F.col("id") < 5000, "a").otherwise("b").alias("k"))
+    assert [(r.k, r.n, len(r.bar)) for r in rel.text_bars(df, "k").collect()] == [("a", 5000, 5000), ("b", 3, 3)]
+    assert [len(r.bar) for r in rel.text_bars(df, "k", 100).collect()] == [50, 1]
+
+
+def test_references_of_several_columns(spark):
+    from tablespan.operators import quality
+    from tablespan.sources.contracts import Contract, Reference, column
+
+    child = spark.createDataFrame([(1, 2), (1, 99), (1, None)], "a int, b int")
+    parent = spark.createDataFrame([(1, 99)], "x int, y int")
+    assert [tuple(r) for r in quality.unresolved(child, ["a", "b"], parent, ["x", "y"]).collect()] == [(1, 2)]
+    columns = column("a", "int", nullable=True), column("b", "int", nullable=True)
+    contract = Contract("child", columns, references=(Reference(("a", "b"), "parent", ("x", "y")),))
+    found = quality.audit_contract({"child": child, "parent": parent}, contract).collect()
+    assert [(r.rule, r.violations) for r in found] == [("reference a,b", 1)]
+    bare = Contract("child", columns)
+    assert quality.audit_contract({"child": child}, bare).collect() == []
+
+
+def test_a_text_may_contain_any_word(spark):
+    df = spark.createDataFrame([("select works",), ("x",)], "t string")
+    assert rel.checked_predicate(df, "t = 'select works'", ["t"]) is not None
+    for query in ("t IN (SELECT 'x')", "t = (SELECT 'x')", "EXISTS (SELECT 1)"):
+        with pytest.raises((ValueError, ParseException)):
+            rel.checked_predicate(df, query, ["t"])
+
+
+def test_merge_check_cannot_be_pruned(spark):
+    target = spark.createDataFrame([(1, "a")], "k long, v string")
+    source = spark.createDataFrame([(1, "b"), (1, "c")], "s long, w string")
+    merged = changes.merge_rows(target, source, "k", "s", {"v": F.col("src.w")}, {"k": F.col("src.s")})
+    for read in (lambda: merged.count(), lambda: merged.select("k").collect(), lambda: merged.collect()):
+        with pytest.raises(Exception, match="several source rows"):
+            read()
+
+
+def test_two_publishers_get_two_versions(spark):
+    import datetime as dt
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tablespan.scratch import new_path
+
+    table = changes.SnapshotTable(spark, new_path(spark, "snapshots"))
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(lambda n: table.publish(spark.range(n), dt.datetime(2024, 1, n)), (1, 2)))
+    assert done == [True, True]
+    assert sorted(r.version for r in table._versions().collect()) == [1, 2]
+    assert table.current().count() in (1, 2)

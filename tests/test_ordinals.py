@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablespan.operators import nested, profile
-from tablespan.operators.ordinals import running_total, top_in_group
+from tablespan.operators.ordinals import ranged, running_total, top_in_group
 
-SMALL_SAMPLE = dict(plain_rows=0, sample_rows=500, large_group=8, range_rows=4)
+SMALL_SAMPLE = dict(range_rows=100)
 
 
 @pytest.fixture(scope="module")
@@ -33,20 +33,28 @@ def expected(rows, weight):
     return out
 
 
-@pytest.mark.parametrize("sampling", [{}, SMALL_SAMPLE], ids=["plain", "ranges"])
+@pytest.mark.parametrize("sampling", [{}, SMALL_SAMPLE], ids=["one", "many"])
 @pytest.mark.parametrize("weight", [None, "w"])
 def test_running_total(skewed, sampling, weight):
     got = {r.id: r.total for r in running_total(skewed, ["k"], ["at"], "total", weight, **sampling).collect()}
     assert got == expected(skewed.collect(), weight)
 
 
-def test_large_group_is_really_divided(skewed):
-    plan = running_total(skewed, ["k"], ["at"], **SMALL_SAMPLE)
-    assert plan.columns == ["id", "k", "at", "w", "ordinal"]
-    from tablespan.operators.ordinals import _cuts
+def test_ranges_grow_in_number_with_the_rows(spark):
+    def shares(n):
+        df = spark.range(n).select(F.when(F.col("id") % 200 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("at"))
+        rows = ranged(df, ["k"], ["at"], range_rows=n // 400 if n == 40_000 else 100)
+        return rows.select("_range").distinct().count(), rows.where("k = -1").select("_range").distinct().count()
 
-    cuts = {r.k: len(r._cuts) for r in _cuts(skewed, ["k"], ["at"], 6, 8, 4).collect()}
-    assert cuts[0] > 10 and len(cuts) < 20
+    whole, group = shares(40_000)
+    twice, larger = shares(80_000)
+    # a group of one row in 200 is above the range size, and is divided
+    assert whole > 300 and twice > 1.7 * whole and group > 1 and larger > group
+
+
+def test_input_is_read_twice_at_most(skewed):
+    plan = running_total(skewed, ["k"], ["at"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 2
 
 
 def test_total_over_the_whole_table(skewed):
