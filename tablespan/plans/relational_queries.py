@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablespan.operators import relational as rel
 from tablespan.operators.nested import slots
 from tablespan.operators.ordinals import running_total
+from tablespan.scratch import written_table
 from tablespan.plans.registry import Tables, query
 from tablespan.sources.tables import named_view
 
@@ -95,12 +96,15 @@ def _(t: Tables):
     LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON l_partkey = p_partkey
     WHERE c_nationkey = 7""")
 def _(t: Tables):
-    # from the one nation outwards, so that each join sees only what is left
+    # from the one nation outwards: its orders and their lines are few, so they are reduced first and each is read once
     customers = t.customer.where("c_nationkey = 7").select("c_custkey")
-    orders = rel.keep_empty_join(customers, "c_custkey", t.orders.select("o_custkey", "o_orderkey"), "o_custkey")
-    lines = rel.keep_empty_join(orders, "o_orderkey", t.lineitem.select("l_orderkey", "l_partkey"), "l_orderkey")
+    orders = t.orders.select("o_custkey", "o_orderkey").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+    orders = written_table(orders, "orders-of-nation")
+    lines = t.lineitem.select("l_orderkey", "l_partkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     part = t.part.select("p_partkey", "p_name")
-    return (lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    named = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    return (customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+            .join(named, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select("c_custkey", "o_orderkey", "l_partkey", "p_name"))
 
 
