@@ -43,7 +43,7 @@ LABELLERS = {
 ASSUMED = ((0.30, 0.35, 0.35), (0.01, 0.60, 0.39))
 PRIOR_SHARE = 0.05
 #: Bounds that keep classes apart although a bad document is usually bad in one way only: how often a labeller may
-#: complain about good documents, and how much less often it may praise bad ones than good ones.
+#: complain about good documents, and how much less often it may praise bad ones that it does not complain about.
 MAX_WRONG, MIN_PRAISE = 0.001, 0.8
 ROUNDS = 60
 MAX_SAMPLE = 20_000
@@ -87,9 +87,9 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = ROUNDS) ->
         wrong = np.minimum(chance[:, 1, 0], MAX_WRONG)
         chance[:, 1, 1:] *= ((1 - wrong) / (1 - chance[:, 1, 0]))[:, None]
         chance[:, 1, 0] = wrong
-        praise = np.maximum(chance[:, 0, 1], MIN_PRAISE * chance[:, 1, 1])
-        chance[:, 0] = np.stack([chance[:, 0, 0], praise, np.maximum(1e-6, 1 - praise - chance[:, 0, 0])], axis=1)
-        chance[:, 0] /= chance[:, 0].sum(axis=1, keepdims=True)
+        silent = 1 - chance[:, 0, 0]            # bad documents it does not complain about
+        praise = np.clip(chance[:, 0, 1], MIN_PRAISE * silent * chance[:, 1, 1] / (1 - wrong), silent)
+        chance[:, 0, 1], chance[:, 0, 2] = praise, np.maximum(1e-6, silent - praise)
     return dict(zip(codes.tolist(), good.tolist())), chance
 
 
