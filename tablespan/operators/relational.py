@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
