@@ -123,14 +123,16 @@ def _occurrences(bits: np.ndarray):
 
 def _region_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the regions named by each document's list."""
-    for batch in batches:
-        for text, regions in zip(batch.column(0), batch.column(1)):
-            raw = (text.as_py() or "").encode()
-            rows = regions.as_py()
-            out = {k: [r[k] for r in rows] for k in ("bucket", "anchor", "region", "lo", "hi", "doc", "digest", "pos")}
-            out["left"] = [min(AROUND, r["pos"]) for r in rows]
-            out["bytes"] = [raw[r["pos"] - left:r["pos"] + KEY + AROUND] for r, left in zip(rows, out["left"])]
-            yield pa.record_batch([pa.array(v, pa.binary() if k == "bytes" else pa.int64()) for k, v in out.items()], names=list(out))
+    for batch in text_blocks(batches):
+        listed = batch.column(1)
+        fields = dict(zip([f.name for f in listed.type.value_type], listed.flatten().flatten()))
+        owner = np.repeat(np.arange(batch.num_rows), listed.value_lengths().to_numpy())
+        raw = [t.encode() for t in batch.column(0).fill_null("").to_pylist()]
+        left = np.minimum(fields["pos"].to_numpy(), AROUND)
+        begin = fields["pos"].to_numpy() - left
+        ends = fields["pos"].to_numpy() + KEY + AROUND
+        parts = [raw[o][a:b] for o, a, b in zip(owner.tolist(), begin.tolist(), ends.tolist())]
+        yield pa.record_batch([*fields.values(), pa.array(left), pa.array(parts, pa.binary())], names=[*fields, "left", "bytes"])
 
 
 def _sibling_reach(anchor: np.ndarray, sides: list[bytes]) -> np.ndarray:
@@ -163,16 +165,18 @@ def shared_spans(rows: pd.DataFrame) -> pd.DataFrame:
     # distinct trimmed regions, joined up where they overlap in their document
     text, at, known = bytearray(), {}, {}
     owner, upto = None, 0                 # document of the stretch being built, and its end there
+    doc, digest, start_of, anchor_of = rows["doc"].tolist(), rows["digest"].tolist(), starts.tolist(), anchor.tolist()
+    region, before_of, after_of = rows["region"].tolist(), before.tolist(), after.tolist()
     for i in keep:
-        a, b = left[i] - int(before[i]), left[i] + KEY + int(after[i])
+        a, b = left[i] - before_of[i], left[i] + KEY + after_of[i]
         piece = raw[i][a:b]
-        same = (anchor[i], int(before[i]), piece)
+        same = (anchor_of[i], before_of[i], piece)
         if same in known:
             at[i] = known[same]
             continue
-        start = int(starts[i])
+        start = start_of[i]
         end = start + len(piece)
-        document = (rows["doc"].iat[i], rows["digest"].iat[i])
+        document = (doc[i], digest[i])
         if document != owner or start > upto:
             text += b"\0" if text else b""
             text += piece
@@ -183,9 +187,10 @@ def shared_spans(rows: pd.DataFrame) -> pd.DataFrame:
         known[same] = at[i] = len(text) - (upto - start)
     text = bytes(text)
     # windows of kept regions, and the class of each by the order of suffixes
+    count = {i: before_of[i] + KEY + after_of[i] - WINDOW + 1 for i in at}    # windows of a region
     inside = np.zeros(len(text) + 1, bool)
     for i, p in at.items():
-        inside[p:p + int(before[i] + KEY + after[i]) - WINDOW + 1] = True
+        inside[p:p + count[i]] = True
     kind = np.full(len(text) + 1, -1, np.int64)
     last, number, flags = b"", -1, inside.tobytes()
     for s in suffix_array(text):
@@ -194,39 +199,47 @@ def shared_spans(rows: pd.DataFrame) -> pd.DataFrame:
             if window != last:
                 last, number = window, number + 1
             kind[s] = number
+    # the smallest document of each class, from the windows of all regions end to end
+    regions = np.array(list(at), np.int64)
+    size = np.array(list(count.values()), np.int64)
+    first = np.concatenate([[0], np.cumsum(size)])
+    offset = np.arange(first[-1]) - np.repeat(first[:-1], size)
+    of = kind[np.repeat(np.array(list(at.values()), np.int64), size) + offset]
     least = np.full(number + 2, LAST, np.int64)
-    for i, p in at.items():
-        of = kind[p:p + int(before[i] + KEY + after[i]) - WINDOW + 1]
-        least[of] = np.minimum(least[of], lo[i])
-    out: list[tuple] = []
-    for i, p in at.items():
-        found = least[kind[p:p + int(before[i] + KEY + after[i]) - WINDOW + 1]]
-        edges = np.flatnonzero(np.diff(found)) + 1
-        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(found)]):
-            if found[a] < hi[i]:
-                out.append((anchor[i], rows["region"].iat[i], a - int(before[i]), b - 1 - int(before[i]) + WINDOW, found[a]))
-    return pd.DataFrame(out, columns=["anchor", "region", "begin", "end", "least"]).astype("int64")
-
-
-def _united(spans: list[dict], n: int) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted((max(0, s["a"]), min(n, s["b"])) for s in spans):
-        if out and a <= out[-1][1]:
-            out[-1] = out[-1][0], max(b, out[-1][1])
-        else:
-            out.append((a, b))
-    return out
+    np.minimum.at(least, of, np.repeat(lo[regions], size))
+    found = least[of]
+    # runs of windows with the same smallest document, within a region
+    edge = np.ones(len(found), bool)
+    edge[1:] = (found[1:] != found[:-1]) | (offset[1:] == 0)
+    begin = np.flatnonzero(edge)
+    end = np.append(begin[1:], len(found)) - 1
+    whose = np.repeat(regions, size)[begin]
+    out = pd.DataFrame({"anchor": anchor[whose], "region": np.array(region, np.int64)[whose], "begin": offset[begin] - before[whose],
+                        "end": offset[end] - before[whose] + WINDOW, "least": found[begin]})
+    return out[out["least"].to_numpy() < hi[whose]].astype("int64")
+
+
+def _united(begin: np.ndarray, end: np.ndarray, n: int) -> tuple[list[int], list[int]]:
+    """Maximal runs covered by the spans, within n bytes."""
+    order = np.argsort(begin, kind="stable")
+    begin, end = np.maximum(begin[order], 0), np.maximum.accumulate(np.minimum(end[order], n))
+    new = np.ones(len(begin), bool)
+    new[1:] = begin[1:] > end[:-1]
+    return begin[new].tolist(), end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)].tolist()
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_blocks(batches):
         out: list[list] = [[], [], [], [], []]
-        for text, spans in zip(batch.column(1), batch.column(2)):
-            raw = (text.as_py() or "").encode()
-            gone = _united(spans.as_py() or [], len(raw))
-            at = [0, *(x for span in gone for x in span), len(raw)]
-            kept = b"".join(raw[a:b] for a, b in zip(at[::2], at[1::2]))
-            for column, cell in zip(out, (len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore"))):
+        spans = batch.column(2)
+        begins, ends = (x.to_numpy() for x in spans.flatten().flatten())
+        upto = np.cumsum(spans.value_lengths().fill_null(0).to_numpy())
+        for text, a, b in zip(batch.column(1).fill_null("").to_pylist(), [0, *upto[:-1].tolist()], upto.tolist()):
+            raw = text.encode()
+            starts, stops = _united(begins[a:b], ends[a:b], len(raw)) if b > a else ([], [])
+            kept = b"".join(raw[x:y] for x, y in zip([0, *stops], [*starts, len(raw)]))
+            cells = len(raw), len(raw) - len(kept), len(starts), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")
+            for column, cell in zip(out, cells):
                 column.append(cell)
         types = pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()
         yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(out, types))],
