@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -31,3 +38,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+@cache
+def _package_file() -> str:
+    """The package as a zip file in the driver's temporary folder."""
+    root = Path(__file__).resolve().parent
+    file = Path(tempfile.mkdtemp(prefix="tablespan-")) / "tablespan.zip"
+    with zipfile.ZipFile(file, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    atexit.register(shutil.rmtree, file.parent, ignore_errors=True)
+    return str(file)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the session's Python workers, which may start in another folder or on another
+    machine, as `spark-submit --py-files` would."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        spark.sparkContext.addPyFile(_package_file())
+        _shipped.add(application)
