@@ -24,6 +24,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablespan.llm.common import let
+
 OTHER = "(other)"
 SWEEPS = 40
 DIMENSIONS = ("source", "lang", "topic")
@@ -86,22 +88,28 @@ def _factor(category: Column, factors: dict[str, float]) -> Column:
 
 def weighted(documents: DataFrame, targets: Targets, topic: Column | None = None) -> DataFrame:
     """row (a record of all columns), n_tokens, the three categories, probability, and drawn."""
-    rows = documents.select(F.struct("*").alias("row"), n_tokens(F.col("text")).alias("n_tokens"))
-    form = text_form(F.col("n_tokens"), F.col("row.text")) if topic is None else topic
-    rows = rows.select("row", "n_tokens", _category(F.col("row.source"), targets.of("source")).alias("source"),
-                       _category(F.col("row.lang"), targets.of("lang")).alias("lang"), _category(form, targets.of("topic")).alias("topic"))
-    found = rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n")).collect()
+    def measured(n: Column) -> Column:
+        kind = text_form(n, F.col("text")) if topic is None else topic
+        return F.struct(n.alias("n_tokens"), _category(kind, targets.of("topic")).alias("topic"))
+
+    # words are counted once per row: a filter on what follows would otherwise repeat the count at every mention
+    rows = documents.select(F.struct("*").alias("row"), let(n_tokens(F.col("text")), measured).alias("m"),
+                            _category(F.col("source"), targets.of("source")).alias("source"),
+                            _category(F.col("lang"), targets.of("lang")).alias("lang"))
+    found = rows.groupBy("source", "lang", F.col("m.topic").alias("topic")).agg(F.sum("m.n_tokens").alias("n")).collect()
     cells = {(r.source, r.lang, r.topic): r.n for r in found if r.n}
     factors = raked(cells, targets)
+
     def weight(c):
         return np.prod([factors[d][k] for d, k in zip(DIMENSIONS, c)])
+
     most = max((weight(c) for c in cells), default=1.0) or 1.0
-    probability = F.lit(1.0)
-    for d in DIMENSIONS:
-        probability = probability * _factor(F.col(d), factors[d])
+    probability = _factor(F.col("source"), factors["source"]) * _factor(F.col("lang"), factors["lang"]) * let(
+        F.col("m"), lambda m: _factor(m["topic"], factors["topic"]))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")))), 1, 8), 16, 10)
     rows = rows.withColumn("probability", F.least(F.lit(1.0), probability / F.lit(float(most))))
-    return rows.withColumn("drawn", draw.cast("double") / float(1 << 32) < F.col("probability"))
+    return rows.select("row", "m.n_tokens", "source", "lang", "m.topic", "probability",
+                       (draw.cast("double") / float(1 << 32) < F.col("probability")).alias("drawn"))
 
 
 def mixed(documents: DataFrame, targets: Targets, topic: Column | None = None) -> DataFrame:
