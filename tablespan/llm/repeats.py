@@ -17,7 +17,9 @@ array of a whole corpus fits one machine, so suffixes are first dealt into block
 
 A bit table (`common.BITS`) tells, before the second shuffle, which anchors can be shared. Its size is fixed; with more shared
 anchors than bits it spares less but changes no result. A block holds about BLOCK regions, beyond that anchors of one
-document are dealt over several.
+document are dealt over several. An anchor with more than BLOCK regions of its own (a phrase of many documents between
+different neighbours) goes to no block: equal windows have it at the same place, so its windows are dealt by their
+hashes, the smallest document of each distinct window is reduced task by task, and no task gathers the anchor's regions.
 
 Defined results: a null text is empty and stays as it is; texts shorter than WINDOW bytes lose nothing; rows of the same
 doc_id never remove from each other; a null doc_id counts as larger than any other; columns besides doc_id and text
@@ -34,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablespan.llm.common import bit_table, bucketed_table, has_bit, may_be_in, stage_table, text_blocks
@@ -135,6 +137,21 @@ def _region_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([*fields.values(), pa.array(left), pa.array(parts, pa.binary())], names=[*fields, "left", "bytes"])
 
 
+def _region_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All windows of the regions named by each document's list: where each begins, from the anchor, and its hash."""
+    for batch in _region_texts(batches):
+        begin, hashes, count = [], [], []
+        for raw, left in zip(batch.column("bytes").to_pylist(), batch.column("left").to_pylist()):
+            n = max(0, len(raw) - WINDOW + 1)
+            begin += range(-left, n - left)
+            hashes += [xxhash.xxh3_64_intdigest(raw[i:i + WINDOW]) for i in range(n)]
+            count.append(n)
+        whose = pa.array(np.repeat(np.arange(batch.num_rows), count))
+        kept = ["anchor", "region", "lo", "hi"]
+        yield pa.record_batch([*(batch.column(c).take(whose) for c in kept), pa.array(begin, pa.int64()),
+                               pa.array(np.array(hashes, np.uint64).view(np.int64))], names=[*kept, "begin", "window"])
+
+
 def _sibling_reach(anchor: np.ndarray, sides: list[bytes]) -> np.ndarray:
     """How far each side agrees, from its start, with that of some other row of the same anchor."""
     n, width = len(sides), -(-AROUND // 8) * 8
@@ -281,7 +298,12 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
     settled = regions.join(met.filter("n = 1").select("anchor"), "anchor").select(
         "anchor", "region", F.lit(-AROUND).cast("long").alias("begin"), F.lit(KEY + AROUND).cast("long").alias("end"),
         F.col("lo").alias("least"))
-    spans = stage_table(settled.unionByName(_spans_by_order(texts, regions.join(met.filter("n > 1"), "anchor"))), "spans")
+    by_order = _spans_by_order(texts, regions.join(met.filter((F.col("n") > 1) & (F.col("n") <= BLOCK)), "anchor"))
+    common = stage_table(regions.join(met.filter(F.col("n") > BLOCK).select("anchor"), "anchor"), "common-anchors")
+    spans = settled.unionByName(by_order)
+    if not common.isEmpty():
+        spans = spans.unionByName(_spans_by_window(texts, common))
+    spans = stage_table(spans, "spans")
     covered = occurrences.join(spans, ["anchor", "region"]).filter("least < doc").groupBy("doc", "digest").agg(
         F.collect_set(F.struct((F.col("pos") + F.col("begin")).alias("a"), (F.col("pos") + F.col("end")).alias("b"))).alias("spans"))
     covered = stage_table(covered.unionByName(copied), "covered")
@@ -302,11 +324,30 @@ def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:
     parts = rows.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("anchor"), F.col("parts"))).otherwise(0)
     rows = rows.join(parts, "block").withColumn("bucket", F.pmod(F.xxhash64("block", part), F.lit(buckets)).cast("long"))
-    listed = rows.groupBy("doc", "digest").agg(
-        F.collect_list(F.struct("bucket", "anchor", "region", "lo", "hi", "doc", "digest", "pos")).alias("regions"))
     columns = "bucket long, anchor long, region long, lo long, hi long, doc long, digest long, pos long, left long, bytes binary"
-    listed = stage_table(listed, "listed-regions")
-    needed = may_be_in(bit_table(listed.select(F.xxhash64("doc"))), F.xxhash64("doc"), texts.sparkSession)
-    pieces = texts.select("doc", "digest", "text").filter(needed).join(listed, ["doc", "digest"]).select("text", "regions").mapInArrow(_region_texts, columns)
+    pieces = _listed(texts, rows, ["bucket", "anchor", "region", "lo", "hi", "doc", "digest", "pos"]).mapInArrow(_region_texts, columns)
     return pieces.groupBy("bucket").applyInPandas(
         shared_spans, "anchor long, region long, begin long, end long, least long")
+
+
+def _listed(texts: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
+    """text, and the list of its document's rows, of documents that have any."""
+    listed = rows.groupBy("doc", "digest").agg(F.collect_list(F.struct(*fields)).alias("regions"))
+    listed = stage_table(listed, "listed-regions")
+    needed = may_be_in(bit_table(listed.select(F.xxhash64("doc"))), F.xxhash64("doc"), texts.sparkSession)
+    return texts.select("doc", "digest", "text").filter(needed).join(listed, ["doc", "digest"]).select("text", "regions")
+
+
+def _spans_by_window(texts: DataFrame, regions: DataFrame) -> DataFrame:
+    """Spans of the regions of common anchors: each distinct window is a group of its own, over all tasks."""
+    key = ["anchor", "begin", "window"]
+    rows = _listed(texts, regions.select("anchor", "region", "lo", "hi", "at.*"), ["anchor", "region", "lo", "hi", "pos"])
+    windows = stage_table(rows.mapInArrow(_region_windows, "anchor long, region long, lo long, hi long, begin long, window long"), "windows")
+    classes = windows.groupBy(key).agg(F.min("lo").alias("least"), F.max("hi").alias("last"))
+    classes = stage_table(classes.filter("least < last").drop("last"), "window-classes")
+    may = may_be_in(bit_table(classes.select(F.xxhash64(*key))), F.xxhash64(*key), texts.sparkSession)
+    found = windows.filter(may).join(classes, key).filter("least < hi")
+    # runs of windows with the same smallest document, within a region
+    nth = F.dense_rank().over(Window.partitionBy("anchor", "region", "least").orderBy("begin"))
+    runs = found.select("anchor", "region", "least", "begin", (F.col("begin") - nth).alias("run"))
+    return runs.groupBy("anchor", "region", "least", "run").agg(F.min("begin").alias("begin"), (F.max("begin") + WINDOW).alias("end")).drop("run")

@@ -130,6 +130,24 @@ def test_repeats(spark, clashing):
     assert sorted(repr(tuple(r)) for r in found.collect()) == removed(rows())
 
 
+def test_common_anchor_is_dealt_out(spark, monkeypatch):
+    """A phrase of all documents between different neighbours: its regions must not meet in one block."""
+    whole = repeats.shared_spans
+
+    def bounded(block):
+        assert block.groupby("anchor")["region"].nunique().max() <= 20
+        return whole(block)
+
+    monkeypatch.setattr(repeats, "BLOCK", 20)
+    monkeypatch.setattr(repeats, "shared_spans", bounded)
+    phrase = "the phrase that all of them hold"
+    data = [(i, f"{i * 7919:040d}" + "left neighbour " * (i % 5) + phrase + f" right {i % 3} " * (i % 4) + f"{i * 104729:040d}") for i in range(120)]
+    data += [(i, phrase * 3) for i in (200, 201)] + [(7, data[9][1]), (None, "x" * 30 + phrase + "y" * 30), (202, "x" * 30 + phrase + "y" * 30)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = repeats.without_repeats(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(repr(tuple(r)) for r in found.collect()) == removed(data)
+
+
 def test_word_ids_equal_the_tokenizer():
     texts = [t or "" for _, t, *_ in rows()] + ["don't WE'LL it's 3x½²", "naïve <|endoftext|> x", "Ǆ ﬁ 中文 \x1c a", "İstanbul ſ"]
     tokenizer = Tokenizer.from_file(VOCABULARY)
