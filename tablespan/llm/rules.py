@@ -3,9 +3,12 @@
 `text_stats` computes statistics of whole texts. Fixed base rules fail some texts. For the rest, sequential covering
 learns an ordered list from labelled documents: a rule is a conjunction of thresholds on statistics, grown by
 information gain on two thirds of the labelled rows, pruned on the other third, kept if precise enough there, and the
-rows it covers leave before the next rule grows. `verdict` emits the list as one ordered conditional expression.
+rows it covers leave before the next rule grows. Every value of the rows still covered is tried as a threshold, so a
+bad kind is found however rare, from MIN_COVER rows on. A rule that pruning refuses gives way to the one that grows from
+the next best statistic and side; the list ends when all are refused. `verdict` emits the list as one ordered
+conditional expression.
 
-What reaches the driver are histograms of at most len(FEATURES) x BINS rows. Labelled rows beyond MAX_LABELLED are
+What reaches the driver is one row per statistic and side. Labelled rows beyond MAX_LABELLED are
 thinned by a hash of doc_id before fitting, the only bounded sample here; statistics and verdicts cover every document.
 
 Defined results: a null or empty text has no words and fails the base rules; the unit of "word" is a run of characters
@@ -16,10 +19,9 @@ and text are ignored.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablespan.llm.common import let, stage_table
@@ -29,7 +31,6 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 
 MAX_LABELLED = 40_000      # expected number of labelled rows used for fitting
-BINS = 24                  # thresholds tried per statistic
 MAX_RULES, MAX_TERMS = 8, 4
 MIN_COVER = 3              # labelled rows that a rule must reject, on the growing and on the pruning rows
 MIN_PRECISION = 0.95       # share of those that are labelled bad
@@ -117,8 +118,10 @@ class Term:
     above: bool
 
     def expr(self) -> Column:
-        value, limit = F.expr(FEATURES[self.feature]), F.lit(self.limit)
-        return value > limit if self.above else value <= limit
+        return self.on(F.expr(FEATURES[self.feature]))
+
+    def on(self, value: Column) -> Column:
+        return value > F.lit(self.limit) if self.above else value <= F.lit(self.limit)
 
 
 Rule = tuple[Term, ...]
@@ -157,73 +160,58 @@ def learn_rules(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX
         "row.bad", (F.pmod(F.xxhash64(F.lit(2), "row.doc_id"), F.lit(3)) < 2).alias("grow"),
         *[F.expr(e).alias(f) for f, e in FEATURES.items()])
     rows = stage_table(rows, "labelled")
-    names = list(FEATURES)
-    at = [i / BINS for i in range(1, BINS)] + [0.01, 0.99]
-    found = rows.select([F.percentile(f, F.array(*map(F.lit, at))).alias(f) for f in names]).first()
-    limits = {f: sorted(set(found[f] or [])) for f in names}
-    bins = [_bin(F.col(f), limits[f]).alias(f) for f in names]
-    rows = stage_table(rows.select("*", F.array(*bins).alias("bins")), "labelled-bins")
     rules: list[Rule] = []
     left = F.lit(True)
     while len(rules) < MAX_RULES:
-        terms = _grow(rows.filter(left), names, limits)
-        terms = _prune(rows.filter(left & ~F.col("grow")), terms, names, limits)
-        if not terms:
+        growing, pruning = rows.filter(left & F.col("grow")), rows.filter(left & ~F.col("grow"))
+        for first in _splits(growing):
+            terms = _prune(pruning, _grow(growing, first))
+            if terms:
+                break
+        else:
             break
-        rules.append(_centred(rows.filter(left & F.col("grow")), terms, names, limits))
-        left = left & ~_all([_binned(t, names, limits) for t in terms])
+        rules.append(_centred(growing, terms))
+        left = left & ~_holds(terms)
     return rules
 
 
-def _bin(value: Column, limits: list[float]) -> Column:
-    """Number of limits below the value."""
-    out = F.lit(0)
-    for x in limits:
-        out = out + (value > x).cast("int")
-    return out
+def _holds(terms: list[Term] | Rule) -> Column:
+    """All terms, over columns named as the statistics."""
+    return _all([t.on(F.col(t.feature)) for t in terms])
 
 
-def _binned(term: Term, names: list[str], limits: dict[str, list[float]]) -> Column:
-    at = F.col("bins")[names.index(term.feature)]
-    k = limits[term.feature].index(term.limit)
-    return at > k if term.above else at <= k
+def _splits(rows: DataFrame) -> list[Term]:
+    """Of each statistic and side the limit, between two values of the rows, with the largest information gain; the best
+    first, those without gain left out."""
+    values = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES])
+    counts = rows.select("bad", F.inline(values)).groupBy("feature", "value").agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("feature")
+    upto = whole.orderBy("value")
+    limits = counts.select("feature", ((F.col("value") + F.lead("value").over(upto)) / 2).alias("limit"),
+                           F.sum("bad").over(upto).alias("p"), F.sum("n").over(upto).alias("t"),
+                           F.sum("bad").over(whole).alias("bad"), F.sum("n").over(whole).alias("n")).filter("limit is not null")
+    sides = F.array(F.struct(F.lit(False).alias("above"), F.col("p"), F.col("t")),
+                    F.struct(F.lit(True).alias("above"), (F.col("bad") - F.col("p")).alias("p"), (F.col("n") - F.col("t")).alias("t")))
+    gain = F.expr("p * (log2(p / t) - log2(bad / n))")
+    best = limits.select("feature", "limit", "bad", "n", F.inline(sides)).filter(F.col("p") >= MIN_COVER).groupBy("feature", "above").agg(
+        F.max(F.struct(gain.alias("gain"), "limit")).alias("best")).filter("best.gain > 1e-9").collect()
+    return [Term(r.feature, r.best.limit, r.above) for r in sorted(best, key=lambda r: (-r.best.gain, r.feature, r.above))]
 
 
-def _grow(rows: DataFrame, names: list[str], limits: dict[str, list[float]]) -> list[Term]:
+def _grow(rows: DataFrame, first: Term) -> list[Term]:
     """Terms added one by one, each with the largest information gain over the growing rows still covered."""
-    terms: list[Term] = []
-    covered = rows.filter("grow")
+    terms = [first]
     while len(terms) < MAX_TERMS:
-        inside = covered.filter(_all([_binned(t, names, limits) for t in terms]))
-        counts = inside.select("bad", F.posexplode("bins").alias("f", "b")).groupBy("f", "b").agg(
-            F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("n")).collect()
-        cells = {(r.f, r.b): (r.bad, r.n) for r in counts}
-        bad, n = (sum(c[i] for (f, _), c in cells.items() if f == 0) for i in (0, 1))
-        if n == 0 or bad == 0 or bad == n:
-            break
-        gain, term = max(((g, t) for g, t in _candidates(cells, names, limits, bad, n)), key=lambda x: x[0], default=(0, None))
-        if term is None or gain <= 1e-9:
+        found = _splits(rows.filter(_holds(terms)))
+        if not found:
             break
-        terms.append(term)
+        terms.append(found[0])
     return terms
 
 
-def _candidates(cells, names, limits, bad: int, n: int):
-    base = math.log2(bad / n)
-    for f, name in enumerate(names):
-        b = m = 0
-        for k, limit in enumerate(limits[name]):
-            b, m = b + cells.get((f, k), (0, 0))[0], m + cells.get((f, k), (0, 0))[1]
-            for above, (p, t) in ((False, (b, m)), (True, (bad - b, n - m))):
-                if 0 < t < n and p >= MIN_COVER:
-                    yield p * (math.log2(p / t) - base), Term(name, limit, above)
-
-
-def _prune(rows: DataFrame, terms: list[Term], names: list[str], limits: dict[str, list[float]]) -> list[Term]:
+def _prune(rows: DataFrame, terms: list[Term]) -> list[Term]:
     """The shortest prefix of the terms that is best on the pruning rows, or none if it is not precise enough."""
-    if not terms:
-        return []
-    prefixes = [_all([_binned(t, names, limits) for t in terms[:k + 1]]) for k in range(len(terms))]
+    prefixes = [_holds(terms[:k + 1]) for k in range(len(terms))]
     found = rows.agg(*[F.sum(F.when(c, F.col("bad"))).alias(f"p{k}") for k, c in enumerate(prefixes)],
                      *[F.sum(c.cast("int")).alias(f"n{k}") for k, c in enumerate(prefixes)]).first()
     scored = [((2 * (found[f"p{k}"] or 0) - (found[f"n{k}"] or 0)) / max(1, found[f"n{k}"] or 0), -k) for k in range(len(terms))]
@@ -232,10 +220,10 @@ def _prune(rows: DataFrame, terms: list[Term], names: list[str], limits: dict[st
     return terms[:1 - k] if p >= MIN_COVER and p >= MIN_PRECISION * n else []
 
 
-def _centred(rows: DataFrame, terms: list[Term], names: list[str], limits: dict[str, list[float]]) -> Rule:
+def _centred(rows: DataFrame, terms: list[Term]) -> Rule:
     """The terms with each limit moved halfway towards the bad rows it covers (all but the nearest twentieth of them),
     so that a clean document just beyond the clean ones seen is not rejected."""
-    bad = rows.filter((F.col("bad") == 1) & _all([_binned(t, names, limits) for t in terms]))
+    bad = rows.filter((F.col("bad") == 1) & _holds(terms))
     edge = bad.agg(*[F.percentile(t.feature, F.lit(0.05 if t.above else 0.95)).alias(f"e{k}") for k, t in enumerate(terms)]).first()
     return tuple(Term(t.feature, t.limit if edge[k] is None else (t.limit + edge[k]) / 2, t.above) for k, t in enumerate(terms))
 

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablespan.llm import jaccard, langid, packing, repeats, rules, shingles, suffixes, weak_labels, words
@@ -43,6 +44,35 @@ def test_rules_are_learned(spark):
     assert all(kept[i] == (i % 3 != 0) for i in kept)
 
 
+def shouting_documents(spark, n, every):
+    """Texts with some capitals, and one in `every` in capitals only."""
+    docs = []
+    for i in range(n):
+        words = [f"Word{k}" if k < i % 23 else f"word{k}" for k in range(60 + i % 41)]
+        docs.append((i, " ".join(words).upper() if i % every == 0 else " ".join(words)))
+    labels = spark.createDataFrame([(i, int(i % every != 0)) for i in range(n)], "doc_id long, quality int")
+    return spark.createDataFrame(docs, "doc_id long, text string"), labels
+
+
+def test_rare_kinds_are_learned(spark):
+    docs, labels = shouting_documents(spark, 4000, 160)
+    rejected = [r.doc_id for r in rules.judged(docs, labels).filter("not kept").select("row.doc_id").collect()]
+    assert sorted(rejected) == list(range(0, 4000, 160))
+
+
+def test_a_refused_rule_does_not_end_the_list(spark, monkeypatch):
+    docs, labels = shouting_documents(spark, 300, 5)
+    prune, calls = rules._prune, []
+
+    def once_refused(*args):
+        calls.append(args)
+        return prune(*args) if len(calls) > 1 else []
+
+    monkeypatch.setattr(rules, "_prune", once_refused)
+    docs = docs.withColumn("text", F.expr("if(doc_id % 5 = 0, replace(text, ' ', '! '), text)"))
+    assert rules.learn_rules(docs, labels) and len(calls) > 1
+
+
 def components_of(width, percent):
     sets = []
     for _, text, *_ in rows():
