@@ -171,7 +171,7 @@ def learn_rules(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX
         else:
             break
         rules.append(_centred(growing, terms))
-        left = left & ~_holds(terms)
+        left = left & ~_holds(rules[-1])    # as emitted: what its moved limits leave out may still be learned
     return rules
 
 

@@ -73,6 +73,21 @@ def test_a_refused_rule_does_not_end_the_list(spark, monkeypatch):
     assert rules.learn_rules(docs, labels) and len(calls) > 1
 
 
+def test_rows_that_a_moved_limit_leaves_out_are_learned_again(spark, monkeypatch):
+    centred, calls = rules._centred, []
+
+    def moved_far(*args):
+        calls.append(args)
+        return centred(*args) if len(calls) > 1 else (rules.Term("symbols_per_word", 3.0, True),)
+
+    monkeypatch.setattr(rules, "_centred", moved_far)
+    kinds = [" ".join(f"word{i}{end}" for i in range(80)) for end in ("$$", "$$$$", "", "", "")]
+    docs = spark.createDataFrame([(i, kinds[i % 5]) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 1)) for i in range(200)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in rules.judged(docs, labels).select("row.doc_id", "kept").collect()}
+    assert all(kept[i] == (i % 5 > 1) for i in kept)
+
+
 def components_of(width, percent):
     sets = []
     for _, text, *_ in rows():
