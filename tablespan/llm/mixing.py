@@ -2,7 +2,9 @@
 
 `Targets` name a share of all tokens for categories of source, language and topic; what they do not name is one
 category, OTHER, per dimension. The table of token counts by category is raked: its weights are scaled to each
-dimension's targets in turn, again and again, until all three hold. What comes out is one factor per category. A
+dimension's targets in turn, again and again, SWEEPS times at least and until no margin is further than TOLERANCE from
+its target. Where targets cannot be met together, or not within MAX_SWEEPS, a warning (`TargetsMissed`) names the
+dimension, the category and the gap that is left. What comes out is one factor per category. A
 document's probability is the product of its three factors, scaled so that the largest is 1: tokens of the sample meet
 the targets in expectation, no document repeats, and no smaller sample is taken than needed.
 
@@ -17,6 +19,7 @@ names: sources and languages come from the columns `source` and `lang`, the topi
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -27,10 +30,16 @@ from pyspark.sql import functions as F
 from tablespan.llm.common import let
 
 OTHER = "(other)"
-SWEEPS = 40
+SWEEPS, MAX_SWEEPS = 40, 10_000
+#: Largest gap between a category's share of the tokens and its target.
+TOLERANCE = 1e-6
 DIMENSIONS = ("source", "lang", "topic")
 
 
+class TargetsMissed(UserWarning):
+    """Raking ended with margins that do not hold."""
+
+
 @dataclass(frozen=True)
 class Targets:
     """Shares of named categories; together below 1 in each dimension, where OTHER takes the rest."""
@@ -59,8 +68,8 @@ def _category(value: Column, targets: dict[str, float]) -> Column:
 
 
 def raked(cells: dict[tuple[str, str, str], int], targets: Targets, sweeps: int = SWEEPS) -> dict[str, dict[str, float]]:
-    """Factors by dimension and category such that count x factors has the target shares. Categories without tokens
-    have no factor."""
+    """Factors by dimension and category such that count x factors has the target shares, within TOLERANCE after `sweeps`
+    or more. Categories without tokens have no factor."""
     names = [list(targets.of(d)) for d in DIMENSIONS]
     counts = np.array([float(cells.get(c, 0)) for c in product(*names)]).reshape([len(n) for n in names])
     factors = [np.ones(len(n)) for n in names]
@@ -71,10 +80,23 @@ def raked(cells: dict[tuple[str, str, str], int], targets: Targets, sweeps: int
         there = counts.sum(axis=tuple(x for x in range(3) if x != axis)) > 0
         share = np.array([targets.of(d)[k] for k in n]) * there
         want.append(share / share.sum() if share.sum() > 0 else there / there.sum())
-    for _ in range(sweeps):
+
+    def margin(axis):
+        return np.einsum("abc,a,b,c->abc", counts, *factors).sum(axis=tuple(x for x in range(3) if x != axis))
+
+    done, gap, before = 0, np.inf, np.inf
+    # a gap that no longer shrinks belongs to targets that cannot be met together
+    while done < sweeps or TOLERANCE < gap < before * (1 - 1e-7) and done < MAX_SWEEPS:
         for axis in range(3):
-            now = np.einsum("abc,a,b,c->abc", counts, *factors).sum(axis=tuple(x for x in range(3) if x != axis))
+            now = margin(axis)
             factors[axis] = np.where(now > 0, factors[axis] * want[axis] / np.where(now > 0, now, 1), 0.0)
+        done, before = done + 1, gap
+        gaps = [np.abs(margin(axis) - want[axis]) for axis in range(3)]
+        gap = max(float(g.max()) for g in gaps)
+    if not gap <= TOLERANCE:
+        axis = max(range(3), key=lambda x: gaps[x].max())
+        warnings.warn(f"{DIMENSIONS[axis]} {names[axis][int(gaps[axis].argmax())]!r} misses its target share by {gap:.3g} "
+                      f"after {done} sweeps", TargetsMissed, stacklevel=2)
     return {d: {k: float(f) for k, f, t in zip(n, factors[axis], want[axis])}
             for axis, (d, n) in enumerate(zip(DIMENSIONS, names))}
 

@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 
 import numpy as np
+import pytest
 
 from tablespan.llm import chat, impacts, mixing, url_lists
 from tablespan.llm.components import components
@@ -48,6 +49,22 @@ def test_mixing_meets_targets(spark):
     assert mixing.mixed(docs.filter("text is null"), targets).count() == 0
 
 
+def test_raking_goes_on_until_the_margins_hold():
+    other = mixing.OTHER
+    cells = {("src0", "en", other): 1_000_000, ("src0", other, other): 100, (other, "en", other): 100, (other, other, other): 1_000_000}
+    targets = mixing.Targets(source={"src0": 0.5}, lang={"en": 0.495})
+    f = mixing.raked(cells, targets)
+    weight = {c: n * f["source"][c[0]] * f["lang"][c[1]] * f["topic"][c[2]] for c, n in cells.items()}
+    assert abs(sum(w for c, w in weight.items() if c[0] == "src0") - 0.5) < 2e-6
+    assert abs(sum(w for c, w in weight.items() if c[1] == "en") - 0.495) < 2e-6
+
+
+def test_targets_that_cannot_be_met_are_reported():
+    cells = {("src0", "en", mixing.OTHER): 10, (mixing.OTHER, mixing.OTHER, mixing.OTHER): 10}
+    with pytest.warns(mixing.TargetsMissed):
+        mixing.raked(cells, mixing.Targets(source={"src0": 0.5}, lang={"en": 0.3}))
+
+
 def test_probabilities_give_the_shares(spark):
     docs = spark.range(4000).selectExpr("id as doc_id", "repeat('w ', 20) as text", "if(id % 10 < 7, 'src0', 'src1') as source",
                                         "if(id % 3 = 0, 'en', 'de') as lang")
