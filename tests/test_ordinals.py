@@ -89,3 +89,14 @@ def test_one_value_may_end_several_buckets(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",), (None,)], "v string")
     got = sorted((r.bucket, r.endpoint) for r in profile.height_balanced_histogram(df, "v", 5).collect())
     assert got == [(1, "a"), (2, "a"), (3, "a"), (4, "b"), (5, "c")]
+
+
+def test_making_the_rows_stays_parallel(spark):
+    """However few the rows are, their scan and filter are not drawn into the task that orders them."""
+    df = spark.range(0, 4000, 1, 8).where("id % 7 = 0").select("id", F.spark_partition_id().alias("made_by"))
+    assert running_total(df, [], ["id"]).select("made_by").distinct().count() == 8
+
+
+def test_usual_groups_take_one_shuffle(skewed):
+    plan = running_total(skewed, ["k"], ["at"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

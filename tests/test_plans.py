@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from tablespan.plans import JOBS
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -11,7 +12,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in JOBS if not n.startswith("stream_")])
 def test_no_all_pairs_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
