@@ -8,8 +8,8 @@ Method: depth-first branch and bound. A node is a place between rows and a state
 stack holds prefixes (place, state, cost, audit). A prefix is dropped if its cost and the lower bound of the rest exceed
 the incumbent, if it ties with the incumbent and its audit already reads greater, or if its node's dominance table has a
 prefix that costs less, or the same and reads less. The search ends when the stack is empty: then nothing left could be
-better. The bound of a suffix adds what each row costs at least by itself, and 3 for every disjoint pair of neighbours whose
-roles cannot stand side by side.
+better. The bound of a suffix is what its rows cost at least from the prefix's state on, audits left out of account; it is
+computed from the last row backwards, so few prefixes are taken up that lead nowhere.
 
 Scale: a conversation's rows are numbered in order and cut into segments of SEGMENT rows, so that one search never sees more,
 however long a conversation is. A segment is searched for every pair of states at its ends; the best chain of segments
@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from math import inf
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -56,45 +57,53 @@ def wanted(state: int) -> str:
     return "a" if state == USER else "u"
 
 
-def bounds(initials: list[str], faults: list[int]) -> list[int]:
-    """For every place, what the rows from there on cost at least."""
-    least = [DELETE if f in (BLANK, DUPLICATE) else TRUNCATED if f == CUT else 0 for f in faults]
-    out = [0] * (len(initials) + 2)
-    for i in range(len(initials) - 1, -1, -1):
-        out[i] = least[i] + out[i + 1]
-        if i + 1 < len(initials) and initials[i] + initials[i + 1] not in LEGAL:
-            out[i] = max(out[i], max(least[i] + least[i + 1], min(REROLE, DELETE, INSERT)) + out[i + 2])
+def moves(state: int, initial: str, fault: int) -> list[tuple[int, str, int]]:
+    """(cost, edit, state after) of what can be done with a row in this state."""
+    out = [(DELETE, "D", state)]
+    if fault not in (BLANK, DUPLICATE):
+        extra = TRUNCATED if fault == CUT else 0
+        out.append((REROLE + extra, "R", NEXT[state][wanted(state)]))
+        if initial in NEXT[state]:
+            out.append((extra, "K", NEXT[state][initial]))
     return out
 
 
+def bounds(initials: list[str], faults: list[int], goals: tuple[int, ...]) -> list[list[float]]:
+    """For every place and state, a lower bound of what the rows from there on cost until one of `goals` is reached: their
+    costs alone, whatever the audit. It is found from the last row backwards."""
+    def with_inserts(costs: list[float]) -> list[float]:
+        for _ in range(3):                          # no more than three lead to every state that inserts reach
+            costs = [min(c, INSERT + costs[NEXT[q][wanted(q)]]) for q, c in enumerate(costs)]
+        return costs
+
+    out = [with_inserts([0 if q in goals else inf for q in range(4)])]
+    for initial, fault in zip(reversed(initials), reversed(faults)):
+        out.append(with_inserts([min(cost + out[-1][to] for cost, _, to in moves(q, initial, fault)) for q in range(4)]))
+    return out[::-1]
+
+
 def search(initials: list[str], faults: list[int], entry: int, goals: tuple[int, ...]) -> tuple[int, str] | None:
     """The cheapest edits, and of those the least audit, that lead from the state `entry` before the rows to one of `goals`
     after them; None if none do."""
-    n, rest = len(initials), bounds(initials, faults)
+    n, rest = len(initials), bounds(initials, faults, goals)
     best: tuple[int, str] | None = None
     known: dict[tuple[int, int], tuple[int, str]] = {}
-    stack = [(0, entry, 0, "")]
+    stack = [(0, entry, 0, "")] if rest[0][entry] < inf else []
     while stack:
         at, state, cost, audit = stack.pop()
-        if best is not None and (cost + rest[at], audit) > (best[0], best[1][:len(audit)]):
+        if best is not None and (cost + rest[at][state], audit) > (best[0], best[1][:len(audit)]):
             continue
-        if known.get((at, state), (cost + 1, "")) <= (cost, audit):
+        if (at, state) in known and known[at, state] <= (cost, audit):
             continue
         known[at, state] = (cost, audit)
         if at == n and state in goals:
             best = (cost, audit) if best is None else min(best, (cost, audit))
-        new = wanted(state)
-        moves = [(INSERT, "I", at, NEXT[state][new])]
+        further = [(INSERT, "I", at, NEXT[state][wanted(state)])]
         if at < n:
-            fault, initial = faults[at], initials[at]
-            moves.append((DELETE, "D", at + 1, state))
-            if fault not in (BLANK, DUPLICATE):
-                extra = TRUNCATED if fault == CUT else 0
-                moves.append((REROLE + extra, "R", at + 1, NEXT[state][new]))
-                if initial in NEXT[state]:
-                    moves.append((extra, "K", at + 1, NEXT[state][initial]))
-        moves.sort(reverse=True)                    # the cheapest is taken up first, of equal ones the least
-        stack += [(place, to, cost + more, audit + edit) for more, edit, place, to in moves]
+            further += [(more, edit, at + 1, to) for more, edit, to in moves(state, initials[at], faults[at])]
+        # the least bound is taken up first, of equal ones the least edit
+        further.sort(key=lambda m: (m[0] + rest[m[2]][m[3]], m[1]), reverse=True)
+        stack += [(place, to, cost + more, audit + edit) for more, edit, place, to in further if rest[place][to] < inf]
     return best
 
 
