@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tablespan.operators import changes
 from tablespan.operators.relational import references_or_creates
 from tablespan.plans.registry import Tables, query
-from tablespan.sources.contracts import Contract, column
+from tablespan.scratch import new_path
+from tablespan.sources.contracts import Contract, column, refers
+from tablespan.sources.tableset import Refused, TableSet
 
 
 @query("assign_ids", """
@@ -125,3 +127,73 @@ def _(t: Tables):
 def _(t: Tables):
     return (changes.session_expiry(t.events, "user_id", "ts", 7)
             .select("user_id", F.date_format("valid_until", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("valid_until")))
+
+
+GROUP = [
+    Contract("region", [column("r_regionkey", "long"), column("r_name", "text", 25)], key=("r_regionkey",)),
+    Contract("nation", [column("n_nationkey", "long"), column("n_regionkey", "long")], key=("n_nationkey",),
+             references=(refers("n_regionkey", "region", "r_regionkey"),)),
+    Contract("customer", [column("c_custkey", "long"), column("c_nationkey", "long")], key=("c_custkey",),
+             references=(refers("c_nationkey", "nation", "n_nationkey"),))]
+
+_FEWER = "SELECT n_nationkey FROM nation WHERE n_regionkey < 2"
+
+
+@query("reload_group", f"""
+    SELECT 'region' AS table_name, count(*) AS first, count(*) AS after_refusal, count(*) FILTER (r_regionkey < 2) AS last FROM region
+    UNION ALL SELECT 'nation', count(*), count(*), count(*) FILTER (n_regionkey < 2) FROM nation
+    UNION ALL SELECT 'customer', count(*), count(*), count(*) FILTER (c_nationkey IN ({_FEWER})) FROM customer""")
+def _(t: Tables):
+    """Three related tables are loaded; a reload whose customers lack nations leaves all three as they were; a whole one
+    switches all three."""
+    tables = TableSet(t.spark, new_path(t.spark, "tables"))
+    regions, nations = t.region.where("r_regionkey < 2"), t.nation.where("n_regionkey < 2")
+    names = [c.name for c in GROUP]
+
+    def counts(name):
+        parts = [tables.read(n).agg(F.count(F.lit(1)).alias(name)).select(F.lit(n).alias("table_name"), name) for n in names]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    tables.reload({"customer": t.customer, "nation": t.nation, "region": t.region}, GROUP)
+    first = counts("first")
+    try:
+        tables.reload({"region": regions, "nation": nations, "customer": t.customer}, GROUP)
+    except Refused:
+        pass
+    kept = counts("after_refusal")
+    some = t.customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
+    tables.reload({"region": regions, "nation": nations, "customer": some}, GROUP)
+    return first.join(kept, "table_name").join(counts("last"), "table_name")
+
+
+@query("upsert_by_file", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+      CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders
+    UNION ALL
+    SELECT o_orderkey + (SELECT max(o_orderkey) FROM orders), 'O', o_totalprice FROM orders WHERE o_orderstatus = 'P'""")
+def _(t: Tables):
+    """Part-filled orders are finished and followed by new ones; only the files that hold them are written again."""
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    tables = TableSet(t.spark, new_path(t.spark, "tables"))
+    tables.replace({"orders": t.orders.select(*columns)})
+    tables.compact("orders", ["o_orderkey"], 16)
+    part = t.orders.where("o_orderstatus = 'P'").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    top = t.orders.agg(F.max("o_orderkey")).scalar()
+    source = part.withColumn("follows", F.lit(False)).unionByName(
+        part.select((F.col("o_orderkey") + top).alias("o_orderkey"), "price", F.lit(True).alias("follows")))
+    tables.merge("orders", source.withColumnRenamed("o_orderkey", "key"), "o_orderkey", "key",
+                 update={"o_orderstatus": F.lit("F"), "o_totalprice": F.col("src.price") + 1},
+                 insert={"o_orderkey": F.col("src.key"), "o_orderstatus": F.lit("O"), "o_totalprice": F.col("src.price")})
+    return tables.read("orders")
+
+
+@query("change_by_file", f"""
+    SELECT c_custkey, CASE WHEN balance < 1000 THEN 'LOW' ELSE c_mktsegment END AS c_mktsegment, balance FROM ({ACCOUNTS})
+    WHERE NOT COALESCE(CASE WHEN balance < 1000 THEN 'LOW' ELSE c_mktsegment END = 'BUILDING' AND balance > 9000.0, false)""")
+def _(t: Tables):
+    """An update and a delete, each writing again only the files with rows they change."""
+    tables = TableSet(t.spark, new_path(t.spark, "tables"))
+    tables.replace({"accounts": _accounts(t).repartitionByRange(16, "balance")})
+    tables.update("accounts", F.col("balance") < 1000, {"c_mktsegment": F.lit("LOW")})
+    tables.delete("accounts", "c_mktsegment = 'BUILDING' AND balance > 9000.0")
+    return tables.read("accounts")

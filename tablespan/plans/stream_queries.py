@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from tablespan.operators import changes
 from tablespan.plans import quality_queries as q
 from tablespan.plans.registry import Tables, query
+from tablespan.scratch import new_path
+from tablespan.sources.tableset import TableSet
 from tablespan.streaming import jobs
 
 DAY = "%Y-%m-%d %H:%M:%S.%f"
@@ -80,3 +82,50 @@ def _(t: Tables):
     return changes.merge_rows(target, latest, "c_custkey", "key",
                               update={"status": F.col("src.o_orderstatus")},
                               insert={"c_custkey": F.col("src.key"), "status": F.col("src.o_orderstatus")})
+
+
+def _in_batches(t: Tables, rows, name: str, batches: int):
+    """A stream over `rows`, as a folder of that many files that arrive one by one."""
+    folder = new_path(t.spark, "arrivals")
+    rows.repartition(batches, *rows.columns).write.parquet(f"{folder}/{name}")
+    return jobs.arriving(t.spark, folder, name, rows.schema, files_per_batch=1)
+
+
+@query("stream_upsert_published", """
+    WITH last AS (SELECT o_custkey * 2 AS key, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status, max((o_orderdate, o_orderkey)) AS at
+      FROM orders GROUP BY o_custkey)
+    SELECT c_custkey, COALESCE(l.status, c_mktsegment) AS status, at[2] AS by_order, 1 AS n FROM customer LEFT JOIN last l ON c_custkey = l.key
+    UNION ALL SELECT key, status, at[2], 1 FROM last WHERE key NOT IN (SELECT c_custkey FROM customer)""")
+def _(t: Tables):
+    """Three batches land in the table as they arrive; the second comes twice, as after a restart."""
+    tables = TableSet(t.spark, new_path(t.spark, "tables"))
+    none = lambda kind: F.lit(None).cast(kind)
+    orders = t.orders.select((F.col("o_custkey") * 2).alias("key"), "o_orderdate", "o_orderkey", "o_orderstatus")
+    tables.replace({"customer": t.customer.select(
+        "c_custkey", F.col("c_mktsegment").alias("status"), none(orders.schema["o_orderdate"].dataType).alias("at_date"), none("long").alias("by_order"))})
+    newer = F.col("by_order").isNull() | (F.struct("src.o_orderdate", "src.o_orderkey") > F.struct("at_date", "by_order"))
+    values = {"status": "o_orderstatus", "at_date": "o_orderdate", "by_order": "o_orderkey"}
+    land = jobs.upserts(tables, "customer", "c_custkey", "key", [F.col("o_orderdate"), F.col("o_orderkey")],
+                        update={c: F.when(newer, F.col(f"src.{v}")).otherwise(F.col(c)) for c, v in values.items()},
+                        insert={"c_custkey": F.col("src.key"), **{c: F.col(f"src.{v}") for c, v in values.items()}}, stream="orders")
+
+    def arrive(batch, number, path):
+        for _ in range(2 if number == 1 else 1):
+            land(batch, number)
+
+    jobs.run_batches(_in_batches(t, orders, "orders", 3), "upserts", arrive)
+    # with the number of versions that hold batches beyond the three: 1 says that the repeated one made none
+    extra = tables.version().number - 3
+    return tables.read("customer").select("c_custkey", "status", "by_order", F.lit(extra).alias("n"))
+
+
+@query("stream_counter_folded", "SELECT o_custkey, count(*) FILTER (o_orderstatus <> 'F') AS n FROM orders GROUP BY o_custkey")
+def _(t: Tables):
+    """Orders arrive with +1; those that are finished leave again with -1, some before they have arrived."""
+    tables = TableSet(t.spark, new_path(t.spark, "tables"))
+    tables.replace({"counts": t.orders.select("o_custkey", F.lit(0).cast("long").alias("n")).limit(0)})
+    came = t.orders.select("o_custkey", "o_orderkey", F.lit(1).alias("change"))
+    left = t.orders.where("o_orderstatus = 'F'").select("o_custkey", "o_orderkey", F.lit(-1).alias("change"))
+    land = jobs.folded_counts(tables, "counts", "o_custkey", "o_custkey", "change", "n", "orders")
+    jobs.run_batches(_in_batches(t, came.unionByName(left), "orders", 3), "counts", lambda batch, number, path: land(batch, number))
+    return tables.read("counts")

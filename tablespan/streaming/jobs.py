@@ -13,8 +13,9 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablespan.operators.quality import Rule, validated
-from tablespan.scratch import new_path, table_or_empty
+from tablespan.scratch import new_path, table_or_empty, written_table
 from tablespan.session import SETTINGS
+from tablespan.sources.tableset import TableSet
 
 
 def arriving(spark: SparkSession, folder: str, name: str, schema: T.StructType,
@@ -163,3 +164,34 @@ def latest_changes(rows: DataFrame, key: str, order: list[Column], label: str,
     schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
     entries = table_or_empty(rows.sparkSession, f"{path}/log", schema)
     return entries.groupBy(F.col(key).alias("_key")).agg(newest.alias("_row")).select("_row.*")
+
+
+# ---------------------------------------------------------------- changes that land in a table
+
+def upserts(tables: TableSet, table: str, key: str, source_key: str, order: list[Column], update: dict[str, Column],
+            insert: dict[str, Column], stream: str) -> Callable[[DataFrame, int], None]:
+    """For `foreachBatch`: the last row of each key in the batch is merged into `table`, and the batch is published as one
+    version. A batch that comes again, after a restart, is known by its number and changes nothing. `update` decides
+    what happens where the table already holds something newer; source columns are read as `src.name`."""
+    def land(batch: DataFrame, number: int) -> None:
+        if tables.published((stream, number)):
+            return
+        newest = F.max_by(F.struct(*batch.columns), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
+        last = batch.groupBy(F.col(source_key).alias("_key")).agg(newest.alias("_row")).select("_row.*")
+        tables.merge(table, written_table(last, "arrived"), key, source_key, update, insert, (stream, number))
+
+    return land
+
+
+def folded_counts(tables: TableSet, table: str, key: str, source_key: str, sign: str, counter: str,
+                  stream: str) -> Callable[[DataFrame, int], None]:
+    """For `foreachBatch`: rows that arrive with +1 and leave with -1 are summed per key and folded into the stored counter,
+    so a counter survives deletes and no log has to be read again. Keys the table lacks are added with what arrived."""
+    def land(batch: DataFrame, number: int) -> None:
+        if tables.published((stream, number)):
+            return
+        deltas = batch.groupBy(source_key).agg(F.sum(sign).cast("long").alias("_delta"))
+        tables.merge(table, written_table(deltas, "deltas"), key, source_key, {counter: F.col(counter) + F.col("src._delta")},
+                     {key: F.col(f"src.{source_key}"), counter: F.col("src._delta")}, (stream, number))
+
+    return land
