@@ -1,8 +1,11 @@
 """Trees stored as parent keys: levels, paths, depth-first listing, descendants.
 
-One join per level between the newest nodes and the edge table. Each level is written to the
+`walk` makes one join per level between the newest nodes and the edge table. Each level is written to the
 shared folder, so lineage stays short and the next join knows the true size of its small side. The
-number of levels bounds the loop; the number of nodes does not matter."""
+number of levels bounds the loop; the number of nodes does not matter. It suits trees of few levels.
+
+`levels` and `depth_first` suit deep ones: pointers are doubled, so the rounds grow with the logarithm of the depth, or of the
+number of nodes, and no path is kept in a row."""
 
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablespan.operators.ordinals import running_total
 from tablespan.scratch import new_path, written_table
 
 
@@ -67,3 +71,70 @@ def walk(nodes: DataFrame, node: str, parent: str, roots: Column | None = None,
 def indented(label: Column, first: str = "-", step: str = "--") -> Column:
     """A listing line whose prefix grows by `step` per level."""
     return F.concat(F.lit(first), F.expr(f"repeat('{step}', level - 1)"), F.lit(" "), label)
+
+
+# ---------------------------------------------------------------- deep trees
+
+def chained(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (id, next, amount) with unique ids, where `next` is NULL at the end of a chain: (id, end, total), the last id of each
+    one's chain and the sum of amounts up to and including it; and the ids (id) whose chain has no end, because it runs into
+    a cycle. Ids whose chain leads to an id that is not there are in neither.
+
+    Each round joins every open pointer to what its target knows, which doubles the length it spans; finished ids are
+    written once and only looked up afterwards. After 2 ** rounds >= number of ids nothing but cycles is open."""
+    spark = links.sparkSession
+    rows = links.select("id", "next", F.when(F.col("next").isNull(), F.col("id")).alias("end"), F.col("amount").alias("total"))
+    folder, earlier, span = new_path(spark, "chains"), [], 1
+    scan = lambda numbers: spark.read.schema(rows.schema).parquet(*[f"{folder}/{k}" for k in numbers])
+    rows.write.parquet(f"{folder}/0")
+    n = scan([0]).count()
+    for number in count(1):
+        newest = scan([number - 1])
+        open_ids = newest.where("next is not null")
+        if span > n or open_ids.isEmpty():
+            break
+        # what earlier rounds finished lies in their folders, beside rows that later rounds have moved on
+        known = newest.unionByName(scan(earlier).where("next is null")) if earlier else newest
+        known = known.select(F.col("id").alias("_id"), F.col("next").alias("_next"), F.col("end").alias("_end"), F.col("total").alias("_total"))
+        open_ids.join(known, F.col("next") == F.col("_id")).select(
+            "id", F.col("_next").alias("next"), F.col("_end").alias("end"), (F.col("total") + F.col("_total")).alias("total")
+        ).write.parquet(f"{folder}/{number}")
+        earlier, span = [*earlier, number - 1], 2 * span
+    return scan([*earlier, number - 1]).where("next is null").select("id", "end", "total"), open_ids.select("id")
+
+
+def levels(nodes: DataFrame, node: str, parent: str, roots: Column | None = None,
+           child_condition: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """All nodes reachable from the roots (default: nodes without parent), with `level` from 1 and `root`; and the nodes
+    (`node`) on a cycle or below one. Ids must be unique. The extra condition applies to child rows only."""
+    is_root = F.coalesce(F.col(parent).isNull() if roots is None else roots, F.lit(False))
+    is_child = F.col(parent).isNotNull() & (F.lit(True) if child_condition is None else F.coalesce(child_condition, F.lit(False)))
+    links = nodes.where(is_root | is_child).select(
+        F.col(node).alias("id"), F.when(~is_root, F.col(parent)).alias("next"), F.lit(1).cast("long").alias("amount"))
+    found, cyclic = chained(links)
+    found = found.select(F.col("id").alias("_id"), F.col("total").alias("level"), F.col("end").alias("root"))
+    return nodes.join(found, F.col(node) == F.col("_id")).drop("_id"), cyclic.select(F.col("id").alias(node))
+
+
+def depth_first(tree: DataFrame, node: str, parent: str, order: list[str], name: str = "listed_as") -> DataFrame:
+    """Add each node's number, from 1, in a depth-first listing whose siblings, and roots, come in `order`. A node whose parent
+    is not in the table is a root. The listing is an Euler tour: a node is entered, its children follow, it is left; each
+    step knows the next one, and counting the entries from a step to the end is one chain of pointers."""
+    rows = written_table(tree, "tour")
+    known = rows.select(F.col(node).alias("_known"))
+    up = rows.join(known, F.col(parent) == F.col("_known"), "left").select(
+        F.col(node).alias("_node"), F.col("_known").alias("_up"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    placed = written_table(running_total(up, ["_up"], [f"_o{i}" for i in range(len(order))], "_k").select("_node", "_up", "_k"), "siblings")
+    first = placed.where("_k = 1 and _up is not null").select(F.col("_up").alias("_of"), F.col("_node").alias("_child"))
+    later = placed.select(F.col("_up").alias("_of"), (F.col("_k") - 1).alias("_after"), F.col("_node").alias("_sibling"))
+    step = lambda at, entered: F.struct(F.col(at).alias("node"), F.lit(entered).alias("entered"))
+    enter = placed.join(first, F.col("_node") == F.col("_of"), "left").select(
+        step("_node", True).alias("id"), F.when(F.col("_child").isNull(), step("_node", False)).otherwise(step("_child", True)).alias("next"),
+        F.lit(1).cast("long").alias("amount"))
+    leave = placed.join(later, F.col("_up").eqNullSafe(F.col("_of")) & (F.col("_k") == F.col("_after")), "left").select(
+        step("_node", False).alias("id"), F.when(F.col("_sibling").isNotNull(), step("_sibling", True))
+        .when(F.col("_up").isNotNull(), step("_up", False)).alias("next"), F.lit(0).cast("long").alias("amount"))
+    found, _ = chained(enter.unionByName(leave))
+    entered = found.where("id.entered").select(F.col("id.node").alias("_node"), F.col("total").alias("_left"))
+    n = rows.count()
+    return rows.join(entered, F.col(node) == F.col("_node")).withColumn(name, F.lit(n) + 1 - F.col("_left")).drop("_node", "_left")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tablespan.functions.checks import NIP_WEIGHTS
 from tablespan.functions.draws import draw, draw_from
 from tablespan.operators.ordinals import running_total
+from tablespan.scratch import written_table
 
 # small value pools of our own
 MALE_NAMES = ["Adam", "Bartek", "Cezary", "Daniel", "Emil", "Filip", "Grzegorz", "Hubert", "Igor",
@@ -120,8 +121,21 @@ def persons(spark: SparkSession, office_total: int, count: int, seed: int) -> Da
 def drawn_without_repeats(pool: DataFrame, value: str, takers: DataFrame, taker: str,
                           seed: str, **sampling) -> DataFrame:
     """Give each taker a different pool value, in an order shuffled by `seed`. Takers beyond the
-    pool's size get NULL."""
-    shuffled = pool.select(F.md5(F.concat_ws("|", F.col(value).cast("string"), F.lit(seed))).alias("_mix"), value)
-    ranked = running_total(shuffled, [], ["_mix", value], "_rank", **sampling).drop("_mix")
+    pool's size get NULL.
+
+    The order is that of a hash, and only its first rows are drawn: as many as there are takers. Hashes are spread
+    evenly, so those lie below a limit that is known from the two sizes, and rows above it are dropped where they are
+    read. Should too few lie below it, the limit is doubled."""
+    hashed = pool.select(F.md5(F.concat_ws("|", F.col(value).cast("string"), F.lit(seed))).alias("_mix"), value)
+    pool_rows, wanted = pool.count(), takers.count()
+    wanted = min(pool_rows, wanted)
+    share = (wanted + 6 * wanted ** 0.5 + 20) / max(1, pool_rows)
+    while True:
+        low = hashed if share >= 1 else hashed.where(F.col("_mix") < f"{int(share * 16 ** 12):012x}")
+        low = written_table(low, "drawn")
+        if share >= 1 or low.count() >= wanted:
+            break
+        share *= 2
+    ranked = running_total(low, [], ["_mix", value], "_rank", **sampling).where(F.col("_rank") <= wanted).drop("_mix")
     queue = running_total(takers.select(taker), [], [taker], "_rank", **sampling)
     return queue.join(ranked, "_rank", "left").select(taker, value)

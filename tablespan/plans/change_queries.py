@@ -170,7 +170,7 @@ def _(t: Tables):
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
       CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders
     UNION ALL
-    SELECT o_orderkey + (SELECT max(o_orderkey) FROM orders), 'O', o_totalprice FROM orders WHERE o_orderstatus = 'P'""")
+    SELECT o_orderkey + (SELECT max(o_orderkey) FROM orders) + 1, 'O', o_totalprice FROM orders WHERE o_orderstatus = 'P'""")
 def _(t: Tables):
     """Part-filled orders are finished and followed by new ones; only the files that hold them are written again."""
     columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
@@ -178,7 +178,7 @@ def _(t: Tables):
     tables.replace({"orders": t.orders.select(*columns)})
     tables.compact("orders", ["o_orderkey"], 16)
     part = t.orders.where("o_orderstatus = 'P'").select("o_orderkey", F.col("o_totalprice").alias("price"))
-    top = t.orders.agg(F.max("o_orderkey")).scalar()
+    top = t.orders.agg(F.max("o_orderkey") + 1).scalar()
     source = part.withColumn("follows", F.lit(False)).unionByName(
         part.select((F.col("o_orderkey") + top).alias("o_orderkey"), "price", F.lit(True).alias("follows")))
     tables.merge("orders", source.withColumnRenamed("o_orderkey", "key"), "o_orderkey", "key",

@@ -92,10 +92,10 @@ def _in_batches(t: Tables, rows, name: str, batches: int):
 
 
 @query("stream_upsert_published", """
-    WITH last AS (SELECT o_custkey * 2 AS key, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status, max((o_orderdate, o_orderkey)) AS at
+    WITH last AS (SELECT o_custkey * 2 AS key, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status, max((o_orderdate, o_orderkey)) AS latest
       FROM orders GROUP BY o_custkey)
-    SELECT c_custkey, COALESCE(l.status, c_mktsegment) AS status, at[2] AS by_order, 1 AS n FROM customer LEFT JOIN last l ON c_custkey = l.key
-    UNION ALL SELECT key, status, at[2], 1 FROM last WHERE key NOT IN (SELECT c_custkey FROM customer)""")
+    SELECT c_custkey, COALESCE(l.status, c_mktsegment) AS status, latest[2] AS by_order, 1 AS n FROM customer LEFT JOIN last l ON c_custkey = l.key
+    UNION ALL SELECT key, status, latest[2], 1 FROM last WHERE key NOT IN (SELECT c_custkey FROM customer)""")
 def _(t: Tables):
     """Three batches land in the table as they arrive; the second comes twice, as after a restart."""
     tables = TableSet(t.spark, new_path(t.spark, "tables"))

@@ -109,3 +109,28 @@ _SAMPLED = f"""FROM lineitem WHERE {draw_sql("l_orderkey || ',' || l_linenumber"
     {_SAMPLED}""" for c in ("l_partkey", "l_returnflag")))
 def _(t: Tables):
     return profile.sampled_profile(t.lineitem, ["l_partkey", "l_returnflag"], 0.1, SEED, ["l_orderkey", "l_linenumber"])
+
+
+_ESTIMATED = ("l_partkey", "l_orderkey", "l_extendedprice", "l_suppkey", "l_shipdate")
+
+
+@query("estimated_distinct", f"""
+    WITH RECURSIVE counts AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, {c}::VARCHAR AS value, count(*) AS n {_SAMPLED} AND {c} IS NOT NULL GROUP BY {c}" for c in _ESTIMATED)}),
+    facts AS (
+      SELECT column_name, count(*) AS d, count(*) FILTER (n = 1) AS f1, count(*) FILTER (n = 2) AS f2,
+        sum(n) FILTER (n <= 4)::DOUBLE AS n, count(*) FILTER (n > 4) AS frequent,
+        greatest(2 * count(*) FILTER (n = 2) / (0.1::DOUBLE * nullif(count(*) FILTER (n = 1), 0)), 1e-9::DOUBLE) AS slope
+      FROM counts GROUP BY column_name),
+    halved AS (
+      SELECT column_name, 0 AS i, -14::DOUBLE AS low, 14::DOUBLE AS high, CASE WHEN f1 > 0 THEN ln(f1 / n) / slope END AS target FROM facts
+      UNION ALL
+      SELECT column_name, i + 1, CASE WHEN above THEN low ELSE t END, CASE WHEN above THEN t ELSE high END, target FROM (
+        SELECT *, COALESCE(CASE WHEN abs(1 - exp(t)) < 1e-9 THEN -0.1 ELSE (1 - (1 - exp(t)) * 0.9::DOUBLE) / (1 - exp(t)) * (t - ln(1 - (1 - exp(t)) * 0.9::DOUBLE)) END > target, false) AS above
+        FROM (SELECT *, (low + high) / 2 AS t FROM halved WHERE i < 50))),
+    fitted AS (SELECT f.*, low AS t, 1 - exp(low) AS p, slope * (1 - (1 - exp(low)) * 0.9::DOUBLE) / (1 - exp(low)) AS r FROM facts f JOIN halved h USING (column_name) WHERE i = 50),
+    bounded AS (SELECT *, round(d - f1 + f1 / 0.1::DOUBLE)::BIGINT AS most FROM fitted)
+    SELECT column_name, d AS sample_distinct, f1 AS singletons, f2 AS doubletons, d AS at_least, most AS at_most,
+      greatest(d, least(most, CASE WHEN f1 = 0 THEN d WHEN f1 >= n THEN most ELSE round(n / 0.1::DOUBLE * (exp(r * t) - exp(t)) / (p * (1 - r)) + frequent) END))::BIGINT AS num_distinct_estimate
+    FROM bounded""")
+def _(t: Tables):
+    return profile.estimated_distinct(t.lineitem, list(_ESTIMATED), 0.1, SEED, ["l_orderkey", "l_linenumber"])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from tablespan.operators.hierarchy import indented, walk
+from tablespan.operators.hierarchy import depth_first, indented, levels, walk
 from tablespan.operators.ordinals import running_total
+from tablespan.scratch import written_table
 from tablespan.plans.registry import Tables, query
 
 NODES = """
@@ -50,3 +51,16 @@ def _(t: Tables):
     # the condition prunes children, with everything below them, but not the root
     return (walk(_nodes(t), "id", "parent", F.col("id") == "R2", ~F.col("label").endswith("7"))
             .where("level > 1").select("id", "level"))
+
+
+@query("thread_levels", """
+    WITH placed AS (
+      SELECT event_id, row_number() OVER w AS level, first_value(event_id) OVER w AS root FROM events
+      WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING))
+    SELECT event_id, level, root, row_number() OVER (ORDER BY root, level) AS listed_as FROM placed""")
+def _(t: Tables):
+    """Every event answers the one before it of the same user: a tree as deep as a user has events."""
+    before = F.lag("event_id").over(Window.partitionBy("user_id").orderBy("event_id"))
+    threads = written_table(t.events.select("event_id", before.alias("answers")), "threads")
+    found, _ = levels(threads, "event_id", "answers")
+    return depth_first(found, "event_id", "answers", ["event_id"]).select("event_id", "level", "root", "listed_as")
