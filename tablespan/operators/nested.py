@@ -6,6 +6,8 @@ has the single chunk 0, a parent with very many has as many chunks as needed, an
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablespan.operators.ordinals import running_total, top_in_group
@@ -27,6 +29,17 @@ def nest(df: DataFrame, keys: list[str], children: list[str], order: list[str],
                 "_items", lambda r: F.struct(*[r[c].alias(c) for c in children])).alias(name)))
 
 
+def bounded_lists(df: DataFrame, keys: list[str], value: str, limit: int, name: str = "items") -> DataFrame:
+    """(keys, items): the values of each group, ascending, as one array. A group of more than `limit` rows is an error: groups
+    are counted first, which is reduced before its shuffle, and a large one ends the job before its rows are gathered."""
+    known = [f"_key{i}" for i in range(len(keys))]
+    too_many = F.raise_error(F.lit(f"more than {limit} elements")).cast("boolean")
+    fitting = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).toDF(*known, "_n")
+               .where(F.when(F.col("_n") > limit, too_many).otherwise(True)))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(c)) for k, c in zip(keys, known)])
+    return df.join(fitting, same, "left_semi").groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
+
+
 def nest_under(parents: DataFrame, parent_key: str, df: DataFrame, child_key: str,
                children: list[str], order: list[str], name: str = "items", chunk: int = CHUNK,
                **sampling) -> DataFrame:

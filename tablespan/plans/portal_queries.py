@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablespan.functions.arrays import bounded
 from tablespan.operators import changes, profile
+from tablespan.operators.nested import bounded_lists
 from tablespan.plans.registry import Tables, query
 from tablespan.scratch import new_path
 
@@ -72,7 +73,7 @@ def _(t: Tables):
     SELECT l_orderkey, string_agg(l_linenumber, ',' ORDER BY l_linenumber) AS lines, count(*)::INTEGER AS n FROM lineitem GROUP BY l_orderkey""")
 def _(t: Tables):
     # an order has few lines; one with more than 50 would be an error, not a shorter list
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("all"))
+    lines = bounded_lists(t.lineitem, ["l_orderkey"], "l_linenumber", 50, "all")
     kept = bounded(F.col("all"), 50)
     return lines.select("l_orderkey", F.array_join(kept.cast("array<string>"), ",").alias("lines"), F.size(kept).alias("n"))
 

@@ -100,3 +100,16 @@ def test_making_the_rows_stays_parallel(spark):
 def test_usual_groups_take_one_shuffle(skewed):
     plan = running_total(skewed, ["k"], ["at"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_a_group_beyond_the_bound_is_refused_before_it_is_gathered(skewed):
+    small = skewed.where("k > 0 or k is null and id < 100")
+    got = {r.k: r["items"] for r in nested.bounded_lists(small, ["k"], "id", 60).collect()}
+    groups = defaultdict(list)
+    for r in small.collect():
+        groups[r.k].append(r.id)
+    assert got == {k: sorted(v) for k, v in groups.items()} and None in got
+    with pytest.raises(Exception, match="more than 60"):
+        nested.bounded_lists(skewed, ["k"], "id", 60).collect()
+    plan = nested.bounded_lists(skewed, ["k"], "id", 60)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("collect_list") < plan.index("raise_error") < plan.index("partial_count")
