@@ -129,3 +129,16 @@ def _(t: Tables):
     land = jobs.folded_counts(tables, "counts", "o_custkey", "o_custkey", "change", "n", "orders")
     jobs.run_batches(_in_batches(t, came.unionByName(left), "orders", 3), "counts", lambda batch, number, path: land(batch, number))
     return tables.read("counts")
+
+
+@query("stream_refused_for_good", """
+    SELECT user_id || '-' || event_type AS login, 1 AS accepted, count(*) - 1 AS refused FROM events GROUP BY user_id, event_type""")
+def _(t: Tables):
+    """The first row of a key that arrives is taken; every later one is refused, in its batch or in any that follows."""
+    tables = TableSet(t.spark, new_path(t.spark, "tables"))
+    login = F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("login")
+    land = jobs.accepted_once(tables, "users", "refused", "login", "event_id", "events")
+    jobs.run_batches(_in_batches(t, t.events.select(login, "event_id"), "events", 3), "refusals", lambda batch, number, path: land(batch, number))
+    count = lambda name, column: tables.read(name).groupBy("login").agg(F.count(F.lit(1)).alias(column))
+    return count("users", "accepted").join(count("refused", "refused"), "login", "left").select(
+        "login", F.col("accepted").cast("int").alias("accepted"), F.coalesce("refused", F.lit(0).cast("long")).alias("refused"))

@@ -149,6 +149,13 @@ class TableSet:
             return base
         return self._publish(base, {name: self._staged(rows) for name, rows in frames.items()}, batch)
 
+    def append(self, frames: dict[str, DataFrame], batch: tuple[str, int] | None = None) -> Version:
+        """More rows for some tables, published together; present files stay, and a table that is not there is made."""
+        base = self.version()
+        if self._seen(base, batch):
+            return base
+        return self._publish(base, {name: self.files(name, base) + self._staged(rows) for name, rows in frames.items()}, batch)
+
     def reload(self, frames: dict[str, DataFrame], contracts: Iterable[Contract], batch: tuple[str, int] | None = None) -> Version:
         """Replace related tables as a group, parents before children. Each is brought to its contract, staged, and checked:
         a repeated key, or a reference that the staged parent (or, if that is not reloaded, the present one) does not have,

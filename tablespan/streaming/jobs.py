@@ -12,7 +12,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tablespan.operators.quality import Rule, validated
+from tablespan.operators.quality import Rule, existing_or_repeated, validated
 from tablespan.scratch import new_path, table_or_empty, written_table
 from tablespan.session import SETTINGS
 from tablespan.sources.tableset import TableSet
@@ -195,3 +195,20 @@ def folded_counts(tables: TableSet, table: str, key: str, source_key: str, sign:
                      {key: F.col(f"src.{source_key}"), counter: F.col("src._delta")}, (stream, number))
 
     return land
+
+
+def accepted_once(tables: TableSet, table: str, refused: str, key: str, row_id: str, stream: str) -> Callable[[DataFrame, int], None]:
+    """For `foreachBatch`: rows whose key is new go to `table`, the others to `refused` with the reason (existing, or repeated
+    within the batch), published together. Keys are asked of the table itself, of which a batch reads the key column only, so
+    a key is refused for good, whatever time has passed and however often the stream was started anew. Of several rows
+    with a new key the one with the smallest `row_id` is taken; rows without a key are."""
+    def land(batch: DataFrame, number: int) -> None:
+        if tables.published((stream, number)):
+            return
+        arrived = written_table(batch, "arrived")
+        stored = tables.read(table) if tables.files(table) else arrived.limit(0)
+        rejected = written_table(existing_or_repeated(arrived, key, row_id, stored, key), "refused")
+        fresh = arrived.join(rejected.select(F.col(row_id).alias("_refused")), F.col(row_id) == F.col("_refused"), "left_anti")
+        tables.append({table: fresh, refused: rejected}, (stream, number))
+
+    return land

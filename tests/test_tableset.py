@@ -158,3 +158,17 @@ def test_upserts_keep_what_is_newer(spark, tables):
             want[k] = max(want.get(k, (-1, "")), (at, v))
         land(spark.createDataFrame(batch, "id long, v string, at long"), number)
     assert rows(tables.read("t")) == sorted(((k, v, at) for k, (at, v) in want.items()), key=str)
+
+
+def test_a_key_is_refused_for_good(spark, tables):
+    """In its own batch, in later ones, and when the stream is started anew; a repeated batch decides nothing again."""
+    land = jobs.accepted_once(tables, "users", "refused", "login", "id", "s")
+    batches = [[(1, "a"), (2, "b"), (3, "a"), (4, None), (5, None)], [(6, "b"), (7, "c")], [(8, "a"), (9, "d"), (10, "d"), (11, "c")]]
+    for number, batch in enumerate(batches):
+        for _ in range(2):
+            land(spark.createDataFrame(batch, "id long, login string"), number)
+        land = jobs.accepted_once(tables, "users", "refused", "login", "id", "s")
+    assert {r.id for r in tables.read("users").collect()} == {1, 2, 4, 5, 7, 9} and tables.read("users").count() == 6
+    assert {(r.id, r.reason) for r in tables.read("refused").collect()} == {
+        (3, "repeated"), (6, "existing"), (8, "existing"), (10, "repeated"), (11, "existing")}
+    assert tables.version().number == 3
