@@ -142,3 +142,14 @@ def _(t: Tables):
     count = lambda name, column: tables.read(name).groupBy("login").agg(F.count(F.lit(1)).alias(column))
     return count("users", "accepted").join(count("refused", "refused"), "login", "left").select(
         "login", F.col("accepted").cast("int").alias("accepted"), F.coalesce("refused", F.lit(0).cast("long")).alias("refused"))
+
+
+@query("stream_stored_expiry", """
+    SELECT user_id, strftime(max(ts) + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S.%f') AS valid_until
+    FROM events GROUP BY user_id""")
+def _(t: Tables):
+    """Touches arrive in any order; the stored row of a user is that of `session_expiry` over all of them."""
+    tables = TableSet(t.spark, new_path(t.spark, "tables"))
+    land = jobs.stored_expiry(tables, "sessions", "user_id", "ts", F.make_dt_interval(days=F.lit(7)), "events")
+    jobs.run_batches(_in_batches(t, t.events.select("user_id", "ts"), "events", 3), "expiry", lambda batch, number, path: land(batch, number))
+    return tables.read("sessions").select("user_id", F.date_format("valid_until", TEXT).alias("valid_until"))

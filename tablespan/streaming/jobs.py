@@ -212,3 +212,19 @@ def accepted_once(tables: TableSet, table: str, refused: str, key: str, row_id:
         tables.append({table: fresh, refused: rejected}, (stream, number))
 
     return land
+
+
+def stored_expiry(tables: TableSet, table: str, key: str, ts: str, gap: Column, stream: str,
+                  until: str = "valid_until") -> Callable[[DataFrame, int], None]:
+    """For `foreachBatch`: one stored row per key, valid until its last touch plus `gap`. A touch extends it however late it
+    arrives, for nothing is forgotten; one that is older than the last changes nothing. `sessions` closes sessions instead."""
+    def land(batch: DataFrame, number: int) -> None:
+        if tables.published((stream, number)):
+            return
+        last = written_table(batch.groupBy(key).agg((F.max(ts) + gap).alias("_until")), "touches")
+        if not tables.files(table):
+            tables.replace({table: last.select(key, F.col("_until").alias(until)).limit(0)})
+        tables.merge(table, last, key, key, {until: F.greatest(until, "src._until")},
+                     {key: F.col(f"src.{key}"), until: F.col("src._until")}, (stream, number))
+
+    return land

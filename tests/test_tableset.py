@@ -172,3 +172,16 @@ def test_a_key_is_refused_for_good(spark, tables):
     assert {(r.id, r.reason) for r in tables.read("refused").collect()} == {
         (3, "repeated"), (6, "existing"), (8, "existing"), (10, "repeated"), (11, "existing")}
     assert tables.version().number == 3
+
+
+def test_a_late_touch_extends_the_stored_row(spark, tables):
+    from tablespan.operators import changes
+
+    day = lambda d: f"2024-03-{d:02d} 12:00:00"
+    batches = [[(1, day(20)), (2, day(1))], [(1, day(10)), (2, day(25)), (3, None)], [(2, day(2)), (1, day(21)), (1, day(5))]]
+    land = jobs.stored_expiry(tables, "sessions", "user", "ts", F.make_dt_interval(days=F.lit(7)), "touches")
+    frame = lambda some: spark.createDataFrame(some, "user long, ts string").select("user", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    for number, batch in enumerate(batches):
+        land(frame(batch), number)
+        land(frame(batch), number)
+        assert rows(tables.read("sessions")) == rows(changes.session_expiry(frame(sum(batches[:number + 1], [])), "user", "ts", 7))
