@@ -9,6 +9,7 @@ from tablespan.operators.relational import references_or_creates
 from tablespan.plans.registry import Tables, query
 from tablespan.scratch import new_path
 from tablespan.sources.contracts import Contract, column, refers
+from tablespan.sources.tables import append_rows, read_table
 from tablespan.sources.tableset import Refused, TableSet
 
 
@@ -197,3 +198,23 @@ def _(t: Tables):
     tables.update("accounts", F.col("balance") < 1000, {"c_mktsegment": F.lit("LOW")})
     tables.delete("accounts", "c_mktsegment = 'BUILDING' AND balance > 9000.0")
     return tables.read("accounts")
+
+
+@query("appended_rows", """
+    SELECT p_partkey, p_name, p_brand, p_size FROM part
+    UNION ALL SELECT s_suppkey + (SELECT max(p_partkey) FROM part) + 1, s_name, 'Brand#0', 1 FROM supplier""")
+def _(t: Tables):
+    """Rows that lack two columns are appended to a stored table, which gives them its defaults."""
+    folder = new_path(t.spark, "stored")
+    append_rows(t.part, PART, folder)
+    top = t.part.agg(F.max("p_partkey") + 1).scalar()
+    append_rows(t.supplier.select((F.col("s_suppkey") + top).alias("p_partkey"), F.col("s_name").alias("p_name")), PART, folder)
+    return read_table(t.spark, folder, "part")
+
+
+@query("events_until_now", """
+    SELECT user_id, count(*) AS n, max(ts)::DATE <= current_date AS past FROM events WHERE ts <= now()::TIMESTAMP GROUP BY user_id""")
+def _(t: Tables):
+    now = F.current_timestamp().cast("timestamp_ntz")
+    return (t.events.where(F.col("ts") <= now).groupBy("user_id")
+            .agg(F.count(F.lit(1)).alias("n"), (F.max("ts").cast("date") <= F.current_date()).alias("past")))
