@@ -205,9 +205,15 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, sets:
 
 
 def _candidate_groups(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups that share an index token: asks (the one with fewer members) and holds."""
-    tokens = sets.select("node", "prefix").join(grouped, "node").select("grp", "n_shingles", F.explode("prefix").alias("token"))
-    index = tokens.groupBy("token", "grp").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    """Pairs of groups that share an index token: asks (the one with fewer members) and holds. Tokens of a group of one
+    are distinct already and are not shuffled to merge them. The index is written, so that joining it with itself
+    shuffles it once."""
+    members = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    prefixes = sets.select("node", "prefix").join(grouped, "node").join(members, "grp")
+    tokens = prefixes.select("grp", "n", "n_shingles", F.explode("prefix").alias("token"))
+    alone = tokens.filter("n = 1").select("token", "grp", F.col("n_shingles").alias("least"), F.col("n_shingles").alias("most"))
+    union = tokens.filter("n > 1").groupBy("token", "grp").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    index = stage_table(alone.unionByName(union), "group-tokens")
     a, b = index.alias("a"), index.alias("b")
     fits = (F.col("a.grp") < F.col("b.grp")) & (percent * F.col("a.least") <= 100 * F.col("b.most")) & (
         percent * F.col("b.least") <= 100 * F.col("a.most"))
