@@ -5,7 +5,8 @@
    smallest node is verified. A node that fails is a group of its own. Members of a group are linked through it.
 3. The token-group matrix holds, for each group (in chunks of about CHUNK members), the union of its members' tokens.
    Its sparse index keeps the tokens of the members' prefixes: ordered from rare to common, two sets as similar as
-   asked for share k of their first |X| - ceil(s |X|) + k tokens; k grows with the sets (`_spare`). Two groups that
+   asked for share k of their first |X| - ceil(s |X|) + k tokens; k grows with the sets (`_spare`). Tokens are counted
+   alone first; those of one node only, most of all, never travel with it, nor does a node left with fewer than k. Two groups that
    share so many index tokens and whose sizes allow a link are a candidate pair.
 4. A member of the smaller group is a query against each chunk of the other: the chunk opens only if the query shares
    at least s |query| tokens with the chunk's union. Members of opened chunks are verified one by one on their sets.
@@ -78,10 +79,10 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counters(summaries: DataFrame) -> np.ndarray:
-    """The counters of all tasks, added in two steps so that no task holds more than one table at a time."""
+    """The counters of all tasks, added in two shuffles: of N tables no task reads more than about the square root of N."""
     rows = summaries.filter("counts is not null").select("counts")
     middle = max(1, int(rows.count() ** 0.5))
-    row = rows.repartition(middle).mapInArrow(_added, "counts binary").coalesce(1).mapInArrow(_added, "counts binary").first()
+    row = rows.repartition(middle).mapInArrow(_added, "counts binary").repartition(1).mapInArrow(_added, "counts binary").first()
     return np.frombuffer(bytes(row.counts), np.int64)
 
 
@@ -91,40 +92,82 @@ def _spare(n: int) -> int:
     return 1 + n // 20
 
 
-def _token_lists(width: int, percent: int, counts: np.ndarray | None, bits: np.ndarray, bit_of: int):
-    """doc_id, d1, the prefix from rare to common (given counters; else only rows with their bit set come), and the
-    whole set if the bit of the digest `bit_of` is set."""
+def _only_nodes(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    """The rows (doc_id, text, hash, row_hash) that may stand for a node."""
+    return batch.filter(pa.array(has_bit(bits, batch.column(3).to_numpy())))
+
+
+def _prefix(tokens: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
+    """The prefix of a set, from rare to common."""
+    n = len(tokens)
+    order = np.lexsort((tokens, counts[tokens.astype(np.int64) & (COUNTERS - 1)]))
+    return tokens[order[:n + (-n * percent // 100) + _spare(n)]]
+
+
+def _prefix_tokens(width: int, percent: int, counts: np.ndarray, chosen: np.ndarray):
+    """All prefix tokens of the nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
-            out: list[list] = [[], [], [], []]
+            batch = _only_nodes(batch, chosen)
+            found = [_prefix(t, percent, counts) for t in shingle_sets(batch.column(1), width) if len(t)]
+            if found:
+                yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64))], names=["token"])
+
+    return run
+
+
+def _prefix_lists(width: int, percent: int, counts: np.ndarray, chosen: np.ndarray, shared: np.ndarray):
+    """doc_id, d1 and those prefix tokens that other nodes may have too. A node with fewer of them than any set it may be
+    linked with must share has no link and gives no row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_blocks(batches):
+            batch = _only_nodes(batch, chosen)
+            out: list[list] = [[], [], []]
             for tokens, doc in zip(shingle_sets(batch.column(1), width), batch.column(0).to_pylist()):
-                n = len(tokens)
-                digests = _digests(tokens) if n else (0, 0, 0)
-                whole = n > 0 and bool(has_bit(bits, np.array([digests[bit_of]]))[0])
-                if n == 0 or not (whole or counts is not None):
+                if len(tokens) == 0:
                     continue
-                prefix = None
-                if counts is not None:
-                    order = np.lexsort((tokens, counts[tokens.astype(np.int64) & (COUNTERS - 1)]))
-                    prefix = tokens[order[:n + (-n * percent // 100) + _spare(n)]].view(np.int64)
-                for column, cell in zip(out, (doc, digests[0], prefix, tokens.view(np.int64) if whole else None)):
-                    column.append(cell)
-            types = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "prefix", "tokens"])
+                prefix = _prefix(tokens, percent, counts)
+                prefix = prefix[has_bit(shared, prefix)]
+                if len(prefix) >= _spare(-(-len(tokens) * percent // 100)):
+                    for column, cell in zip(out, (doc, _digests(tokens)[0], prefix.view(np.int64))):
+                        column.append(cell)
+            types = pa.int64(), pa.int64(), pa.list_(pa.int64())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "prefix"])
 
     return run
 
 
-def _tokens_of(texts: DataFrame, nodes: DataFrame, width: int, percent: int, counts, bits: np.ndarray, bit_of: int) -> DataFrame:
-    """One row per node of `nodes` (doc, d1, repeated and others, all kept): prefix and tokens."""
-    lists = texts.mapInArrow(_token_lists(width, percent, counts, bits, bit_of),
-                             "doc_id long, d1 long, prefix array<long>, tokens array<long>")
-    found = nodes.withColumnRenamed("doc", "doc_id").join(lists, ["doc_id", "d1"])
-    found = stage_table(found, "tokens")
+def _whole_sets(width: int, chosen: np.ndarray, bits: np.ndarray, bit_of: int):
+    """doc_id, d1 and the whole set of nodes with the bit of their digest `bit_of` set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_blocks(batches):
+            batch = _only_nodes(batch, chosen)
+            out: list[list] = [[], [], []]
+            for tokens, doc in zip(shingle_sets(batch.column(1), width), batch.column(0).to_pylist()):
+                if len(tokens) == 0:
+                    continue
+                digests = _digests(tokens)
+                if has_bit(bits, np.array([digests[bit_of]]))[0]:
+                    for column, cell in zip(out, (doc, digests[0], tokens.view(np.int64))):
+                        column.append(cell)
+            types = pa.int64(), pa.int64(), pa.list_(pa.int64())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "tokens"])
+
+    return run
+
+
+def _of_nodes(lists: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
+    """The row of `lists` (doc_id, d1, a list) of each of `nodes` (doc, d1, repeated and others, all kept)."""
+    found = stage_table(nodes.withColumnRenamed("doc", "doc_id").join(lists, ["doc_id", "d1"]), label)
     once, often = found.filter("not repeated"), found.filter("repeated")
     return once.unionByName(often.dropDuplicates(["node"]))
 
 
+def _sets_of(texts: DataFrame, nodes: DataFrame, width: int, chosen: np.ndarray, bits: np.ndarray, bit_of: int) -> DataFrame:
+    lists = texts.mapInArrow(_whole_sets(width, chosen, bits, bit_of), "doc_id long, d1 long, tokens array<long>")
+    return _of_nodes(lists, nodes, "tokens")
+
+
 def _similar(a: Column, b: Column, percent: int) -> Column:
     common = F.size(F.array_intersect(a, b))
     return 100 * common >= percent * (F.size(a) + F.size(b) - common)
@@ -135,29 +178,37 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     and root, which tells components apart where doc_ids repeat (null without words)."""
     texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text",
                              F.coalesce(F.xxhash64("text"), F.lit(0)).alias("hash"))
+    texts = texts.withColumn("row_hash", F.xxhash64("doc_id", "hash"))
     summaries = stage_table(texts.mapInArrow(_summaries(width), _SETS), "shingle-sets")
     counts = _counters(summaries)
     rows = summaries.filter("counts is null").drop("counts")
     digest = ["n_shingles", "d1", "d2"]
     nodes = rows.filter("n_shingles > 0").groupBy(*digest, "doc_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.first("key").alias("key")).groupBy(*digest).agg(
-        F.min("doc_id").alias("doc"), F.min_by(F.col("rows") > 1, "doc_id").alias("repeated"), F.first("key").alias("key"))
+        F.count(F.lit(1)).alias("rows"), F.first("key").alias("key"), F.min("hash").alias("hash")).groupBy(*digest).agg(
+        F.min("doc_id").alias("doc"), F.min_by(F.col("rows") > 1, "doc_id").alias("repeated"), F.first("key").alias("key"),
+        F.min_by("hash", "doc_id").alias("hash"))
     nodes = stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = nodes.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("alike"))
     keys = keys.filter("alike > 1").drop("alike")
     bits = bit_table(keys.select("key"))
-    nodes = nodes.join(keys, "key", "left").withColumn("leader", F.coalesce("leader", "node")).drop("key")
+    chosen = bit_table(nodes.select(F.xxhash64("doc", "hash")))
+    nodes = nodes.join(keys, "key", "left").withColumn("leader", F.coalesce("leader", "node")).drop("key", "hash")
     nodes = stage_table(nodes, "nodes")
-    sets = _tokens_of(texts, nodes.select("node", "leader", "doc", "d1", "repeated", "n_shingles"), width, percent, counts, bits, 2)
-
-    wholes = sets.filter("tokens is not null").select("node", "leader", "tokens")
+    wholes = _sets_of(texts, nodes.select("node", "leader", "doc", "d1", "repeated"), width, chosen, bits, 2)
+    wholes = wholes.select("node", "leader", "tokens")
     lead = wholes.filter("node = leader").select("leader", F.col("tokens").alias("first"))
     stars = wholes.filter("node <> leader").join(lead, "leader").filter(_similar(F.col("tokens"), F.col("first"), percent))
     grouped = nodes.join(stars.select("node", F.col("leader").alias("grp")), "node", "left").select(
         "node", "n_shingles", F.coalesce("grp", "node").alias("grp"))
     grouped = stage_table(grouped, "groups")
 
-    roots = components(_links_between(texts, nodes, grouped, sets, width, percent))
+    seen = texts.mapInArrow(_prefix_tokens(width, percent, counts, chosen), "token long")
+    seen = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
+    shared = bit_table(stage_table(seen, "shared-tokens"))
+    lists = texts.mapInArrow(_prefix_lists(width, percent, counts, chosen, shared), "doc_id long, d1 long, prefix array<long>")
+    prefixes = _of_nodes(lists, nodes.select("node", "doc", "d1", "repeated"), "prefixes").select("node", "prefix")
+    pairs = stage_table(_candidate_groups(grouped, prefixes, percent), "group-pairs")
+    roots = components(_links_between(texts, nodes, grouped, wholes.select("node", "tokens"), pairs, width, percent, chosen))
     named = grouped.join(roots, grouped.grp == roots.node, "left").select(grouped.node, F.coalesce("root", "grp").alias("root"))
     named = named.join(nodes, "node").select("root", "doc", *digest)
     smallest = named.groupBy("root").agg(F.min("doc").alias("component_id"))
@@ -179,15 +230,15 @@ def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> Data
     return rows.join(first, ["d", "h"]).dropDuplicates(["d", "h"]).select("row.*")
 
 
-def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
-    """Edges (a, b) between groups that have similar members."""
-    pairs = stage_table(_candidate_groups(grouped, sets, percent), "group-pairs")
+def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, wholes: DataFrame, pairs: DataFrame, width: int,
+                   percent: int, chosen: np.ndarray) -> DataFrame:
+    """Edges (a, b) between groups that have similar members. `wholes` has the sets that are known already."""
     involved = pairs.select(F.explode(F.array("asks", "holds")).alias("grp")).distinct()
-    members = grouped.join(involved, "grp", "left_semi")
-    missing = members.join(sets.filter("tokens is null").select("node"), "node", "left_semi").select("node").join(nodes, "node")
-    missing = missing.select("node", "doc", "d1", "repeated")
-    more = _tokens_of(texts, missing, width, percent, None, bit_table(missing.select("d1")), 0).select("node", "tokens")
-    have = sets.filter("tokens is not null").select("node", "tokens").unionByName(more)
+    members = stage_table(grouped.join(involved, "grp", "left_semi"), "involved")
+    missing = members.join(wholes.select("node"), "node", "left_anti").select("node").join(nodes, "node")
+    missing = stage_table(missing.select("node", "doc", "d1", "repeated"), "missing")
+    more = _sets_of(texts, missing, width, chosen, bit_table(missing.select("d1")), 0).select("node", "tokens")
+    have = wholes.unionByName(more)
     chunks = grouped.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     members = members.join(chunks, "grp").join(have, "node").select(
         "grp", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), "node", "tokens")
@@ -204,12 +255,12 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, sets:
         F.col("asks").alias("a"), F.col("grp").alias("b")).distinct()
 
 
-def _candidate_groups(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _candidate_groups(grouped: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups that share an index token: asks (the one with fewer members) and holds. Tokens of a group of one
     are distinct already and are not shuffled to merge them. The index is written, so that joining it with itself
     shuffles it once."""
     members = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    prefixes = sets.select("node", "prefix").join(grouped, "node").join(members, "grp")
+    prefixes = prefixes.join(grouped, "node").join(members, "grp")
     tokens = prefixes.select("grp", "n", "n_shingles", F.explode("prefix").alias("token"))
     alone = tokens.filter("n = 1").select("token", "grp", F.col("n_shingles").alias("least"), F.col("n_shingles").alias("most"))
     union = tokens.filter("n > 1").groupBy("token", "grp").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))

@@ -33,6 +33,8 @@ def _powers(bits: int) -> np.ndarray:
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts' UTF-8 bytes end to end, and the places where each begins (one more at the end). Null is empty."""
+    if len(texts) == 0:
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     filled = texts.fill_null("").cast(pa.large_string())
     _, offsets, data = filled.buffers()
     at = np.frombuffer(offsets, np.int64)[filled.offset:filled.offset + len(filled) + 1]
