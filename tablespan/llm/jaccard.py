@@ -2,7 +2,8 @@
 
 1. Documents with the same shingle set are one node, whatever their number.
 2. Nodes are partitioned into groups of similar ones: nodes with the same min-hash whose similarity to the group's
-   smallest node is verified. A node that fails is a group of its own. Members of a group are linked through it.
+   head is verified. The head is the node whose tokens are the most common ones, so of many copies with changes of
+   their own the least changed. A node that fails is a group of its own. Members of a group are linked through it.
 3. The token-group matrix holds, for each group (in chunks of about CHUNK members), the union of its members' tokens.
    Its sparse index keeps the tokens of the members' prefixes: ordered from rare to common, two sets as similar as
    asked for share k of their first |X| - ceil(s |X|) + k tokens; k grows with the sets (`_spare`). Tokens are counted
@@ -137,21 +138,22 @@ def _prefix_lists(width: int, percent: int, counts: np.ndarray, chosen: np.ndarr
     return run
 
 
-def _whole_sets(width: int, chosen: np.ndarray, bits: np.ndarray, bit_of: int):
-    """doc_id, d1 and the whole set of nodes with the bit of their digest `bit_of` set."""
+def _whole_sets(width: int, counts: np.ndarray, chosen: np.ndarray, bits: np.ndarray, bit_of: int):
+    """doc_id, d1, the whole set of nodes with the bit of their digest `bit_of` set, and how common its tokens are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
             batch = _only_nodes(batch, chosen)
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             for tokens, doc in zip(shingle_sets(batch.column(1), width), batch.column(0).to_pylist()):
                 if len(tokens) == 0:
                     continue
                 digests = _digests(tokens)
                 if has_bit(bits, np.array([digests[bit_of]]))[0]:
-                    for column, cell in zip(out, (doc, digests[0], tokens.view(np.int64))):
+                    common = float(np.log1p(counts[tokens.astype(np.int64) & (COUNTERS - 1)]).mean())
+                    for column, cell in zip(out, (doc, digests[0], tokens.view(np.int64), common)):
                         column.append(cell)
-            types = pa.int64(), pa.int64(), pa.list_(pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "tokens"])
+            types = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64()
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "tokens", "common"])
 
     return run
 
@@ -163,8 +165,10 @@ def _of_nodes(lists: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
     return once.unionByName(often.dropDuplicates(["node"]))
 
 
-def _sets_of(texts: DataFrame, nodes: DataFrame, width: int, chosen: np.ndarray, bits: np.ndarray, bit_of: int) -> DataFrame:
-    lists = texts.mapInArrow(_whole_sets(width, chosen, bits, bit_of), "doc_id long, d1 long, tokens array<long>")
+def _sets_of(texts: DataFrame, nodes: DataFrame, width: int, counts: np.ndarray, chosen: np.ndarray, bits: np.ndarray,
+             bit_of: int) -> DataFrame:
+    lists = texts.mapInArrow(_whole_sets(width, counts, chosen, bits, bit_of),
+                             "doc_id long, d1 long, tokens array<long>, common double")
     return _of_nodes(lists, nodes, "tokens")
 
 
@@ -194,11 +198,12 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     chosen = bit_table(nodes.select(F.xxhash64("doc", "hash")))
     nodes = nodes.join(keys, "key", "left").withColumn("leader", F.coalesce("leader", "node")).drop("key", "hash")
     nodes = stage_table(nodes, "nodes")
-    wholes = _sets_of(texts, nodes.select("node", "leader", "doc", "d1", "repeated"), width, chosen, bits, 2)
-    wholes = wholes.select("node", "leader", "tokens")
-    lead = wholes.filter("node = leader").select("leader", F.col("tokens").alias("first"))
-    stars = wholes.filter("node <> leader").join(lead, "leader").filter(_similar(F.col("tokens"), F.col("first"), percent))
-    grouped = nodes.join(stars.select("node", F.col("leader").alias("grp")), "node", "left").select(
+    wholes = _sets_of(texts, nodes.select("node", "leader", "doc", "d1", "repeated"), width, counts, chosen, bits, 2)
+    heads = wholes.groupBy("leader").agg(F.max(F.struct("common", "node")).alias("best")).select(F.col("best.node").alias("node"))
+    lead = wholes.join(heads, "node").select("leader", F.col("node").alias("head"), F.col("tokens").alias("first"))
+    stars = wholes.select("node", "leader", "tokens").join(lead, "leader").filter("node <> head").filter(
+        _similar(F.col("tokens"), F.col("first"), percent))
+    grouped = nodes.join(stars.select("node", F.col("head").alias("grp")), "node", "left").select(
         "node", "n_shingles", F.coalesce("grp", "node").alias("grp"))
     grouped = stage_table(grouped, "groups")
 
@@ -208,7 +213,7 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     lists = texts.mapInArrow(_prefix_lists(width, percent, counts, chosen, shared), "doc_id long, d1 long, prefix array<long>")
     prefixes = _of_nodes(lists, nodes.select("node", "doc", "d1", "repeated"), "prefixes").select("node", "prefix")
     pairs = stage_table(_candidate_groups(grouped, prefixes, percent), "group-pairs")
-    roots = components(_links_between(texts, nodes, grouped, wholes.select("node", "tokens"), pairs, width, percent, chosen))
+    roots = components(_links_between(texts, nodes, grouped, wholes.select("node", "tokens"), pairs, width, percent, counts, chosen))
     named = grouped.join(roots, grouped.grp == roots.node, "left").select(grouped.node, F.coalesce("root", "grp").alias("root"))
     named = named.join(nodes, "node").select("root", "doc", *digest)
     smallest = named.groupBy("root").agg(F.min("doc").alias("component_id"))
@@ -231,13 +236,13 @@ def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> Data
 
 
 def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, wholes: DataFrame, pairs: DataFrame, width: int,
-                   percent: int, chosen: np.ndarray) -> DataFrame:
+                   percent: int, counts: np.ndarray, chosen: np.ndarray) -> DataFrame:
     """Edges (a, b) between groups that have similar members. `wholes` has the sets that are known already."""
     involved = pairs.select(F.explode(F.array("asks", "holds")).alias("grp")).distinct()
     members = stage_table(grouped.join(involved, "grp", "left_semi"), "involved")
     missing = members.join(wholes.select("node"), "node", "left_anti").select("node").join(nodes, "node")
     missing = stage_table(missing.select("node", "doc", "d1", "repeated"), "missing")
-    more = _sets_of(texts, missing, width, chosen, bit_table(missing.select("d1")), 0).select("node", "tokens")
+    more = _sets_of(texts, missing, width, counts, chosen, bit_table(missing.select("d1")), 0).select("node", "tokens")
     have = wholes.unionByName(more)
     chunks = grouped.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     members = members.join(chunks, "grp").join(have, "node").select(
