@@ -31,7 +31,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 
 MAX_LABELLED = 40_000      # expected number of labelled rows used for fitting
-MAX_RULES, MAX_TERMS = 8, 4
+MAX_TERMS = 4              # conditions of one rule
 MIN_COVER = 3              # labelled rows that a rule must reject, on the growing and on the pruning rows
 MIN_PRECISION = 0.95       # share of those that are labelled bad
 
@@ -156,13 +156,15 @@ def learn_rules(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX
     known = stage_table(known, "labels")
     if known.count() <= 2 * max_labelled:   # a doc_id with many labels could make more
         known = F.broadcast(known)
-    rows = text_stats(documents.select("doc_id", "text").join(known, "doc_id"), "doc_id", "bad").filter(~base_failed()).select(
+    # written first: else the filter on statistics moves below the join, to all documents
+    texts = stage_table(documents.select("doc_id", "text").join(known, "doc_id"), "labelled-texts")
+    rows = text_stats(texts, "doc_id", "bad").filter(~base_failed()).select(
         "row.bad", (F.pmod(F.xxhash64(F.lit(2), "row.doc_id"), F.lit(3)) < 2).alias("grow"),
         *[F.expr(e).alias(f) for f, e in FEATURES.items()])
     rows = stage_table(rows, "labelled")
     rules: list[Rule] = []
     left = F.lit(True)
-    while len(rules) < MAX_RULES:
+    while True:      # every rule takes MIN_COVER rows or more away
         growing, pruning = rows.filter(left & F.col("grow")), rows.filter(left & ~F.col("grow"))
         for first in _splits(growing):
             terms = _prune(pruning, _grow(growing, first))
