@@ -7,11 +7,13 @@ bad ones. The posteriors label documents for a linear scorer on hashed byte trig
 scores every document, also where all abstain.
 
 Vote patterns number at most 3 ^ len(LABELLERS), whatever the data; they alone come to the driver, and counts cover all
-documents. The scorer is fitted on at most about MAX_SAMPLE documents, chosen by a hash of doc_id, in rounds: every
-task improves the weights on its rows, and the tasks' weights are averaged. Weights are of fixed size.
+documents. Statistics are computed once, and written with the texts. The scorer is fitted on at most about MAX_SAMPLE
+documents, chosen by a hash of doc_id and text, in rounds: every task improves the weights on its rows, and the tasks'
+weights are averaged. Weights are of fixed size.
 
-Defined results: a null or empty text has the statistics of an empty text; repeated rows count each time; a null doc_id
-is a value like others; without documents there is nothing to fit and no row; columns besides doc_id and text are
+Defined results: a null or empty text has the statistics of an empty text; repeated rows count each time, but the scorer
+learns from one of them; rows of one doc_id with different texts are judged by their own texts; a null doc_id is a value
+like others; without documents there is nothing to fit and no row; columns besides doc_id and text are
 ignored. Ties at a score of 0.5 count as good.
 """
 
@@ -147,23 +149,20 @@ def _bins() -> Column:
 def classified(documents: DataFrame, max_sample: int = MAX_SAMPLE) -> DataFrame:
     """doc_id, votes, posterior (of "good", from the votes alone), score (of the linear scorer, 0 to 1) and kept."""
     stats = text_stats(documents, "doc_id", "text").select("row.*", "*", *[F.expr(e).alias(f) for f, e in FEATURES.items() if f != "n_words"])
-    rows = stats.select("doc_id", "text", votes(stats).alias("votes"), _bins().alias("bins"))
-    small = stage_table(rows.drop("text"), "votes")
-    counts = {r.votes: r.n for r in small.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = stage_table(stats.select("doc_id", "text", votes(stats).alias("votes"), _bins().alias("bins")), "votes")
+    counts = {r.votes: r.n for r in rows.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     good, _ = posteriors(counts, len(LABELLERS))
     posterior = F.lit(0.5)
     if good:
         table = F.create_map(*[F.lit(x) for pair in good.items() for x in pair])
         posterior = table[F.col("votes")]
     share = min(1.0, max_sample / max(1, sum(counts.values())))
-    sampled = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = small.filter(sampled).select("doc_id", "bins", posterior.alias("goal")).dropDuplicates(["doc_id"])
-    if 0 < sample.count() <= 2 * max_sample:
-        sample = F.broadcast(sample)
-    sample = stage_table(documents.select("doc_id", "text").join(sample, "doc_id").select("text", "bins", "goal"), "sample")
+    chosen = F.pmod(F.xxhash64(F.lit(3), "doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = rows.filter(chosen).select("doc_id", "text", "bins", posterior.alias("goal"), F.xxhash64("text").alias("hash"))
+    sample = stage_table(sample.dropDuplicates(["doc_id", "hash"]).select("text", "bins", "goal"), "sample")
     weights = np.zeros(WEIGHTS)
     for epoch in range(EPOCHS):
-        found = sample.mapInArrow(_improved(weights, epoch), "n long, weights binary").coalesce(1).mapInArrow(_averaged, "n long, weights binary").first()
+        found = sample.mapInArrow(_improved(weights, epoch), "n long, weights binary").repartition(1).mapInArrow(_averaged, "n long, weights binary").first()
         if found is not None:
             weights = np.frombuffer(bytes(found.weights))
     shared = documents.sparkSession.sparkContext.broadcast(weights)
