@@ -1,10 +1,9 @@
 """Prefix-target expansion of conversations into training examples.
 
-Every assistant turn becomes one example: all preceding turns are its context and only that reply is trainable.
-Contexts of one conversation are prefixes of each other, so copying them would cost the square of a conversation's
-length, and one conversation may hold a third of all rows. An example therefore names its context as a length: the
-first `context_chars` code points of the conversation's formatted turns. `with_context` writes the contexts out for
-a trainer that wants plain strings.
+Every assistant turn becomes one example: all preceding turns are its context, written out in front of it, and only that
+reply is trainable. Contexts of one conversation are prefixes of each other, so all examples together are as long as
+the square of a conversation. They are cut from the conversation's formatted turns one by one, in shares of about
+SHARE_CHARS code points that different tasks take: a task holds the turns and one example, however many there are.
 
 A formatted turn is  <|turn|>role<|text|>text<|end|>.  Control strings inside roles and texts are escaped by one more
 backslash after their first character, which `unescaped` takes away again, so any text comes back unchanged.
@@ -21,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
+#: Code points of examples that one task writes out of a conversation; longer ones have more shares.
+SHARE_CHARS = 1 << 28
 #: What marks turns here and in common chat templates, after a `<` or `[` and any number of backslashes.
 _CONTROL = r"(?=\||/?s>|/?INST\]|<SYS>>|</SYS>>)"
 
@@ -53,33 +54,41 @@ def formatted_turns(conversations: DataFrame) -> DataFrame:
 
 
 def expand_targets(turns: DataFrame) -> DataFrame:
-    """One row per assistant turn of `formatted_turns`: conv_id, pos, context_chars, reply (the formatted turn that
-    follows the context) and loss_start, loss_end: the trainable span of context and reply together."""
-    return turns.filter("is_reply").select(
-        "conv_id", "pos", F.col("start").alias("context_chars"), F.col("piece").alias("reply"),
-        F.col("text_start").alias("loss_start"), F.col("text_end").alias("loss_end"))
+    """One row per assistant turn of `formatted_turns`: conv_id, pos, context (all formatted turns before it), reply (its
+    own) and loss_start, loss_end: the trainable span of context and reply together."""
+    chars = F.col("start") + F.length("piece")
+    target = F.when(F.col("is_reply"), F.struct("pos", "start", chars.alias("upto"), "text_start", "text_end"))
+    whole = turns.groupBy("conv_id").agg(
+        _stream().alias("stream"), F.collect_list(target).alias("targets"), F.sum(F.when(F.col("is_reply"), chars)).alias("chars"))
+    shares = F.greatest(F.lit(1), F.least(F.ceil(F.col("chars") / SHARE_CHARS), F.size("targets").cast("long")))
+    whole = whole.filter("chars is not null").select("*", shares.alias("shares"))
+    dealt = whole.select("conv_id", "stream", "targets", "shares", F.explode(F.expr("sequence(0L, shares - 1)")).alias("share"))
+    own = F.filter("targets", lambda t, i: F.pmod(i, F.col("shares")) == F.col("share"))
+    dealt = dealt.select("conv_id", "share", "stream", own.alias("targets")).repartition("conv_id", "share")
+    cut = lambda a, b: F.substring("stream", (a + 1).cast("int"), (b - a).cast("int"))
+    t = F.col("target")
+    return dealt.select("conv_id", "stream", F.explode("targets").alias("target")).select(
+        "conv_id", t.pos.alias("pos"), cut(F.lit(0), t.start).alias("context"), cut(t.start, t.upto).alias("reply"),
+        t.text_start.alias("loss_start"), t.text_end.alias("loss_end"))
+
+
+def _stream() -> Column:
+    return F.array_join(F.array_sort(F.collect_list(F.struct("pos", "piece")))["piece"], "")
 
 
 def streams(turns: DataFrame) -> DataFrame:
     """conv_id and all formatted turns of the conversation in order as one string (at most Spark's 2 GB a value)."""
-    pieces = F.array_sort(F.collect_list(F.struct("pos", "piece")))
-    return turns.groupBy("conv_id").agg(pieces.alias("pieces")).select(
-        "conv_id", F.array_join(F.col("pieces.piece"), "").alias("stream"))
+    return turns.groupBy("conv_id").agg(_stream().alias("stream"))
 
 
 def with_context(turns: DataFrame) -> DataFrame:
-    """Examples with their contexts written out: conv_id, pos, context, reply, loss_start, loss_end. The output is as
-    large as all contexts together."""
-    examples, whole = expand_targets(turns), streams(turns)
-    same = examples.conv_id.eqNullSafe(whole.conv_id)
-    return examples.join(whole, same).select(
-        examples.conv_id, "pos", F.substring("stream", F.lit(1), F.col("context_chars").cast("int")).alias("context"),
-        "reply", "loss_start", "loss_end")
+    """The examples of `expand_targets`."""
+    return expand_targets(turns)
 
 
 def digests(turns: DataFrame) -> DataFrame:
     """Per conversation, read back from the formatted output: conv_id, n_turns, turns_sha256, n_examples, loss_chars,
-    loss_sha256, formatted_chars (the stored string) and expanded_chars (all examples with contexts written out)."""
+    loss_sha256, formatted_chars (the turns as one string) and expanded_chars (all examples, contexts included)."""
     read = F.transform(
         F.filter(F.split("stream", r"<\|end\|>"), lambda p: p != ""),
         lambda p: F.concat(
@@ -89,11 +98,10 @@ def digests(turns: DataFrame) -> DataFrame:
         "conv_id", F.length("stream").cast("long").alias("formatted_chars"), read.alias("read"))
     whole = whole.select("conv_id", "formatted_chars", F.size("read").cast("long").alias("n_turns"),
                          F.sha2(F.array_join("read", ""), 256).alias("turns_sha256"))
-    trained = unescaped(F.substring("reply", (F.col("loss_start") - F.col("context_chars") + 1).cast("int"),
-                                    (F.col("loss_end") - F.col("loss_start")).cast("int")))
+    text = F.concat("context", "reply")
+    trained = unescaped(F.substring(text, (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int")))
     examples = expand_targets(turns).select(
-        F.col("conv_id").alias("of"), "pos", trained.alias("trained"),
-        (F.col("context_chars") + F.length("reply")).alias("chars"))
+        F.col("conv_id").alias("of"), "pos", trained.alias("trained"), F.length(text).cast("long").alias("chars"))
     replies = examples.groupBy("of").agg(
         F.array_join(F.array_sort(F.collect_list(F.struct("pos", "trained")))["trained"], "").alias("trained"),
         F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))

@@ -33,6 +33,20 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.formatted_turns(table.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("share_chars", [1 << 28, 300])
+def test_chat_examples_hold_their_contexts(spark, monkeypatch, share_chars):
+    monkeypatch.setattr(chat, "SHARE_CHARS", share_chars)
+    turns = [(c, k, "assistant" if k % 2 else "user", f"é{c}.{k} </s>") for c in (1, None) for k in range(12)] + [(2, 0, "user", "a")]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    formatted = chat.formatted_turns(table)
+    piece = lambda t: f"<|turn|>{t[2]}<|text|>{t[3].replace('</s>', '<' + chr(92) + '/s>')}<|end|>"
+    found = {(r.conv_id, r.pos): (r.context, r.reply) for r in chat.expand_targets(formatted).collect()}
+    assert found == {(c, k): ("".join(piece(t) for t in turns if t[0] == c and t[1] < k), piece(next(t for t in turns if t[:2] == (c, k))))
+                     for c in (1, None) for k in range(1, 12, 2)}
+    chars = {r.conv_id: (r.n_examples, r.expanded_chars) for r in chat.digests(formatted).collect()}
+    assert chars == {2: (0, 0), **{c: (6, sum(len(x + y) for (d, _), (x, y) in found.items() if d == c)) for c in (1, None)}}
+
+
 def test_mixing_meets_targets(spark):
     targets = mixing.Targets(source={"src0": 0.2, "gone": 0.3}, lang={"en": 0.5}, topic={})
     cells = {(s, x, mixing.OTHER): n for s, x, n in (("src0", "en", 500), ("src0", mixing.OTHER, 100), (mixing.OTHER, "en", 200),
