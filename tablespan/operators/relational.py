@@ -59,20 +59,71 @@ def child_counts(parents: DataFrame, parent_key: str, children: DataFrame, child
             .select(*parents.columns, F.coalesce("_n", F.lit(0)).alias(name)))
 
 
+#: Rows, of both sides, that one task of a large join sorts.
+TASK_ROWS = 1 << 20
+KEY_SLOTS = 1 << 16
+
+
 def keep_empty_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
-                    right_keys: DataFrame | None = None) -> DataFrame:
+                    right_keys: DataFrame | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
     """Left outer join for a right side that may repeat one key very often.
 
     Spark splits a skewed partition only on the preserved side of an outer join, but on both sides
     of an inner one. So: the inner join, plus the left rows without partner padded with NULLs; the
     second part needs only the distinct right keys, which are reduced before their shuffle. They can
-    be given as `right_keys` where they are cheaper to get than from `right`."""
-    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    be given as `right_keys` where they are cheaper to get than from `right`.
+
+    That leaves the rows of a task to the session's number of partitions. From four times `task_rows`
+    rows on, both sides are counted and dealt by key into as many tasks as keep each near `task_rows`."""
     source = right if right_keys is None else right_keys
+    n = left.count() + source.count()
+    if n > 4 * task_rows:
+        return _large_keep_empty_join(left, left_key, right, right_key, source, -(-n // task_rows), task_rows)
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
     keys = source.select(F.col(right_key).alias("_key")).distinct()
     alone = left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
-    padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
-    return matched.unionByName(alone.select(*left.columns, *padding))
+    return matched.unionByName(_padded(alone, left, right))
+
+
+def _padded(rows: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    return rows.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema])
+
+
+def _large_keep_empty_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str, source: DataFrame,
+                           tasks: int, task_rows: int) -> DataFrame:
+    """Keys with more than `task_rows` rows on one side are frequent; their rows there stay where they are and meet a copy
+    of the other side's, each row of which stands for more than `task_rows` rows of the result. All other rows are dealt
+    by key. NULL keys have no partner and are not shuffled."""
+    spark = left.sparkSession
+    tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    right_hot = _frequent(source, right_key, task_rows)
+    left_hot = written_table(_frequent(left, left_key, task_rows).join(right_hot, "_key", "left_anti"), "frequent-keys")
+    those = lambda rows, key, keys, how: rows.join(F.broadcast(keys), rows[key] == keys["_key"], how)
+    parts = [_padded(left.where(F.col(left_key).isNull()), left, right)]
+    rows, others = left.where(F.col(left_key).isNotNull()), right.where(F.col(right_key).isNotNull())
+    for hot, copied in ((right_hot, "left"), (left_hot, "right")):
+        if not hot.isEmpty():
+            a, b = those(rows, left_key, hot, "left_semi"), those(others, right_key, hot, "left_semi")
+            on = a[left_key] == b[right_key]
+            parts.append(F.broadcast(a).join(b, on, "inner") if copied == "left" else a.join(F.broadcast(b), on, "left"))
+            rows, others = those(rows, left_key, hot, "left_anti"), those(others, right_key, hot, "left_anti")
+    rows, others = rows.repartition(tasks, left_key), others.repartition(tasks, right_key)
+    joined = rows.join(others.hint("merge"), rows[left_key] == others[right_key], "left")
+    for part in parts:
+        joined = joined.unionByName(part)
+    return joined
+
+
+def _frequent(rows: DataFrame, key: str, more_than: int) -> DataFrame:
+    """`_key`: the keys of more than so many rows. Slots of hashed keys are counted first, which needs little memory where
+    most keys are different; exact counts are made in full slots only."""
+    keys = rows.select(F.col(key).alias("_key")).where("_key is not null").withColumn("_slot", F.pmod(F.xxhash64("_key"), F.lit(KEY_SLOTS)))
+    count = F.count(F.lit(1)).alias("_n")
+    full = written_table(keys.groupBy("_slot").agg(count).where(F.col("_n") > more_than).select("_slot"), "full-slots")
+    if full.isEmpty():
+        return full.select(F.lit(None).cast(rows.schema[key].dataType).alias("_key"))
+    found = keys.join(F.broadcast(full), "_slot", "left_semi").groupBy("_key").agg(count)
+    return written_table(found.where(F.col("_n") > more_than).select("_key"), "frequent-keys")
 
 
 class Level(NamedTuple):
