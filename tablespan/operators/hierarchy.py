@@ -116,25 +116,81 @@ def levels(nodes: DataFrame, node: str, parent: str, roots: Column | None = None
     return nodes.join(found, F.col(node) == F.col("_id")).drop("_id"), cyclic.select(F.col("id").alias(node))
 
 
-def depth_first(tree: DataFrame, node: str, parent: str, order: list[str], name: str = "listed_as") -> DataFrame:
+def depth_first(tree: DataFrame, node: str, parent: str, order: list[str], name: str = "listed_as", levelled: bool = False) -> DataFrame:
     """Add each node's number, from 1, in a depth-first listing whose siblings, and roots, come in `order`. A node whose parent
-    is not in the table is a root. The listing is an Euler tour: a node is entered, its children follow, it is left; each
-    step knows the next one, and counting the entries from a step to the end is one chain of pointers."""
+    is not in the table is a root. Say `levelled` where `tree` is what `levels` returned, with its `level` and `root`: they
+    need not be found again then.
+
+    Nodes that are the only children of theirs follow them in any order, so paths of them are listed as one: each node has
+    its place below the head of its path, and heads have as many rows as their paths are long. The listing of the heads is
+    an Euler tour: a head is entered, its children follow, it is left; each step knows the next one, and adding up the
+    entries from a step to the end is one chain of pointers."""
     rows = written_table(tree, "tour")
-    known = rows.select(F.col(node).alias("_known"))
-    up = rows.join(known, F.col(parent) == F.col("_known"), "left").select(
-        F.col(node).alias("_node"), F.col("_known").alias("_up"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
-    placed = written_table(running_total(up, ["_up"], [f"_o{i}" for i in range(len(order))], "_k").select("_node", "_up", "_k"), "siblings")
-    first = placed.where("_k = 1 and _up is not null").select(F.col("_up").alias("_of"), F.col("_node").alias("_child"))
-    later = placed.select(F.col("_up").alias("_of"), (F.col("_k") - 1).alias("_after"), F.col("_node").alias("_sibling"))
+    one_each = rows.groupBy(node).agg(F.count(F.lit(1)).alias("_n")).where(F.col(node).isNull() | (F.col("_n") > 1)).isEmpty()
+    ordered = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    if levelled and one_each:
+        up = rows.select(F.col(node).alias("_node"), F.when(F.col("level") > 1, F.col(parent)).alias("_up"), *ordered,
+                         F.col("level").alias("_level"), F.col("root").alias("_root"))
+    else:
+        known = rows.select(F.col(node).alias("_known"))
+        up = rows.join(known, F.col(parent) == F.col("_known"), "left").select(
+            F.col(node).alias("_node"), F.col("_known").alias("_up"), *ordered)
+    n = rows.count()
+    listed = lambda heads: _listed_heads(heads, [f"_o{i}" for i in range(len(order))]).select(F.col("_node").alias("_at"), "_left")
+    if one_each:
+        heads, places = _paths(up, levelled)
+        found = places.join(listed(heads), F.col("_of") == F.col("_at")).select(
+            F.col("_node").alias("_at"), (F.col("_left") - F.col("_place") + 1).alias("_left"))
+    else:  # every node is the head of its path
+        found = listed(up.select("*", F.col("_up").alias("_above"), F.lit(1).cast("long").alias("_n")))
+    return rows.join(found, F.col(node) == F.col("_at")).withColumn(name, F.lit(n) + 1 - F.col("_left")).drop("_at", "_left")
+
+
+def _paths(up: DataFrame, levelled: bool) -> tuple[DataFrame, DataFrame]:
+    """From (_node, _up, order columns, and _level and _root if `levelled`): the heads of paths of only children (the same
+    columns, _up replaced by the head of its path as `_above`, and `_n`, the length of their path); and for each node its
+    head (_of) and its `_place`, 1 for the head."""
+    counted = F.count(F.lit(1)).alias("_n")
+    up = up if levelled else written_table(up, "parents")
+    forks = written_table(up.where("_up is not null").groupBy(F.col("_up").alias("_fork")).agg(counted).where("_n > 1").select("_fork"), "forks")
+    split = up.join(forks, F.col("_up") == F.col("_fork"), "left")
+    split = split.withColumn("_head", F.col("_up").isNull() | F.col("_fork").isNotNull()).drop("_fork")
+    links = lambda some: some.select(F.col("_node").alias("id"), F.when(~F.col("_head"), F.col("_up")).alias("next"), F.lit(1).cast("long").alias("amount"))
+    as_places = lambda found: found.select(F.col("id").alias("_node"), F.col("end").alias("_of"), F.col("total").alias("_place"))
+    if levelled:
+        # a tree without forks is one path, whose places are its levels
+        split = written_table(split, "paths")
+        forked = split.where("_head and _up is not null").select(F.col("_root").alias("_forked")).distinct()
+        forked = written_table(forked, "forked")
+        bent = split.join(forked, F.col("_root") == F.col("_forked"), "left_semi")
+        places = split.join(forked, F.col("_root") == F.col("_forked"), "left_anti").select(
+            "_node", F.col("_root").alias("_of"), F.col("_level").alias("_place"))
+        if not forked.isEmpty():
+            places = places.unionByName(as_places(chained(links(bent))[0]))
+    else:
+        split = written_table(split, "paths")
+        places = as_places(chained(links(split))[0])
+    places = written_table(places, "places")
+    lengths = places.groupBy(F.col("_of").alias("_long")).agg(counted)
+    above = places.select(F.col("_node").alias("_bottom"), F.col("_of").alias("_above"))
+    heads = split.where("_head").join(lengths, F.col("_node") == F.col("_long"))
+    top, lower = heads.where("_up is null"), heads.where("_up is not null")
+    heads = top.withColumn("_above", F.col("_up")).unionByName(lower.join(above, F.col("_up") == F.col("_bottom")).drop("_bottom"))
+    return heads, places
+
+
+def _listed_heads(heads: DataFrame, order: list[str]) -> DataFrame:
+    """(_node, _left): the rows listed from each head to the end of the listing, its own path included."""
+    placed = written_table(running_total(heads.select("_node", "_above", "_n", *order), ["_above"], order, "_k").select(
+        "_node", "_above", "_n", "_k"), "siblings")
+    first = placed.where("_k = 1 and _above is not null").select(F.col("_above").alias("_of"), F.col("_node").alias("_child"))
+    later = placed.select(F.col("_above").alias("_of"), (F.col("_k") - 1).alias("_after"), F.col("_node").alias("_sibling"))
     step = lambda at, entered: F.struct(F.col(at).alias("node"), F.lit(entered).alias("entered"))
     enter = placed.join(first, F.col("_node") == F.col("_of"), "left").select(
         step("_node", True).alias("id"), F.when(F.col("_child").isNull(), step("_node", False)).otherwise(step("_child", True)).alias("next"),
-        F.lit(1).cast("long").alias("amount"))
-    leave = placed.join(later, F.col("_up").eqNullSafe(F.col("_of")) & (F.col("_k") == F.col("_after")), "left").select(
+        F.col("_n").alias("amount"))
+    leave = placed.join(later, F.col("_above").eqNullSafe(F.col("_of")) & (F.col("_k") == F.col("_after")), "left").select(
         step("_node", False).alias("id"), F.when(F.col("_sibling").isNotNull(), step("_sibling", True))
-        .when(F.col("_up").isNotNull(), step("_up", False)).alias("next"), F.lit(0).cast("long").alias("amount"))
+        .when(F.col("_above").isNotNull(), step("_above", False)).alias("next"), F.lit(0).cast("long").alias("amount"))
     found, _ = chained(enter.unionByName(leave))
-    entered = found.where("id.entered").select(F.col("id.node").alias("_node"), F.col("total").alias("_left"))
-    n = rows.count()
-    return rows.join(entered, F.col(node) == F.col("_node")).withColumn(name, F.lit(n) + 1 - F.col("_left")).drop("_node", "_left")
+    return found.where("id.entered").select(F.col("id.node").alias("_node"), F.col("total").alias("_left"))

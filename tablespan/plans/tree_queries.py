@@ -63,4 +63,4 @@ def _(t: Tables):
     before = F.lag("event_id").over(Window.partitionBy("user_id").orderBy("event_id"))
     threads = written_table(t.events.select("event_id", before.alias("answers")), "threads")
     found, _ = levels(threads, "event_id", "answers")
-    return depth_first(found, "event_id", "answers", ["event_id"]).select("event_id", "level", "root", "listed_as")
+    return depth_first(found, "event_id", "answers", ["event_id"], levelled=True).select("event_id", "level", "root", "listed_as")

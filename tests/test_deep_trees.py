@@ -69,3 +69,23 @@ def test_cycles_and_lost_parents(spark):
 def test_empty(spark):
     found, cyclic = hierarchy.levels(spark.createDataFrame([], SCHEMA), "id", "up")
     assert found.count() == 0 and cyclic.count() == 0 and hierarchy.depth_first(found, "id", "up", ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["wide", "chain", "random", "forest", "comb"])
+def test_listing_of_levelled_trees(spark, kind):
+    rows = tree(kind)
+    found, _ = hierarchy.levels(spark.createDataFrame(rows, SCHEMA), "id", "up")
+    listed = hierarchy.depth_first(found, "id", "up", ["id"], levelled=True)
+    assert {r.id: (r.level, r.root, r.listed_as) for r in listed.collect()} == plain(rows)
+
+
+@pytest.mark.parametrize("levelled", [True, False])
+def test_the_tour_has_heads_of_paths_only(spark, monkeypatch, levelled):
+    """Twenty threads of thirty, one of them with a fork: the tour's length goes by threads, not by their rows."""
+    rows = [(100 * t + k, 100 * t + k - 1 if k else None) for t in range(20) for k in range(30)] + [(5000, 310), (5001, 5000)]
+    found, _ = hierarchy.levels(spark.createDataFrame(rows, SCHEMA), "id", "up")
+    sizes, whole = [], hierarchy.chained
+    monkeypatch.setattr(hierarchy, "chained", lambda links: (sizes.append(links.count()), whole(links))[1])
+    listed = hierarchy.depth_first(found, "id", "up", ["id"], levelled=levelled)
+    assert {r.id: (r.level, r.root, r.listed_as) for r in listed.collect()} == plain(rows)
+    assert sizes == [32 if levelled else len(rows), 2 * 22]
