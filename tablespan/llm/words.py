@@ -11,6 +11,7 @@ import re
 import sys
 from array import array
 from functools import cache
+from itertools import chain, filterfalse
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -20,7 +21,7 @@ from tokenizers import Tokenizer
 _PLAIN = re.compile("[\t\n\r -~¡-¬®-įĲ-ňŊ-ž]*")
 _LETTER = "a-zªµºß-öø-ž"
 _NUMBER = "0-9²³¹¼-¾"
-_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^ \t\n\r{_LETTER}{_NUMBER}]+")
+_WORD = re.compile(f"[{_LETTER}]+|[{_NUMBER}]|'(?:s|t|re|ve|m|ll|d)|[^ \t\n\r{_LETTER}{_NUMBER}]+")
 _SPECIAL = "<|"
 
 #: Words remembered by one worker process, in each of two generations.
@@ -45,22 +46,22 @@ class WordTokenizer:
     def encoded(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as unsigned little-endian 32-bit numbers, without special tokens."""
         split = [_WORD.findall(t.lower()) if _PLAIN.fullmatch(t) and _SPECIAL not in t else None for t in texts]
-        self._learn(set().union(*(s for s in split if s is not None)))
+        if len(self.known) > KEPT_WORDS:
+            self.known, self.older = {}, self.known
+        met = self.known.__contains__
+        self._learn(set(chain.from_iterable(filterfalse(met, s) for s in split if s is not None)))
         ids = self.known.__getitem__
         return [_bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if s is None else b"".join(map(ids, s))
                 for t, s in zip(texts, split)]
 
     def _learn(self, words: set[str]) -> None:
-        """Makes `words` known. Words not seen for a while are forgotten."""
-        if len(self.known) > KEPT_WORDS:
-            self.known, self.older = {}, self.known
-        new = words.difference(self.known)
-        old = new.intersection(self.older)
+        """Makes `words`, which are not, known. Words not seen for a while are forgotten."""
+        old = words.intersection(self.older)
         self.known.update((w, self.older[w]) for w in old)
-        new = list(new.difference(old))
+        new = list(words.difference(old))
         for at in range(0, len(new), 512):
             some = new[at:at + 512]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
             raw, begin = ids.tobytes(), 0
             for word, end in zip(some, ends.tolist()):

@@ -266,3 +266,12 @@ def test_posteriors_find_accurate_labellers():
     weak_labels.classified, lambda d: langid.predict(d, langid.fit(d), ["doc_id"])])
 def test_empty_tables(spark, operator):
     assert operator(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_known_words_are_not_gathered_again(monkeypatch):
+    tokenizer, met = words.WordTokenizer(VOCABULARY), []
+    learn = tokenizer._learn
+    monkeypatch.setattr(tokenizer, "_learn", lambda new: (met.append(set(new)), learn(new)))
+    first = tokenizer.encoded(["one two", "two don't"])
+    assert tokenizer.encoded(["two don't three", "one two"])[1] == first[0]
+    assert met == [{"one", "two", "don", "'t"}, {"three"}]
