@@ -11,9 +11,10 @@ import re
 import sys
 from array import array
 from functools import cache
-from itertools import chain, filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Fixed values of the vocabulary's definition: characters whose handling is the same in every regular-expression engine,
@@ -21,8 +22,11 @@ from tokenizers import Tokenizer
 _PLAIN = re.compile("[\t\n\r -~¡-¬®-įĲ-ňŊ-ž]*")
 _LETTER = "a-zªµºß-öø-ž"
 _NUMBER = "0-9²³¹¼-¾"
-_WORD = re.compile(f"[{_LETTER}]+|[{_NUMBER}]|'(?:s|t|re|ve|m|ll|d)|[^ \t\n\r{_LETTER}{_NUMBER}]+")
+# What stands alone between white space and runs of letters.
+_APART = f"[{_NUMBER}]|'(?:s|t|re|ve|m|ll|d)|[^ \t\n\r{_LETTER}{_NUMBER}]+"
 _SPECIAL = "<|"
+# The vocabulary writes a byte beyond ASCII as the character of that number, but for these, which would not be seen.
+_SYMBOLS = {byte: 162 + byte for byte in range(127, 161)} | {173: 323}
 
 #: Words remembered by one worker process, in each of two generations.
 KEPT_WORDS = 200_000
@@ -37,36 +41,47 @@ def word_tokenizer(file: str) -> WordTokenizer:
 class WordTokenizer:
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)    # a word's last id, and no other, ends it
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as unsigned little-endian 32-bit numbers, without special tokens."""
-        split = [_WORD.findall(t.lower()) if _PLAIN.fullmatch(t) and _SPECIAL not in t else None for t in texts]
+        plain = [_PLAIN.fullmatch(t) is not None and _SPECIAL not in t for t in texts]
+        split = _split([t if p else "" for t, p in zip(texts, plain)])
+        found = split.flatten().dictionary_encode()
         if len(self.known) > KEPT_WORDS:
-            self.known, self.older = {}, self.known
-        met = self.known.__contains__
-        self._learn(set(chain.from_iterable(filterfalse(met, s) for s in split if s is not None)))
-        ids = self.known.__getitem__
-        return [_bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if s is None else b"".join(map(ids, s))
-                for t, s in zip(texts, split)]
+            self.known, self.older = {"": b""}, self.known
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, words))
+        new = [k for k, i in enumerate(ids) if i is None]
+        self._learn({words[k] for k in new})
+        for k in new:
+            ids[k] = self.known[words[k]]
+        # the ids of all words in order, from those of the distinct ones
+        size, index = np.array(list(map(len, ids)), np.int64) // 4, found.indices.to_numpy()
+        begin, n = (np.cumsum(size) - size)[index], size[index]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        raw = np.frombuffer(b"".join(ids), "<u4")[np.repeat(begin - upto[:-1], n) + np.arange(upto[-1])].tobytes()
+        at = (4 * upto[split.offsets.to_numpy()]).tolist()
+        return [raw[a:b] if p else _bytes(self.tokenizer.encode(t, add_special_tokens=False).ids)
+                for t, p, a, b in zip(texts, plain, at, at[1:])]
 
     def _learn(self, words: set[str]) -> None:
-        """Makes `words`, which are not, known. Words not seen for a while are forgotten."""
-        old = words.intersection(self.older)
-        self.known.update((w, self.older[w]) for w in old)
-        new = list(words.difference(old))
-        for at in range(0, len(new), 512):
-            some = new[at:at + 512]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
-            raw, begin = ids.tobytes(), 0
-            for word, end in zip(some, ends.tolist()):
-                self.known[word] = raw[begin:end]
-                begin = end
+        """Makes `words`, which are not, known. Words not seen for a while are forgotten. The vocabulary's model merges a
+        word alone: it is lower-cased and split off already."""
+        for word in words:
+            ids = self.older.get(word)
+            if ids is None:
+                symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_SYMBOLS)
+                ids = _bytes([token.id for token in self.model.tokenize(symbols)])
+            self.known[word] = ids
+
+
+def _split(texts: list[str]) -> pa.ListArray:
+    """The lower-cased words of each text, with empty ones where white space is at an end."""
+    apart = pc.replace_substring_regex(pc.utf8_lower(pa.array(texts, pa.string())), _APART, r" \0 ")
+    return pc.ascii_split_whitespace(apart)
 
 
 def _bytes(ids: list[int]) -> bytes:

@@ -275,3 +275,12 @@ def test_known_words_are_not_gathered_again(monkeypatch):
     first = tokenizer.encoded(["one two", "two don't"])
     assert tokenizer.encoded(["two don't three", "one two"])[1] == first[0]
     assert met == [{"one", "two", "don", "'t"}, {"three"}]
+
+
+def test_words_are_learned_by_the_model_alone():
+    every = [chr(c) for c in range(0x100, 0x17F) if words._PLAIN.fullmatch(chr(c))] + [chr(c) for c in range(0x20, 0x100)]
+    texts = [" ".join(f"a{c}b {c}{c} {c}" for c in every if words._PLAIN.fullmatch(c)), "naïve déjà-vu ÀÉÎ½x²", "the theses' 's", "l" * 3000]
+    tokenizer = words.WordTokenizer(VOCABULARY)
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    tokenizer.tokenizer = None                      # with its normaliser and its splitting
+    assert tokenizer.encoded(texts) == want
