@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -246,12 +247,14 @@ def _united(begin: np.ndarray, end: np.ndarray, n: int) -> tuple[list[int], list
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, spans, text), cut. The text is in the row if that has one, so that it travels once."""
     for batch in text_blocks(batches):
         out: list[list] = [[], [], [], [], []]
-        spans = batch.column(2)
+        row, spans = batch.column(0), batch.column(1)
+        texts = batch.column(2) if batch.num_columns > 2 else pc.struct_field(row, "text")
         begins, ends = (x.to_numpy() for x in spans.flatten().flatten())
         upto = np.cumsum(spans.value_lengths().fill_null(0).to_numpy())
-        for text, a, b in zip(batch.column(1).fill_null("").to_pylist(), [0, *upto[:-1].tolist()], upto.tolist()):
+        for text, a, b in zip(texts.fill_null("").to_pylist(), [0, *upto[:-1].tolist()], upto.tolist()):
             raw = text.encode()
             starts, stops = _united(begins[a:b], ends[a:b], len(raw)) if b > a else ([], [])
             kept = b"".join(raw[x:y] for x, y in zip([0, *stops], [*starts, len(raw)]))
@@ -259,7 +262,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for column, cell in zip(out, cells):
                 column.append(cell)
         types = pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()
-        yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(out, types))],
+        yield pa.record_batch([row, *(pa.array(c, t) for c, t in zip(out, types))],
                               names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
 
@@ -309,12 +312,15 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
     covered = stage_table(covered.unionByName(copied), "covered")
 
     touched = may_be_in(bit_table(covered.select(F.xxhash64("doc"))), F.xxhash64("doc"), spark)
-    rows = rows.select("row", "text", "doc", "digest")
+    has_text = "text" in rows.select("row.*").columns
+    tied = rows.filter(touched).select("row", "doc", "digest", *[] if has_text else ["text"])
+    tied = tied.join(covered, ["doc", "digest"], "left").select("row", "spans", *[] if has_text else ["text"])
     kind = rows.schema["row"].dataType.simpleString()
-    out = f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
-    tied = rows.filter(touched).join(covered, ["doc", "digest"], "left").select("row", "text", "spans")
-    free = rows.filter(~touched).select("row", "text", F.lit(None).cast(tied.schema["spans"].dataType).alias("spans"))
-    return tied.mapInArrow(_cut, out).unionByName(free.mapInArrow(_cut, out))
+    cut = tied.mapInArrow(_cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+    text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    return cut.unionByName(rows.filter(~touched).select(
+        "row", F.octet_length(text).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+        F.sha2(text.cast("binary"), 256).alias("kept_sha256"), text.alias("text")))
 
 
 def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:

@@ -284,3 +284,27 @@ def test_words_are_learned_by_the_model_alone():
     want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.tokenizer.encode_batch(texts, add_special_tokens=False)]
     tokenizer.tokenizer = None                      # with its normaliser and its splitting
     assert tokenizer.encoded(texts) == want
+
+
+
+def test_a_document_with_nothing_to_lose_is_not_cut(spark, monkeypatch):
+    """Most documents share no bytes; they stay as they are without a trip through Python."""
+    cut, batches = repeats._cut, spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for batch in rows:
+            batches.add(batch.num_rows)
+            yield from cut(iter([batch]))
+
+    monkeypatch.setattr(repeats, "_cut", counted)
+    passage = "a passage that two documents have, longer than the window of fifty bytes"
+    data = [(i, None if i == 5 else f"{i * 7919:07d}é " * (i % 9)) for i in range(40)] + [(50, "x" + passage), (51, "y" + passage)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = repeats.without_repeats(docs, ["doc_id", "text"])
+    rows = {r.row.doc_id: r for r in found.collect()}
+    assert rows[51].text == "y" and rows[51].row.text == "y" + passage and rows[5].text == "" and rows[5].n_bytes == 0
+    for i, t in data[:-1]:
+        raw = (t or "").encode()
+        assert (rows[i].n_bytes, rows[i].n_removed, rows[i].n_spans, rows[i].text) == (len(raw), 0, 0, t or "")
+        assert rows[i].kept_sha256 == hashlib.sha256(raw).hexdigest()
+    assert batches.value < 10
