@@ -5,8 +5,8 @@ list ordered by value, cut into segments of equal quantised value. For a query a
 contribution any posting in it can make, so lists are read from their high or low end by the query's sign. Segments of
 all dimensions are processed by descending impact. What is left of a dimension bounds the contribution of every vector
 not met there yet, so accumulators give an upper bound for every vector. The k best so far, scored exactly, give a lower
-bound for the k-th score. Processing stops only when few vectors can still reach it (or nothing is left); those are
-scored exactly. Ties at the bound count as able to reach it, so no member is lost.
+bound for the k-th score. Processing stops when so few vectors can still reach it that scoring them exactly costs less
+than going on, or at the last of ROUNDS; all that still can are scored exactly. Ties at the bound count as able to reach it, so no member is lost.
 
 Queries meet shards in blocks of about QUERIES, so that a task holds one shard and one block whatever the sizes of both
 tables; a third step ranks the best of all shards per query.
@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 SHARD, QUERIES = 8192, 512
 LEVELS = 16                # quantised impacts per sign of a dimension
-FEW = 64                   # vectors that may be left to score exactly when processing stops
-ROUNDS = (0.7, 0.85, 1.0)
+FEW = 64                   # vectors that may be left to score exactly when processing stops, or
+SHARE = 4                  # one in so many of the shard
+ROUNDS = (0.6, 0.75, 0.9)  # shares of the segments after which it is seen who is left
 
 
 def integer_vectors(rows: DataFrame, vector: str = "embedding", scale: int = 1024) -> DataFrame:
@@ -75,7 +76,7 @@ class ImpactIndex:
             scores = self.vectors[first] @ query
             lower = scores.min() if len(first) == k else -np.inf
             members = np.flatnonzero(able & (bound >= lower))
-            if len(members) <= max(FEW, k):
+            if len(members) <= max(FEW, k, len(self.ids) // SHARE):
                 break
         exact = self.vectors[members] @ query
         best = np.lexsort((self.ids[members], -exact))[:k]

@@ -126,3 +126,18 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 200), (7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {found[i] for i in range(41)} == {0} and {found[i] for i in range(100, 140)} == {100} and found[201] == 200
+
+
+def test_top_k_meets_few_postings(monkeypatch):
+    """Most vectors are ruled out by three in five segments; those left are cheaper to score than to meet."""
+    rng = np.random.default_rng(6)
+    vectors, met = np.floor(1024 * rng.normal(0, 0.125, (3000, 64))).astype(np.int64), []
+    index, whole = impacts.ImpactIndex(np.arange(3000), vectors), impacts.ImpactIndex._accumulated
+    monkeypatch.setattr(impacts.ImpactIndex, "_accumulated", lambda self, segments, *rest: (
+        met.append((self.end[segments] - self.begin[segments]).sum()), whole(self, segments, *rest))[1])
+    for own in range(0, 3000, 300):
+        score = vectors @ vectors[own]
+        want = [i for i in np.lexsort((np.arange(3000), -score)) if i != own][:10]
+        rows, scores = index.top(vectors[own], own, 10)
+        assert rows.tolist() == want and scores.tolist() == score[want].tolist()
+    assert sum(met) < vectors.size * 10
