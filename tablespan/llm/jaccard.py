@@ -118,22 +118,25 @@ def _prefix_tokens(width: int, percent: int, counts: np.ndarray, chosen: np.ndar
 
 
 def _prefix_lists(width: int, percent: int, counts: np.ndarray, chosen: np.ndarray, shared: np.ndarray):
-    """doc_id, d1 and those prefix tokens that other nodes may have too. A node with fewer of them than any set it may be
-    linked with must share has no link and gives no row."""
+    """doc_id, d1 and those prefix tokens that other nodes may have too, with their places in the prefix. What stands before
+    a token and is no other node's cannot be in a set that has the token in its prefix: it would stand there too. So a
+    set linked through the token has at most the rest of this one; a token that leaves too few for any link is dropped.
+    A node with fewer tokens than any set it may be linked with must share has no link and gives no row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
             batch = _only_nodes(batch, chosen)
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             for tokens, doc in zip(shingle_sets(batch.column(1), width), batch.column(0).to_pylist()):
                 if len(tokens) == 0:
                     continue
-                prefix = _prefix(tokens, percent, counts)
-                prefix = prefix[has_bit(shared, prefix)]
-                if len(prefix) >= _spare(-(-len(tokens) * percent // 100)):
-                    for column, cell in zip(out, (doc, _digests(tokens)[0], prefix.view(np.int64))):
+                n, prefix = len(tokens), _prefix(tokens, percent, counts)
+                places = np.flatnonzero(has_bit(shared, prefix))
+                places = places[100 * (np.arange(len(places)) + n - places) >= percent * n]
+                if len(places) >= _spare(-(-n * percent // 100)):
+                    for column, cell in zip(out, (doc, _digests(tokens)[0], prefix[places].view(np.int64), places)):
                         column.append(cell)
-            types = pa.int64(), pa.int64(), pa.list_(pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "prefix"])
+            types = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "prefix", "places"])
 
     return run
 
@@ -210,8 +213,8 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     seen = texts.mapInArrow(_prefix_tokens(width, percent, counts, chosen), "token long")
     seen = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
     shared = bit_table(stage_table(seen, "shared-tokens"))
-    lists = texts.mapInArrow(_prefix_lists(width, percent, counts, chosen, shared), "doc_id long, d1 long, prefix array<long>")
-    prefixes = _of_nodes(lists, nodes.select("node", "doc", "d1", "repeated"), "prefixes").select("node", "prefix")
+    lists = texts.mapInArrow(_prefix_lists(width, percent, counts, chosen, shared), "doc_id long, d1 long, prefix array<long>, places array<int>")
+    prefixes = _of_nodes(lists, nodes.select("node", "doc", "d1", "repeated"), "prefixes").select("node", "prefix", "places")
     pairs = stage_table(_candidate_groups(grouped, prefixes, percent), "group-pairs")
     roots = components(_links_between(texts, nodes, grouped, wholes.select("node", "tokens"), pairs, width, percent, counts, chosen))
     named = grouped.join(roots, grouped.grp == roots.node, "left").select(grouped.node, F.coalesce("root", "grp").alias("root"))
@@ -261,23 +264,35 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, whole
 
 
 def _candidate_groups(grouped: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups that share an index token: asks (the one with fewer members) and holds. Tokens of a group of one
-    are distinct already and are not shuffled to merge them. The index is written, so that joining it with itself
-    shuffles it once."""
+    """Pairs of groups that share an index token: asks (the one with fewer members) and holds. With a token come the most
+    tokens that a member may share with another set before and after it. All common index tokens of linked sets leave
+    room for a link; a pair that does not get it from a token, such as copies with many changes of their own, does not meet
+    there. Tokens of a group of one are distinct already and are not shuffled to merge them. The index is written, so
+    that joining it with itself shuffles it once."""
     members = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     prefixes = prefixes.join(grouped, "node").join(members, "grp")
-    tokens = prefixes.select("grp", "n", "n_shingles", F.explode("prefix").alias("token"))
-    alone = tokens.filter("n = 1").select("token", "grp", F.col("n_shingles").alias("least"), F.col("n_shingles").alias("most"))
-    union = tokens.filter("n > 1").groupBy("token", "grp").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    size = F.col("n_shingles")
+    token = F.transform("prefix", lambda t, k: F.struct(
+        t.alias("token"), k.alias("before"), (size - F.get("places", k) - 1).cast("int").alias("after")))
+    tokens = prefixes.select("grp", "n", "n_shingles", F.inline(token))
+    alone = tokens.filter("n = 1").select("token", "grp", size.alias("least"), size.alias("most"), "before", "after")
+    union = tokens.filter("n > 1").groupBy("token", "grp").agg(
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.max("before").alias("before"), F.max("after").alias("after"))
     index = stage_table(alone.unionByName(union), "group-tokens")
-    a, b = index.alias("a"), index.alias("b")
-    fits = (F.col("a.grp") < F.col("b.grp")) & (percent * F.col("a.least") <= 100 * F.col("b.most")) & (
-        percent * F.col("b.least") <= 100 * F.col("a.most"))
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & fits).groupBy(
-        F.col("a.grp").alias("g"), F.col("b.grp").alias("h")).agg(F.count(F.lit(1)).alias("shared"))
+    pairs = _meeting(index, percent).groupBy(F.col("a.grp").alias("g"), F.col("b.grp").alias("h")).agg(F.count(F.lit(1)).alias("shared"))
     sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("n_shingles").alias("m"))
     one, two = (sizes.select(F.col("grp").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}")) for x in "gh")
     fewer = F.col("n_g") <= F.col("n_h")
     enough = F.col("shared") >= 1 + F.floor(F.least("m_g", "m_h") / 20)
     return pairs.join(one, "g").join(two, "h").filter(enough).select(
         F.when(fewer, F.col("g")).otherwise(F.col("h")).alias("asks"), F.when(fewer, F.col("h")).otherwise(F.col("g")).alias("holds"))
+
+
+def _meeting(index: DataFrame, percent: int) -> DataFrame:
+    """Each pair of rows of the index (a, b) whose groups may have a link through their token."""
+    a, b = index.alias("a"), index.alias("b")
+    common = F.least("a.before", "b.before") + 1 + F.least("a.after", "b.after")
+    fits = (F.col("a.grp") < F.col("b.grp")) & (percent * F.col("a.least") <= 100 * F.col("b.most")) & (
+        percent * F.col("b.least") <= 100 * F.col("a.most")) & (
+        100 * common >= percent * (F.col("a.least") + F.col("b.least") - common))
+    return a.join(b, (F.col("a.token") == F.col("b.token")) & fits)

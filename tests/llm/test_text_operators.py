@@ -286,6 +286,32 @@ def test_words_are_learned_by_the_model_alone():
     assert tokenizer.encoded(texts) == want
 
 
+def test_copies_with_changes_of_their_own_do_not_meet(spark, monkeypatch):
+    """Copies too far from each other for a link share most of what stands after their own changes."""
+    base, found, whole = [f"w{i}" for i in range(300)], [], jaccard._candidate_groups
+    texts = []
+    for i in range(30):
+        copy = list(base)
+        for k in range(i % 11, 300, 30 if i % 10 else 100):  # an eighth of the shingles is changed, in a tenth of the copies less
+            copy[k] = f"own{i}x{k}"
+        texts.append((i, " ".join(copy), None, None, 0))
+
+    def counted(*args):
+        found.append(whole(*args))
+        return found[0]
+
+    monkeypatch.setattr(jaccard, "_candidate_groups", counted)
+    docs = spark.createDataFrame(texts, SCHEMA)
+    got = {r.doc_id: r.component_id for r in jaccard.linked_components(docs).collect()}
+    sets = {i: {tuple(t.split()[k:k + 4]) for k in range(297)} for i, t, *_ in texts}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    least = {i: i for i in sets}
+    for _ in sets:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == least and 0 < len(links) < 30
+    assert found[0].count() < 60
+
 
 def test_a_document_with_nothing_to_lose_is_not_cut(spark, monkeypatch):
     """Most documents share no bytes; they stay as they are without a trip through Python."""
