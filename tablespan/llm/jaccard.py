@@ -1,14 +1,18 @@
 """N-gram Jaccard join by a token-group matrix: exact links between documents with similar shingle sets, and components.
 
 1. Documents with the same shingle set are one node, whatever their number.
-2. Nodes are partitioned into groups of similar ones: nodes with the same min-hash whose similarity to the group's
-   head is verified. The head is the node whose tokens are the most common ones, so of many copies with changes of
-   their own the least changed. A node that fails is a group of its own. Members of a group are linked through it.
+2. Nodes are partitioned into groups of connected ones. Every node has MIN_HASHES min-hashes; among those that have one in
+   common the head is the node whose tokens are the most common ones, so of many copies with changes of their own the
+   least changed, and the others' similarity to it is verified. Of its verified heads a node follows the one with the
+   most common tokens, to that one's own head if it has any; nodes that end at the same head are a group. So a copy is
+   left alone only if it misses the heads under all its min-hashes. The verified links between groups are kept for 5.
 3. The token-group matrix holds, for each group (in chunks of about CHUNK members), the union of its members' tokens.
    Its sparse index keeps the tokens of the members' prefixes: ordered from rare to common, two sets as similar as
    asked for share k of their first |X| - ceil(s |X|) + k tokens; k grows with the sets (`_spare`). Tokens are counted
    alone first; those of one node only, most of all, never travel with it, nor does a node left with fewer than k. Two groups that
-   share so many index tokens and whose sizes allow a link are a candidate pair.
+   share so many index tokens and whose sizes allow a link are a candidate pair. Copies that differ from one and the same
+   head up to twice as much as linked ones meet through their differences from it instead (`_same_head_pairs`): linked
+   copies must share many of those, copies with changes of their own share few.
 4. A member of the smaller group is a query against each chunk of the other: the chunk opens only if the query shares
    at least s |query| tokens with the chunk's union. Members of opened chunks are verified one by one on their sets.
 5. Components of verified links, each named by its smallest doc_id.
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablespan.llm.common import bit_table, has_bit, stage_table, text_blocks
@@ -41,32 +45,38 @@ from tablespan.llm.shingles import mix, shingle_sets
 COUNTERS = 1 << 18
 CHUNK = 64
 
-_SETS = "doc_id long, hash long, n_shingles long, d1 long, d2 long, key long, counts binary"
+#: A copy as similar to its head as asked for has another min-hash than the head in at most 15 of 100 cases (percent = 85).
+MIN_HASHES = 4
+
+_SETS = "doc_id long, hash long, n_shingles long, d1 long, d2 long, keys array<long>, counts binary"
 #: Stands for a null doc_id.
 LAST = (1 << 63) - 1
 
 
-def _digests(tokens: np.ndarray) -> tuple[int, int, int]:
-    """Two order-free digests of a set, and its min-hash."""
+def _digests(tokens: np.ndarray) -> tuple[int, int, list[int]]:
+    """Two order-free digests of a set, and its min-hashes."""
     a, b = mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), mix(tokens ^ np.uint64(0x14057B7EF767814F))
-    return tuple(int(x.astype(np.int64)) for x in (a.sum(dtype=np.uint64), b.sum(dtype=np.uint64), a.min()))
+    one, two, *keys = (int(x.astype(np.int64)) for x in (
+        a.sum(dtype=np.uint64), b.sum(dtype=np.uint64), *(h.min() for h in (a, b, a ^ b, a + b)[:MIN_HASHES])))
+    return one, two, keys
 
 
 def _summaries(width: int):
     """One row per document, and per task one row with its token counters."""
     names = [c.split()[0] for c in _SETS.split(", ")]
+    kinds = [pa.int64()] * 2 + [pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in text_blocks(batches):
             sets = shingle_sets(batch.column(1), width)
             counts += np.bincount(np.concatenate(sets).astype(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
-            found = [_digests(t) if len(t) else (0, 0, 0) for t in sets]
+            found = [_digests(t) if len(t) else (0, 0, []) for t in sets]
             columns = [batch.column(0), batch.column(2), pa.array([len(t) for t in sets], pa.int64()),
-                       *[pa.array([f[k] for f in found], pa.int64()) for k in range(3)], pa.nulls(len(sets), pa.binary())]
+                       *[pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], pa.nulls(len(sets), pa.binary())]
             yield pa.record_batch(columns, names=names)
         nothing = pa.nulls(1, pa.int64())
-        yield pa.record_batch([nothing] * 6 + [pa.array([counts.tobytes()], pa.binary())], names=names)
+        yield pa.record_batch([nothing] * 5 + [pa.nulls(1, kinds[-1]), pa.array([counts.tobytes()], pa.binary())], names=names)
 
     return run
 
@@ -105,6 +115,11 @@ def _prefix(tokens: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
     return tokens[order[:n + (-n * percent // 100) + _spare(n)]]
 
 
+def _rank(token: np.uint64, counts: np.ndarray) -> int:
+    """Ascends, not strictly, with the place of a token among all."""
+    return int(counts[int(token) & (COUNTERS - 1)]) << 24 | int(token) >> 40
+
+
 def _prefix_tokens(width: int, percent: int, counts: np.ndarray, chosen: np.ndarray):
     """All prefix tokens of the nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,28 +136,31 @@ def _prefix_lists(width: int, percent: int, counts: np.ndarray, chosen: np.ndarr
     """doc_id, d1 and those prefix tokens that other nodes may have too, with their places in the prefix. What stands before
     a token and is no other node's cannot be in a set that has the token in its prefix: it would stand there too. So a
     set linked through the token has at most the rest of this one; a token that leaves too few for any link is dropped.
-    A node with fewer tokens than any set it may be linked with must share has no link and gives no row."""
+    A node with fewer tokens than any set it may be linked with must share has no link and gives no row. `rest` is what
+    is left of the set without all such tokens of its prefix, `last` the rank of where the prefix ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
             batch = _only_nodes(batch, chosen)
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for tokens, doc in zip(shingle_sets(batch.column(1), width), batch.column(0).to_pylist()):
                 if len(tokens) == 0:
                     continue
                 n, prefix = len(tokens), _prefix(tokens, percent, counts)
                 places = np.flatnonzero(has_bit(shared, prefix))
+                rest = n - len(prefix) + len(places)
                 places = places[100 * (np.arange(len(places)) + n - places) >= percent * n]
                 if len(places) >= _spare(-(-n * percent // 100)):
-                    for column, cell in zip(out, (doc, _digests(tokens)[0], prefix[places].view(np.int64), places)):
+                    cells = doc, _digests(tokens)[0], prefix[places].view(np.int64), places, rest, _rank(prefix[-1], counts)
+                    for column, cell in zip(out, cells):
                         column.append(cell)
-            types = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "prefix", "places"])
+            types = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(), pa.int64()
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "prefix", "places", "rest", "last"])
 
     return run
 
 
-def _whole_sets(width: int, counts: np.ndarray, chosen: np.ndarray, bits: np.ndarray, bit_of: int):
-    """doc_id, d1, the whole set of nodes with the bit of their digest `bit_of` set, and how common its tokens are."""
+def _whole_sets(width: int, counts: np.ndarray, chosen: np.ndarray, bits: np.ndarray):
+    """doc_id, d1, the whole set of nodes with the bit of their first digest set, and how common its tokens are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
             batch = _only_nodes(batch, chosen)
@@ -150,10 +168,10 @@ def _whole_sets(width: int, counts: np.ndarray, chosen: np.ndarray, bits: np.nda
             for tokens, doc in zip(shingle_sets(batch.column(1), width), batch.column(0).to_pylist()):
                 if len(tokens) == 0:
                     continue
-                digests = _digests(tokens)
-                if has_bit(bits, np.array([digests[bit_of]]))[0]:
+                digest = _digests(tokens)[0]
+                if has_bit(bits, np.array([digest]))[0]:
                     common = float(np.log1p(counts[tokens.astype(np.int64) & (COUNTERS - 1)]).mean())
-                    for column, cell in zip(out, (doc, digests[0], tokens.view(np.int64), common)):
+                    for column, cell in zip(out, (doc, digest, tokens.view(np.int64), common)):
                         column.append(cell)
             types = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64()
             yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "d1", "tokens", "common"])
@@ -168,9 +186,9 @@ def _of_nodes(lists: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
     return once.unionByName(often.dropDuplicates(["node"]))
 
 
-def _sets_of(texts: DataFrame, nodes: DataFrame, width: int, counts: np.ndarray, chosen: np.ndarray, bits: np.ndarray,
-             bit_of: int) -> DataFrame:
-    lists = texts.mapInArrow(_whole_sets(width, counts, chosen, bits, bit_of),
+def _sets_of(texts: DataFrame, nodes: DataFrame, width: int, counts: np.ndarray, chosen: np.ndarray) -> DataFrame:
+    """The whole sets of `nodes`, which is a table, not a plan."""
+    lists = texts.mapInArrow(_whole_sets(width, counts, chosen, bit_table(nodes.select("d1"))),
                              "doc_id long, d1 long, tokens array<long>, common double")
     return _of_nodes(lists, nodes, "tokens")
 
@@ -180,6 +198,32 @@ def _similar(a: Column, b: Column, percent: int) -> Column:
     return 100 * common >= percent * (F.size(a) + F.size(b) - common)
 
 
+def _alike(nodes: DataFrame) -> DataFrame:
+    """node and key, a min-hash with its number, for every key that several nodes have."""
+    keyed = nodes.select("node", F.posexplode("keys")).select("node", F.xxhash64("pos", "col").alias("key"))
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    return stage_table(keyed.join(several, "key"), "alike")
+
+
+def _met_heads(alike: DataFrame, wholes: DataFrame, percent: int) -> DataFrame:
+    """node, a head under its keys, the head's `common`, whether the two are similar, and whether they would be if sets
+    might lie twice as far apart."""
+    heads = alike.join(wholes.select("node", "common"), "node").groupBy("key").agg(F.max(F.struct("common", "node")).alias("best"))
+    to_head = alike.join(heads.select("key", "best.common", F.col("best.node").alias("head")), "key").filter("node <> head")
+    firsts = wholes.select(F.col("node").alias("head"), F.col("tokens").alias("first"))
+    met = to_head.select("node", "head", "common").distinct().join(wholes.select("node", "tokens"), "node").join(firsts, "head")
+    similar, near = (_similar(F.col("tokens"), F.col("first"), p) for p in (percent, max(0, 2 * percent - 100)))
+    return met.select("node", "head", "common", similar.alias("similar"), near.alias("near"))
+
+
+def _ends(stars: DataFrame) -> DataFrame:
+    """node and grp: the head of the head that a node follows, or that head itself if it follows none. Heads that others
+    follow and that follow none are their own."""
+    follows = stage_table(stars.groupBy("node").agg(F.max(F.struct("common", "head")).alias("best")).select("node", "best.head"), "follows")
+    onward = follows.select(F.col("node").alias("head"), F.col("head").alias("end"))
+    return follows.join(onward, "head", "left").select("node", F.coalesce("end", "head").alias("grp"))
+
+
 def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, for every row; also hash (of the text)
     and root, which tells components apart where doc_ids repeat (null without words)."""
@@ -191,32 +235,35 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     rows = summaries.filter("counts is null").drop("counts")
     digest = ["n_shingles", "d1", "d2"]
     nodes = rows.filter("n_shingles > 0").groupBy(*digest, "doc_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.first("key").alias("key"), F.min("hash").alias("hash")).groupBy(*digest).agg(
-        F.min("doc_id").alias("doc"), F.min_by(F.col("rows") > 1, "doc_id").alias("repeated"), F.first("key").alias("key"),
+        F.count(F.lit(1)).alias("rows"), F.first("keys").alias("keys"), F.min("hash").alias("hash")).groupBy(*digest).agg(
+        F.min("doc_id").alias("doc"), F.min_by(F.col("rows") > 1, "doc_id").alias("repeated"), F.first("keys").alias("keys"),
         F.min_by("hash", "doc_id").alias("hash"))
     nodes = stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    keys = nodes.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("alike"))
-    keys = keys.filter("alike > 1").drop("alike")
-    bits = bit_table(keys.select("key"))
     chosen = bit_table(nodes.select(F.xxhash64("doc", "hash")))
-    nodes = nodes.join(keys, "key", "left").withColumn("leader", F.coalesce("leader", "node")).drop("key", "hash")
-    nodes = stage_table(nodes, "nodes")
-    wholes = _sets_of(texts, nodes.select("node", "leader", "doc", "d1", "repeated"), width, counts, chosen, bits, 2)
-    heads = wholes.groupBy("leader").agg(F.max(F.struct("common", "node")).alias("best")).select(F.col("best.node").alias("node"))
-    lead = wholes.join(heads, "node").select("leader", F.col("node").alias("head"), F.col("tokens").alias("first"))
-    stars = wholes.select("node", "leader", "tokens").join(lead, "leader").filter("node <> head").filter(
-        _similar(F.col("tokens"), F.col("first"), percent))
-    grouped = nodes.join(stars.select("node", F.col("head").alias("grp")), "node", "left").select(
-        "node", "n_shingles", F.coalesce("grp", "node").alias("grp"))
+    alike = _alike(nodes)
+    known = stage_table(nodes.join(alike, "node", "left_semi").select("node", "doc", "d1", "repeated"), "known")
+    wholes = _sets_of(texts, known, width, counts, chosen)
+    nodes = nodes.drop("keys", "hash")
+    met = stage_table(_met_heads(alike, wholes, percent), "met-heads")
+    stars = met.filter("similar")
+    ends = _ends(stars)
+    grouped = nodes.join(ends, "node", "left").select("node", "n_shingles", F.coalesce("grp", "node").alias("grp"))
     grouped = stage_table(grouped, "groups")
+    end_of = grouped.select(F.col("node").alias("head"), F.col("grp").alias("b"))
+    known_links = stars.join(grouped, "node").join(end_of, "head").select(F.col("grp").alias("a"), "b").filter("a <> b").distinct()
 
     seen = texts.mapInArrow(_prefix_tokens(width, percent, counts, chosen), "token long")
     seen = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
     shared = bit_table(stage_table(seen, "shared-tokens"))
-    lists = texts.mapInArrow(_prefix_lists(width, percent, counts, chosen, shared), "doc_id long, d1 long, prefix array<long>, places array<int>")
-    prefixes = _of_nodes(lists, nodes.select("node", "doc", "d1", "repeated"), "prefixes").select("node", "prefix", "places")
-    pairs = stage_table(_candidate_groups(grouped, prefixes, percent), "group-pairs")
-    roots = components(_links_between(texts, nodes, grouped, wholes.select("node", "tokens"), pairs, width, percent, counts, chosen))
+    lists = texts.mapInArrow(_prefix_lists(width, percent, counts, chosen, shared), "doc_id long, d1 long, prefix array<long>, places array<int>, rest int, last long")
+    prefixes = _of_nodes(lists, nodes.select("node", "doc", "d1", "repeated"), "prefixes").select("node", "prefix", "places", "rest", "last")
+    alone = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select(F.col("grp").alias("node"))
+    refs = met.filter("near and not similar").groupBy("node").agg(F.max_by("head", F.struct("common", "head")).alias("ref"))
+    refs = stage_table(refs.join(alone, "node"), "refs")
+    pairs = _candidate_groups(grouped, prefixes, percent, refs).unionByName(_same_head_pairs(refs, wholes, percent))
+    pairs = stage_table(pairs, "group-pairs")
+    links = _links_between(texts, nodes, grouped, wholes.select("node", "tokens"), pairs, width, percent, counts, chosen)
+    roots = components(links.unionByName(known_links))
     named = grouped.join(roots, grouped.grp == roots.node, "left").select(grouped.node, F.coalesce("root", "grp").alias("root"))
     named = named.join(nodes, "node").select("root", "doc", *digest)
     smallest = named.groupBy("root").agg(F.min("doc").alias("component_id"))
@@ -245,7 +292,7 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, whole
     members = stage_table(grouped.join(involved, "grp", "left_semi"), "involved")
     missing = members.join(wholes.select("node"), "node", "left_anti").select("node").join(nodes, "node")
     missing = stage_table(missing.select("node", "doc", "d1", "repeated"), "missing")
-    more = _sets_of(texts, missing, width, counts, chosen, bit_table(missing.select("d1")), 0).select("node", "tokens")
+    more = _sets_of(texts, missing, width, counts, chosen).select("node", "tokens")
     have = wholes.unionByName(more)
     chunks = grouped.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     members = members.join(chunks, "grp").join(have, "node").select(
@@ -263,21 +310,54 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, whole
         F.col("asks").alias("a"), F.col("grp").alias("b")).distinct()
 
 
-def _candidate_groups(grouped: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+def _same_head_pairs(refs: DataFrame, wholes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (asks, holds) of nodes that may have a link, of those (`refs`: node, ref) that have the same head and are not
+    similar to it. Two sets differ in what their differences from a third one differ in. Linked sets a and b differ in at
+    most r (|a| + |b|) tokens, with r = (100 - percent) / (100 + percent), and each from the head in more than
+    r (|a| + |head|). So they have more than r |head| differences in common, at least one of them among each one's
+    rarest without so many less one; what comes before and after it must leave room for all they have to share."""
+    firsts = wholes.select(F.col("node").alias("ref"), F.col("tokens").alias("first"))
+    both = refs.join(wholes.select("node", "tokens"), "node").join(firsts, "ref")
+    differ = [F.transform(F.array_except(x, y), lambda t, k=k: F.struct(t.alias("token"), F.lit(k).alias("side")))
+              for k, (x, y) in enumerate((("tokens", "first"), ("first", "tokens")))]
+    both = both.select("node", "ref", F.size("tokens").alias("n"), F.size("first").alias("m"), F.concat(*differ).alias("differ"))
+    least = F.floor((100 - percent) * F.col("m") / (100 + percent)).cast("int") + 1
+    rows = both.select("node", "ref", "n", F.size("differ").alias("d"), least.alias("need"), F.inline("differ"))
+    rows = stage_table(rows, "differences")
+    key = ["ref", "token", "side"]
+    rows = rows.join(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("often")), key)
+    order = Window.partitionBy("node").orderBy("often", "side", "token")
+    rows = rows.withColumn("place", F.row_number().over(order) - 1).withColumn(
+        "before", F.sum((F.col("often") > 1).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.filter("often > 1 and place <= d - need").select(
+        *key, "node", "n", "d", F.coalesce("before", F.lit(0)).alias("before"), (F.col("d") - F.col("place") - 1).alias("after"))
+    rows = stage_table(rows, "rare-differences")
+    a, b = rows.alias("a"), rows.alias("b")
+    common = F.least("a.before", "b.before") + 1 + F.least("a.after", "b.after")
+    room = (100 + percent) * (F.col("a.d") + F.col("b.d") - 2 * common) <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
+    same = F.col("a.node") < F.col("b.node")
+    for name in key:
+        same &= F.col(f"a.{name}") == F.col(f"b.{name}")
+    return a.join(b, same & room).select(F.col("a.node").alias("asks"), F.col("b.node").alias("holds")).distinct()
+
+
+def _candidate_groups(grouped: DataFrame, prefixes: DataFrame, percent: int, refs: DataFrame) -> DataFrame:
     """Pairs of groups that share an index token: asks (the one with fewer members) and holds. With a token come the most
     tokens that a member may share with another set before and after it. All common index tokens of linked sets leave
     room for a link; a pair that does not get it from a token, such as copies with many changes of their own, does not meet
-    there. Tokens of a group of one are distinct already and are not shuffled to merge them. The index is written, so
-    that joining it with itself shuffles it once."""
+    there, nor do two with the same head in `refs`. Tokens of a group of one are distinct already and are not shuffled to
+    merge them. The index is written, so that joining it with itself shuffles it once."""
     members = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    prefixes = prefixes.join(grouped, "node").join(members, "grp")
+    prefixes = prefixes.join(grouped, "node").join(members, "grp").join(refs, "node", "left")
     size = F.col("n_shingles")
     token = F.transform("prefix", lambda t, k: F.struct(
         t.alias("token"), k.alias("before"), (size - F.get("places", k) - 1).cast("int").alias("after")))
-    tokens = prefixes.select("grp", "n", "n_shingles", F.inline(token))
-    alone = tokens.filter("n = 1").select("token", "grp", size.alias("least"), size.alias("most"), "before", "after")
+    tokens = prefixes.select("grp", "n", "n_shingles", "rest", "last", "ref", F.inline(token))
+    alone = tokens.filter("n = 1").select("token", "grp", size.alias("least"), size.alias("most"), "before", "after", "rest", "last", "ref")
     union = tokens.filter("n > 1").groupBy("token", "grp").agg(
-        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.max("before").alias("before"), F.max("after").alias("after"))
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.max("before").alias("before"), F.max("after").alias("after"),
+        F.max("n_shingles").cast("int").alias("rest"), F.max("last").alias("last"),
+        F.lit(None).cast("long").alias("ref"))
     index = stage_table(alone.unionByName(union), "group-tokens")
     pairs = _meeting(index, percent).groupBy(F.col("a.grp").alias("g"), F.col("b.grp").alias("h")).agg(F.count(F.lit(1)).alias("shared"))
     sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("n_shingles").alias("m"))
@@ -289,10 +369,15 @@ def _candidate_groups(grouped: DataFrame, prefixes: DataFrame, percent: int) ->
 
 
 def _meeting(index: DataFrame, percent: int) -> DataFrame:
-    """Each pair of rows of the index (a, b) whose groups may have a link through their token."""
+    """Each pair of rows of the index (a, b) whose groups may have a link through their token. Of two sets the one whose
+    prefix ends first shares no more than its `rest`: what no other node has in its prefix would stand in the other
+    one's prefix too. With equal ranks it is not known which ends first. For a group of several, `rest` is no bound."""
     a, b = index.alias("a"), index.alias("b")
-    common = F.least("a.before", "b.before") + 1 + F.least("a.after", "b.after")
+    rest = F.when(F.col("a.last") < F.col("b.last"), F.col("a.rest")).when(
+        F.col("a.last") > F.col("b.last"), F.col("b.rest")).otherwise(F.greatest("a.rest", "b.rest"))
+    common = F.least(F.least("a.before", "b.before") + 1 + F.least("a.after", "b.after"), rest)
     fits = (F.col("a.grp") < F.col("b.grp")) & (percent * F.col("a.least") <= 100 * F.col("b.most")) & (
         percent * F.col("b.least") <= 100 * F.col("a.most")) & (
-        100 * common >= percent * (F.col("a.least") + F.col("b.least") - common))
+        100 * common >= percent * (F.col("a.least") + F.col("b.least") - common)) & (
+        F.col("a.ref").isNull() | F.col("b.ref").isNull() | (F.col("a.ref") != F.col("b.ref")))
     return a.join(b, (F.col("a.token") == F.col("b.token")) & fits)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -334,3 +335,33 @@ def test_a_document_with_nothing_to_lose_is_not_cut(spark, monkeypatch):
         assert (rows[i].n_bytes, rows[i].n_removed, rows[i].n_spans, rows[i].text) == (len(raw), 0, 0, t or "")
         assert rows[i].kept_sha256 == hashlib.sha256(raw).hexdigest()
     assert batches.value < 10
+
+
+def test_copies_meet_through_their_differences_from_the_head(spark, monkeypatch):
+    """Changes that several copies have are no copy's own; most of the copies still are too far from each other and from
+    the base for a link, some are linked with each other only."""
+    draw, base, rows, whole = random.Random(9), [f"w{i}" for i in range(300)], [], jaccard._meeting
+    changed = [draw.sample(range(2, 298, 4), 9) for _ in range(40)]
+    changed += [[], *(c[1:] for c in changed[:3]), *(c[2:] + [299] for c in changed[:2])]
+    texts = []
+    for i, places in enumerate(changed):
+        copy = list(base)
+        for k in places:
+            copy[k] = f"other{k}"
+        texts.append((i, " ".join(copy), None, None, 0))
+
+    def counted(*args):
+        rows.append(whole(*args).count())
+        return whole(*args)
+
+    monkeypatch.setattr(jaccard, "_meeting", counted)
+    docs = spark.createDataFrame(texts, SCHEMA)
+    got = {r.doc_id: r.component_id for r in jaccard.linked_components(docs).collect()}
+    sets = {i: {tuple(t.split()[k:k + 4]) for k in range(297)} for i, t, *_ in texts}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    least = {i: i for i in sets}
+    for _ in sets:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == least and len({*least.values()}) > 30 and sum(least[i] < i for i in least) >= 3
+    assert sum(rows) < 300, rows
