@@ -47,6 +47,8 @@ from tablespan.llm.suffixes import suffix_array
 WINDOW, KEY = 50, 24
 AROUND = WINDOW - KEY
 BLOCK = 4000
+#: Anchors that a task gathers before it packs them.
+PACKED = 1 << 20
 #: Stands for a null doc_id.
 LAST = (1 << 63) - 1
 
@@ -96,14 +98,44 @@ def anchors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return body, at, hashes[chosen], np.searchsorted(at, chosen, side="right") - 1, chosen
 
 
-def _documents_of_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_blocks(batches):
-        _, _, hashes, owner, _ = anchors(batch.column(1))
-        order = np.lexsort((owner, hashes))
-        hashes, owner = hashes[order], owner[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        yield pa.record_batch([pa.array(hashes[new].view(np.int64))], names=["anchor"])
+def _documents_of_anchors(parts: int):
+    """The anchors of each document, once, as packed numbers of each of `parts` parts of all hashes."""
+    def packed(found: list[np.ndarray]) -> pa.RecordBatch:
+        hashes = np.concatenate(found)
+        part = (hashes >> np.uint64(33)) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        ends = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64)).tolist()
+        hashes = hashes[order]
+        some = [k for k in range(parts) if ends[k] < ends[k + 1]]
+        cells = [hashes[ends[k]:ends[k + 1]].tobytes() for k in some]
+        return pa.record_batch([pa.array(some, pa.int32()), pa.array(cells, pa.binary())], names=["part", "anchors"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        for batch in text_blocks(batches):
+            _, _, hashes, owner, _ = anchors(batch.column(1))
+            order = np.lexsort((owner, hashes))
+            hashes, owner = hashes[order], owner[order]
+            new = np.ones(len(hashes), bool)
+            new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+            found.append(hashes[new])
+            if sum(map(len, found)) >= PACKED:
+                yield packed(found)
+                found = []
+        if found:
+            yield packed(found)
+
+    return run
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors that come more than once in the parts at hand. A part is whole in one task."""
+    found = [np.frombuffer(cell.as_buffer(), np.int64) for batch in batches for cell in batch.column(1)]
+    values = np.sort(np.concatenate(found)) if found else np.empty(0, np.int64)
+    again = values[1:][values[1:] == values[:-1]]
+    first = np.ones(len(again), bool)
+    first[1:] = again[1:] != again[:-1]
+    yield pa.record_batch([pa.array(again[first])], names=["anchor"])
 
 
 def _occurrences(bits: np.ndarray):
@@ -288,8 +320,9 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(LAST).alias("b")))
     copied = copies.filter("original < doc").select("doc", "digest", whole.alias("spans")).distinct()
 
-    found = originals.select("doc", "text").mapInArrow(_documents_of_anchors, "anchor long")
-    shared = stage_table(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "shared")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = originals.select("doc", "text").mapInArrow(_documents_of_anchors(4 * tasks), "part int, anchors binary")
+    shared = stage_table(found.repartition(tasks, "part").mapInArrow(_repeated, "anchor long"), "shared")
     occurrences = originals.mapInArrow(_occurrences(bit_table(shared)), "anchor long, region long, doc long, digest long, pos long")
     occurrences = bucketed_table(occurrences, ["anchor", "region"], "occurrences")
 

@@ -5,6 +5,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -365,3 +367,22 @@ def test_copies_meet_through_their_differences_from_the_head(spark, monkeypatch)
             least[a] = least[b] = min(least[a], least[b])
     assert got == least and len({*least.values()}) > 30 and sum(least[i] < i for i in least) >= 3
     assert sum(rows) < 300, rows
+
+
+def test_anchors_are_shuffled_packed(monkeypatch):
+    """Many anchors travel in a few rows; those of two documents are found, also where they were packed apart."""
+    monkeypatch.setattr(repeats, "PACKED", 500)
+    draw = random.Random(4)
+    texts = ["".join(draw.choice("abcdefgh ") for _ in range(900)) for _ in range(40)]
+    texts += [texts[3][100:400] + texts[5], "short", None, texts[7][:60] * 3]
+    count = Counter(a for t in texts for a in set(repeats.anchors(pa.array([t], pa.string()))[2].view(np.int64).tolist()))
+    batches = [pa.record_batch([pa.array([i]), pa.array([t], pa.string())], names=["doc", "text"]) for i, t in enumerate(texts)]
+    packed = list(repeats._documents_of_anchors(4)(iter(batches)))
+    rows = [r for b in packed for r in b.to_pylist()]
+    assert len(packed) > 2 and len(rows) <= 4 * len(packed) < sum(count.values()) / 20
+    found = []
+    for part in range(4):
+        own = [b.filter(pc.equal(b.column(0), part)) for b in packed]
+        found += [a for b in repeats._repeated(iter(own)) for a in b.column(0).to_pylist()]
+    assert sorted(found) == sorted(a for a, n in count.items() if n > 1) and found
+    assert [b.num_rows for b in repeats._repeated(iter([]))] == [0]
