@@ -318,8 +318,9 @@ def _same_head_pairs(refs: DataFrame, wholes: DataFrame, percent: int) -> DataFr
     rarest without so many less one; what comes before and after it must leave room for all they have to share."""
     firsts = wholes.select(F.col("node").alias("ref"), F.col("tokens").alias("first"))
     both = refs.join(wholes.select("node", "tokens"), "node").join(firsts, "ref")
-    differ = [F.transform(F.array_except(x, y), lambda t, k=k: F.struct(t.alias("token"), F.lit(k).alias("side")))
-              for k, (x, y) in enumerate((("tokens", "first"), ("first", "tokens")))]
+    own, gone = F.array_except("tokens", "first"), F.array_except("first", "tokens")
+    differ = [F.transform(own, lambda t: F.struct(t.alias("token"), F.lit(0).alias("side"))),
+              F.transform(gone, lambda t: F.struct(t.alias("token"), F.lit(1).alias("side")))]
     both = both.select("node", "ref", F.size("tokens").alias("n"), F.size("first").alias("m"), F.concat(*differ).alias("differ"))
     least = F.floor((100 - percent) * F.col("m") / (100 + percent)).cast("int") + 1
     rows = both.select("node", "ref", "n", F.size("differ").alias("d"), least.alias("need"), F.inline("differ"))
