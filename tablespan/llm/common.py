@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespan.scratch import new_path, written_table
+from tablespan.scratch import new_path, note_written, written_alone, written_table
 
 #: Bytes of text worked on at a time inside a task. Only whole texts are worked on, so one long text may exceed it.
 BLOCK_BYTES = 1 << 20
@@ -81,6 +81,16 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     return written_table(df, label)
 
 
+def stage_alone(spark: SparkSession, steps: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What `steps` returns as a staged table, and of all the tables staged on the way to it none."""
+    def last() -> DataFrame:
+        df = steps()
+        free_finished(spark)
+        return df
+
+    return written_alone(spark, last, label)
+
+
 def bucketed_table(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """`df` written once in the shared folder, in as many buckets by `keys` as the session has shuffle partitions:
     grouping by the keys needs no shuffle afterwards, and a join by them shuffles the other side only."""
@@ -89,5 +99,6 @@ def bucketed_table(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_path(spark, label)
     name = f"{label}_{path.rsplit('-', 1)[-1]}"
+    note_written(path, name)
     df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
     return spark.table(name)

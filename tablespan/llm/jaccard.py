@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import bit_table, has_bit, stage_table, text_blocks
+from tablespan.llm.common import bit_table, has_bit, stage_alone, stage_table, text_blocks
 from tablespan.llm.components import components
 from tablespan.llm.shingles import mix, shingle_sets
 
@@ -274,10 +274,15 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     return found.select(real[0], "hash", "root", "n_shingles", real[1])
 
 
+def written_components(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+    """`linked_components`, written, without the tables staged on the way, which would stay until the session ends."""
+    return stage_alone(documents.sparkSession, lambda: linked_components(documents, width, percent), "linked")
+
+
 def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest doc_id, and of several such
     rows one. Documents without words are linked with nothing and stay, one for each doc_id and text."""
-    found = linked_components(documents, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = written_components(documents, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = found.groupBy("doc_id", F.coalesce("root", "hash"), F.col("root").isNull()).agg(F.min("hash").alias("hash"))
     first = first.select(F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.col("hash").alias("h"))
     rows = documents.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"),

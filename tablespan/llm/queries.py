@@ -73,7 +73,7 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op9_ngram_jaccard_join")
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.linked_components(read_table(spark, folder, "documents")).drop("hash", "root")
+    return jaccard.written_components(read_table(spark, folder, "documents")).drop("hash", "root")
 
 
 @query("op10_suffix_array_dedup")

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import bit_table, bucketed_table, has_bit, may_be_in, stage_table, text_blocks
+from tablespan.llm.common import bit_table, bucketed_table, has_bit, may_be_in, stage_alone, stage_table, text_blocks
 from tablespan.llm.shingles import mix, text_bytes
 from tablespan.llm.suffixes import suffix_array
 
@@ -308,8 +308,22 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
     # a row is known by its doc_id; where doc_ids repeat, by a hash of its text too
     unique = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     rows = rows.withColumn("digest", F.lit(0).cast("long") if unique else F.col("h1"))
-    texts = rows.select("doc", "text", "digest", "h1", "h2")
+    covered = stage_alone(spark, lambda: _covered(rows.select("doc", "text", "digest", "h1", "h2")), "covered")
+    touched = may_be_in(bit_table(covered.select(F.xxhash64("doc"))), F.xxhash64("doc"), spark)
+    has_text = "text" in rows.select("row.*").columns
+    tied = rows.filter(touched).select("row", "doc", "digest", *[] if has_text else ["text"])
+    tied = tied.join(covered, ["doc", "digest"], "left").select("row", "spans", *[] if has_text else ["text"])
+    kind = rows.schema["row"].dataType.simpleString()
+    cut = tied.mapInArrow(_cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+    text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    return cut.unionByName(rows.filter(~touched).select(
+        "row", F.octet_length(text).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+        F.sha2(text.cast("binary"), 256).alias("kept_sha256"), text.alias("text")))
+
 
+def _covered(texts: DataFrame) -> DataFrame:
+    """doc, digest and the spans to be cut of each document that has any (`texts`: doc, text, digest, h1, h2)."""
+    spark = texts.sparkSession
     classes = texts.filter(F.octet_length("text") >= WINDOW).groupBy("h1", "h2").agg(
         F.min("doc").alias("original"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     classes = stage_table(classes, "copies")
@@ -342,18 +356,7 @@ def without_repeats(documents: DataFrame, carried: list[str] | None = None) -> D
     spans = stage_table(spans, "spans")
     covered = occurrences.join(spans, ["anchor", "region"]).filter("least < doc").groupBy("doc", "digest").agg(
         F.collect_set(F.struct((F.col("pos") + F.col("begin")).alias("a"), (F.col("pos") + F.col("end")).alias("b"))).alias("spans"))
-    covered = stage_table(covered.unionByName(copied), "covered")
-
-    touched = may_be_in(bit_table(covered.select(F.xxhash64("doc"))), F.xxhash64("doc"), spark)
-    has_text = "text" in rows.select("row.*").columns
-    tied = rows.filter(touched).select("row", "doc", "digest", *[] if has_text else ["text"])
-    tied = tied.join(covered, ["doc", "digest"], "left").select("row", "spans", *[] if has_text else ["text"])
-    kind = rows.schema["row"].dataType.simpleString()
-    cut = tied.mapInArrow(_cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
-    text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
-    return cut.unionByName(rows.filter(~touched).select(
-        "row", F.octet_length(text).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
-        F.sha2(text.cast("binary"), 256).alias("kept_sha256"), text.alias("text")))
+    return covered.unionByName(copied)
 
 
 def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablespan.llm import jaccard, langid, packing, repeats, rules, shingles, suffixes, weak_labels, words
+from tablespan.scratch import shared_folder
 from tests.llm.fixtures import SCHEMA, documents, lowered, rows, words_of
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -386,3 +388,15 @@ def test_anchors_are_shuffled_packed(monkeypatch):
         found += [a for b in repeats._repeated(iter(own)) for a in b.column(0).to_pylist()]
     assert sorted(found) == sorted(a for a, n in count.items() if n > 1) and found
     assert [b.num_rows for b in repeats._repeated(iter([]))] == [0]
+
+
+@pytest.mark.parametrize("operator", ["written_components", "one_of_each", "without_repeats"])
+def test_tables_on_the_way_are_removed(spark, operator):
+    """What an operator wrote on its way to its result goes with the step, not with the job."""
+    passage = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"{passage} {'x' * (i % 3)} {passage}{i}") for i in range(12)], "doc_id long, text string")
+    folder = Path(shared_folder(spark).removeprefix("file:")) / "tablespan"
+    before, names = set(folder.glob("*")), {t.name for t in spark.catalog.listTables()}
+    rows = getattr(repeats if operator == "without_repeats" else jaccard, operator)(docs).count()
+    assert rows and len(set(folder.glob("*")) - before) == 1
+    assert {t.name for t in spark.catalog.listTables()} == names
