@@ -12,7 +12,8 @@
    alone first; those of one node only, most of all, never travel with it, nor does a node left with fewer than k. Two groups that
    share so many index tokens and whose sizes allow a link are a candidate pair. Copies that differ from one and the same
    head up to twice as much as linked ones meet through their differences from it instead (`_same_head_pairs`): linked
-   copies must share many of those, copies with changes of their own share few.
+   copies must share many of those, copies with changes of their own share few. So do they meet the members of that
+   head's group, one by one and not in chunks (`_links_to_members`).
 4. A member of the smaller group is a query against each chunk of the other: the chunk opens only if the query shares
    at least s |query| tokens with the chunk's union. Members of opened chunks are verified one by one on their sets.
 5. Components of verified links, each named by its smallest doc_id.
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import bit_table, has_bit, stage_alone, stage_table, text_blocks
+from tablespan.llm.common import bit_table, has_bit, may_be_in, stage_alone, stage_table, text_blocks
 from tablespan.llm.components import components
 from tablespan.llm.shingles import mix, shingle_sets
 
@@ -193,6 +194,11 @@ def _sets_of(texts: DataFrame, nodes: DataFrame, width: int, counts: np.ndarray,
     return _of_nodes(lists, nodes, "tokens")
 
 
+def _only(rows: DataFrame, wanted: DataFrame, of: str = "node") -> DataFrame:
+    """The rows whose node may be in column `of` of `wanted`, a table, so that sets nobody asks for are not shuffled."""
+    return rows.filter(may_be_in(bit_table(wanted.select(F.xxhash64(of))), F.xxhash64("node"), rows.sparkSession))
+
+
 def _similar(a: Column, b: Column, percent: int) -> Column:
     common = F.size(F.array_intersect(a, b))
     return 100 * common >= percent * (F.size(a) + F.size(b) - common)
@@ -205,14 +211,18 @@ def _alike(nodes: DataFrame) -> DataFrame:
     return stage_table(keyed.join(several, "key"), "alike")
 
 
-def _met_heads(alike: DataFrame, wholes: DataFrame, percent: int) -> DataFrame:
+def _met_heads(alike: DataFrame, sizes: DataFrame, wholes: DataFrame, percent: int) -> DataFrame:
     """node, a head under its keys, the head's `common`, whether the two are similar, and whether they would be if sets
-    might lie twice as far apart."""
+    might lie twice as far apart. Heads whose size alone rules both out are left out. `sizes`: node, n_shingles."""
     heads = alike.join(wholes.select("node", "common"), "node").groupBy("key").agg(F.max(F.struct("common", "node")).alias("best"))
     to_head = alike.join(heads.select("key", "best.common", F.col("best.node").alias("head")), "key").filter("node <> head")
-    firsts = wholes.select(F.col("node").alias("head"), F.col("tokens").alias("first"))
-    met = to_head.select("node", "head", "common").distinct().join(wholes.select("node", "tokens"), "node").join(firsts, "head")
-    similar, near = (_similar(F.col("tokens"), F.col("first"), p) for p in (percent, max(0, 2 * percent - 100)))
+    pairs = to_head.select("node", "head", "common").distinct().join(sizes.withColumnRenamed("n_shingles", "n"), "node").join(
+        sizes.select(F.col("node").alias("head"), F.col("n_shingles").alias("m")), "head")
+    far = max(0, 2 * percent - 100)
+    pairs = stage_table(pairs.filter(100 * F.least("n", "m") >= far * F.greatest("n", "m")).drop("n", "m"), "head-pairs")
+    firsts = _only(wholes, pairs, "head").select(F.col("node").alias("head"), F.col("tokens").alias("first"))
+    met = pairs.join(_only(wholes, pairs).select("node", "tokens"), "node").join(firsts, "head")
+    similar, near = (_similar(F.col("tokens"), F.col("first"), p) for p in (percent, far))
     return met.select("node", "head", "common", similar.alias("similar"), near.alias("near"))
 
 
@@ -244,7 +254,7 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     known = stage_table(nodes.join(alike, "node", "left_semi").select("node", "doc", "d1", "repeated"), "known")
     wholes = _sets_of(texts, known, width, counts, chosen)
     nodes = nodes.drop("keys", "hash")
-    met = stage_table(_met_heads(alike, wholes, percent), "met-heads")
+    met = stage_table(_met_heads(alike, nodes.select("node", "n_shingles"), wholes, percent), "met-heads")
     stars = met.filter("similar")
     ends = _ends(stars)
     grouped = nodes.join(ends, "node", "left").select("node", "n_shingles", F.coalesce("grp", "node").alias("grp"))
@@ -260,10 +270,11 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     alone = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select(F.col("grp").alias("node"))
     refs = met.filter("near and not similar").groupBy("node").agg(F.max_by("head", F.struct("common", "head")).alias("ref"))
     refs = stage_table(refs.join(alone, "node"), "refs")
-    pairs = _candidate_groups(grouped, prefixes, percent, refs).unionByName(_same_head_pairs(refs, wholes, percent))
+    differences = _differences(refs, grouped, wholes, percent)
+    pairs = _candidate_groups(grouped, prefixes, percent, refs).unionByName(_same_head_pairs(differences, percent))
     pairs = stage_table(pairs, "group-pairs")
     links = _links_between(texts, nodes, grouped, wholes.select("node", "tokens"), pairs, width, percent, counts, chosen)
-    roots = components(links.unionByName(known_links))
+    roots = components(links.unionByName(known_links).unionByName(_links_to_members(differences, wholes, percent)))
     named = grouped.join(roots, grouped.grp == roots.node, "left").select(grouped.node, F.coalesce("root", "grp").alias("root"))
     named = named.join(nodes, "node").select("root", "doc", *digest)
     smallest = named.groupBy("root").agg(F.min("doc").alias("component_id"))
@@ -298,7 +309,7 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, whole
     missing = members.join(wholes.select("node"), "node", "left_anti").select("node").join(nodes, "node")
     missing = stage_table(missing.select("node", "doc", "d1", "repeated"), "missing")
     more = _sets_of(texts, missing, width, counts, chosen).select("node", "tokens")
-    have = wholes.unionByName(more)
+    have = _only(wholes, members).unionByName(more)
     chunks = grouped.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     members = members.join(chunks, "grp").join(have, "node").select(
         "grp", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), "node", "tokens")
@@ -315,43 +326,72 @@ def _links_between(texts: DataFrame, nodes: DataFrame, grouped: DataFrame, whole
         F.col("asks").alias("a"), F.col("grp").alias("b")).distinct()
 
 
-def _same_head_pairs(refs: DataFrame, wholes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (asks, holds) of nodes that may have a link, of those (`refs`: node, ref) that have the same head and are not
-    similar to it. Two sets differ in what their differences from a third one differ in. Linked sets a and b differ in at
-    most r (|a| + |b|) tokens, with r = (100 - percent) / (100 + percent), and each from the head in more than
-    r (|a| + |head|). So they have more than r |head| differences in common, at least one of them among each one's
-    rarest without so many less one; what comes before and after it must leave room for all they have to share."""
-    firsts = wholes.select(F.col("node").alias("ref"), F.col("tokens").alias("first"))
-    both = refs.join(wholes.select("node", "tokens"), "node").join(firsts, "ref")
+def _differences(refs: DataFrame, grouped: DataFrame, wholes: DataFrame, percent: int) -> DataFrame:
+    """The differences from a common head that may be shared, for nodes that have the same head and are not similar to it
+    (`far`, `refs`: node, ref) and for the members of that head's group: ref, token, side, node, its size n, the number d of
+    its differences, its place among them from rare to common, what may be shared before and after it, and `early`:
+    whether it may be the first one that linked sets share, of two far ones or of a member and a far one. Two sets differ
+    in what their differences from a third one differ in. Linked sets a and b differ in at most r (|a| + |b|) tokens, with
+    r = (100 - percent) / (100 + percent), and a far one from the head in more than r (|a| + |head|). So two far ones have
+    more than r |head| differences in common, and a far one shares with a member b more than half of what b differs in
+    from the head plus r (|head| - |b|)."""
+    members = grouped.join(refs.select(F.col("ref").alias("grp")).distinct(), "grp").filter("node <> grp").select(
+        "node", F.col("grp").alias("ref"))
+    compared = refs.withColumn("far", F.lit(True)).unionByName(members.withColumn("far", F.lit(False)))
+    compared = stage_table(compared, "compared")
+    firsts = _only(wholes, refs, "ref").select(F.col("node").alias("ref"), F.col("tokens").alias("first"))
+    both = compared.join(_only(wholes, compared).select("node", "tokens"), "node").join(firsts, "ref")
     own, gone = F.array_except("tokens", "first"), F.array_except("first", "tokens")
     differ = [F.transform(own, lambda t: F.struct(t.alias("token"), F.lit(0).alias("side"))),
               F.transform(gone, lambda t: F.struct(t.alias("token"), F.lit(1).alias("side")))]
-    both = both.select("node", "ref", F.size("tokens").alias("n"), F.size("first").alias("m"), F.concat(*differ).alias("differ"))
-    least = F.floor((100 - percent) * F.col("m") / (100 + percent)).cast("int") + 1
-    rows = both.select("node", "ref", "n", F.size("differ").alias("d"), least.alias("need"), F.inline("differ"))
+    both = both.select("node", "ref", "far", F.size("tokens").alias("n"), F.size("first").alias("m"), F.concat(*differ).alias("differ"))
+    least = F.when(F.col("far"), (100 - percent) * F.col("m") / (100 + percent)).otherwise(
+        ((100 + percent) * F.size("differ") + (100 - percent) * (F.col("m") - F.col("n"))) / (2 * (100 + percent)))
+    need = F.floor(least).cast("int") + 1
+    rows = both.select("node", "ref", "far", "n", F.size("differ").alias("d"), need.alias("need"), F.inline("differ"))
     rows = stage_table(rows, "differences")
     key = ["ref", "token", "side"]
     rows = rows.join(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("often")), key)
-    order = Window.partitionBy("node").orderBy("often", "side", "token")
+    order = Window.partitionBy("node", "ref").orderBy("often", "side", "token")
     rows = rows.withColumn("place", F.row_number().over(order) - 1).withColumn(
         "before", F.sum((F.col("often") > 1).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    rows = rows.filter("often > 1 and place <= d - need").select(
-        *key, "node", "n", "d", F.coalesce("before", F.lit(0)).alias("before"), (F.col("d") - F.col("place") - 1).alias("after"))
-    rows = stage_table(rows, "rare-differences")
-    a, b = rows.alias("a"), rows.alias("b")
+    rows = rows.withColumn("early", F.col("place") <= F.col("d") - F.col("need")).filter("often > 1 and (far or early)")
+    rows = rows.select(*key, "node", "far", "n", "d", "early", F.coalesce("before", F.lit(0)).alias("before"),
+                       (F.col("d") - F.col("place") - 1).alias("after"))
+    return stage_table(rows, "rare-differences")
+
+
+def _sharing(a: DataFrame, b: DataFrame, percent: int, *also: Column) -> DataFrame:
+    """Each pair of rows of `_differences` (a, b) that may be the first difference which linked sets share."""
     common = F.least("a.before", "b.before") + 1 + F.least("a.after", "b.after")
-    room = (100 + percent) * (F.col("a.d") + F.col("b.d") - 2 * common) <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
-    same = F.col("a.node") < F.col("b.node")
-    for name in key:
-        same &= F.col(f"a.{name}") == F.col(f"b.{name}")
-    return a.join(b, same & room).select(F.col("a.node").alias("asks"), F.col("b.node").alias("holds")).distinct()
+    fits = (100 + percent) * (F.col("a.d") + F.col("b.d") - 2 * common) <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
+    for condition in (*(F.col(f"a.{name}") == F.col(f"b.{name}") for name in ("ref", "token", "side")), *also):
+        fits &= condition
+    return a.alias("a").join(b.alias("b"), fits)
+
+
+def _same_head_pairs(differences: DataFrame, percent: int) -> DataFrame:
+    """Pairs (asks, holds) of far nodes of the same head that may have a link."""
+    rows = differences.filter("far and early")
+    return _sharing(rows, rows, percent, F.col("a.node") < F.col("b.node")).select(
+        F.col("a.node").alias("asks"), F.col("b.node").alias("holds")).distinct()
+
+
+def _links_to_members(differences: DataFrame, wholes: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between far nodes and the group of their head, where a member of it is similar."""
+    met = _sharing(differences.filter("far"), differences.filter("not far"), percent).select(
+        F.col("a.node").alias("node"), F.col("b.node").alias("member"), F.col("a.ref").alias("ref")).distinct()
+    met = stage_table(met, "met-members")
+    members = _only(wholes, met, "member").select(F.col("node").alias("member"), F.col("tokens").alias("held"))
+    both = met.join(_only(wholes, met).select("node", "tokens"), "node").join(members, "member")
+    return both.filter(_similar(F.col("tokens"), F.col("held"), percent)).select(F.col("node").alias("a"), F.col("ref").alias("b")).distinct()
 
 
 def _candidate_groups(grouped: DataFrame, prefixes: DataFrame, percent: int, refs: DataFrame) -> DataFrame:
     """Pairs of groups that share an index token: asks (the one with fewer members) and holds. With a token come the most
     tokens that a member may share with another set before and after it. All common index tokens of linked sets leave
     room for a link; a pair that does not get it from a token, such as copies with many changes of their own, does not meet
-    there, nor do two with the same head in `refs`. Tokens of a group of one are distinct already and are not shuffled to
+    there, nor do two with the same head in `refs` or one with its head's group. Tokens of a group of one are distinct already and are not shuffled to
     merge them. The index is written, so that joining it with itself shuffles it once."""
     members = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     prefixes = prefixes.join(grouped, "node").join(members, "grp").join(refs, "node", "left")
@@ -385,5 +425,7 @@ def _meeting(index: DataFrame, percent: int) -> DataFrame:
     fits = (F.col("a.grp") < F.col("b.grp")) & (percent * F.col("a.least") <= 100 * F.col("b.most")) & (
         percent * F.col("b.least") <= 100 * F.col("a.most")) & (
         100 * common >= percent * (F.col("a.least") + F.col("b.least") - common)) & (
-        F.col("a.ref").isNull() | F.col("b.ref").isNull() | (F.col("a.ref") != F.col("b.ref")))
+        F.col("a.ref").isNull() | F.col("b.ref").isNull() | (F.col("a.ref") != F.col("b.ref"))) & (
+        F.col("a.ref").isNull() | (F.col("a.ref") != F.col("b.grp"))) & (
+        F.col("b.ref").isNull() | (F.col("b.ref") != F.col("a.grp")))
     return a.join(b, (F.col("a.token") == F.col("b.token")) & fits)

@@ -390,6 +390,37 @@ def test_anchors_are_shuffled_packed(monkeypatch):
     assert [b.num_rows for b in repeats._repeated(iter([]))] == [0]
 
 
+def test_far_copies_meet_the_members_of_their_heads_group(spark, monkeypatch):
+    """Copies too far from the head are linked with it through members of its group only, and meet no whole group."""
+    draw, base, found, whole = random.Random(3), [f"w{i}" for i in range(300)], [], jaccard._candidate_groups
+    members = [draw.sample(range(2, 298, 4), i % 7) for i in range(60)]
+    far = [draw.sample(range(2, 298, 4), 9) for _ in range(25)]
+    far += [c + draw.sample([k for k in range(2, 298, 4) if k not in c], 4) for c in members if len(c) == 5][:4]
+    texts = []
+    for i, places in enumerate(far + members):
+        copy = list(base)
+        for k in places:
+            copy[k] = f"other{k}" if k % 8 else f"own{i}x{k}"
+        texts.append((i, " ".join(copy), None, None, 0))
+
+    def counted(*args):
+        found.append(whole(*args))
+        return found[0]
+
+    monkeypatch.setattr(jaccard, "_candidate_groups", counted)
+    docs = spark.createDataFrame(texts, SCHEMA)
+    got = {r.doc_id: r.component_id for r in jaccard.linked_components(docs).collect()}
+    sets = {i: {tuple(t.split()[k:k + 4]) for k in range(297)} for i, t, *_ in texts}
+    least = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    group = [least[i] for i in sets if i >= len(far)]
+    assert got == least and max(group.count(x) for x in group) > 50 and 4 <= sum(least[i] in group for i in range(len(far))) < 29
+    assert found[0].count() < 10    # no far copy meets the group
+
+
 @pytest.mark.parametrize("operator", ["written_components", "one_of_each", "without_repeats"])
 def test_tables_on_the_way_are_removed(spark, operator):
     """What an operator wrote on its way to its result goes with the step, not with the job."""
