@@ -34,24 +34,34 @@ def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start += n
 
 
-#: Size of a bit table, whatever the data: 8 MB.
+#: Size of a bit table whose values are not counted: 8 MB. A larger one has 8 bits or more a value, 128 MB at most.
 BITS = 1 << 26
+MOST_BITS = 1 << 30
+#: Words of a bit table that come to the driver at once.
+SLICE = 1 << 22
 
 
-def bit_table(hashes: DataFrame) -> np.ndarray:
-    """A table of BITS bits, as 64-bit words, with the bit of every value of the only column (long) set. It tells which
-    rows cannot match; the more values, the fewer it spares."""
-    value = F.col(hashes.columns[0])
-    words = hashes.select(F.shiftright(value.bitwiseAND(F.lit(BITS - 1)), 6).alias("word"),
+def bits_for(values: int) -> int:
+    """The bits of a table for so many values."""
+    return min(MOST_BITS, max(BITS, 1 << (8 * values - 1).bit_length()))
+
+
+def bit_table(hashes: DataFrame, bits: int | None = None) -> np.ndarray:
+    """A table of BITS bits, or so many (a power of two), as 64-bit words, with the bit of every value of the only column
+    (long) set. It tells which rows cannot match; the more values, the fewer it spares."""
+    bits, value = bits or BITS, F.col(hashes.columns[0])
+    words = hashes.select(F.shiftright(value.bitwiseAND(F.lit(bits - 1)), 6).alias("word"),
                           F.call_function("shiftleft", F.lit(1).cast("long"), value.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    table = np.zeros(BITS >> 6, np.uint64)
-    table[found["word"].to_numpy().astype(np.int64)] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    table = np.zeros(bits >> 6, np.uint64)
+    for start in range(0, len(table), SLICE):
+        some = words if len(table) <= SLICE else words.filter(F.col("word").between(start, start + SLICE - 1))
+        found = some.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        table[found["word"].to_numpy().astype(np.int64)] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return table
 
 
 def has_bit(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = (hashes.astype(np.uint64) & np.uint64(BITS - 1))
+    slot = (hashes.astype(np.uint64) & np.uint64(64 * len(table) - 1))
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 

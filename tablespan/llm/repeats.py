@@ -15,11 +15,13 @@ array of a whole corpus fits one machine, so suffixes are first dealt into block
    smallest document of a class decides.
 4. Occurrences take the spans of their regions; each document's spans are united and cut.
 
-A bit table (`common.BITS`) tells, before the second shuffle, which anchors can be shared. Its size is fixed; with more shared
-anchors than bits it spares less but changes no result. A block holds about BLOCK regions, beyond that anchors of one
-document are dealt over several. An anchor with more than BLOCK regions of its own (a phrase of many documents between
-different neighbours) goes to no block: equal windows have it at the same place, so its windows are dealt by their
-hashes, the smallest document of each distinct window is reduced task by task, and no task gathers the anchor's regions.
+A bit table tells, before the second shuffle, which anchors can be shared. It has two bits for an anchor and grows with
+their number up to `common.MOST_BITS`; beyond that it spares less but changes no result. Tables staged on the way to a
+step's result go when that is written, so disk holds the occurrences and the tables of one step at a time. A block holds
+about BLOCK regions, beyond that anchors of one document are dealt over several. An anchor with more than BLOCK regions
+of its own (a phrase of many documents between different neighbours) goes to no block: equal windows have it at the same
+place, so its windows are dealt by their hashes, the smallest document of each distinct window is reduced task by task,
+and no task gathers the anchor's regions.
 
 Defined results: a null text is empty and stays as it is; texts shorter than WINDOW bytes lose nothing; rows of the same
 doc_id never remove from each other; a null doc_id counts as larger than any other; columns besides doc_id and text
@@ -37,12 +39,14 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablespan.llm.common import bit_table, bucketed_table, has_bit, may_be_in, stage_alone, stage_table, text_blocks
+from tablespan.llm.common import bit_table, bits_for, bucketed_table, has_bit, may_be_in, stage_alone, stage_table, text_blocks
 from tablespan.llm.shingles import mix, text_bytes
 from tablespan.llm.suffixes import suffix_array
+from tablespan.scratch import removed_after
 
 WINDOW, KEY = 50, 24
 AROUND = WINDOW - KEY
@@ -138,11 +142,20 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(again[first])], names=["anchor"])
 
 
-def _occurrences(bits: np.ndarray):
+def _anchor_bits(found: DataFrame, tasks: int) -> np.ndarray:
+    """The bit table of the anchors that come more than once: the lower and the upper half of each are two values."""
+    with removed_after(found.sparkSession):
+        shared = stage_table(found.repartition(tasks, "part").mapInArrow(_repeated, "anchor long"), "shared")
+        halves = F.array("anchor", F.shiftrightunsigned("anchor", 32))
+        return bit_table(shared.select(F.explode(halves).alias("half")), bits_for(shared.count()))
+
+
+def _occurrences(bits: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
             body, at, hashes, owner, place = anchors(batch.column(1))
-            may = has_bit(bits, hashes)
+            may = np.flatnonzero(has_bit(bits.value, hashes))
+            may = may[has_bit(bits.value, hashes[may] >> np.uint64(32))]
             hashes, owner, place = hashes[may], owner[may], place[may]
             left = np.maximum(at[owner], place - AROUND)
             right = np.minimum(at[owner + 1], place + KEY + AROUND)
@@ -262,7 +275,7 @@ def shared_spans(rows: pd.DataFrame) -> pd.DataFrame:
     edge = np.ones(len(found), bool)
     edge[1:] = (found[1:] != found[:-1]) | (offset[1:] == 0)
     begin = np.flatnonzero(edge)
-    end = np.append(begin[1:], len(found)) - 1
+    end = np.append(begin[1:], len(found))[:len(begin)] - 1    # none in a block without a window
     whose = np.repeat(regions, size)[begin]
     out = pd.DataFrame({"anchor": anchor[whose], "region": np.array(region, np.int64)[whose], "begin": offset[begin] - before[whose],
                         "end": offset[end] - before[whose] + WINDOW, "least": found[begin]})
@@ -335,59 +348,89 @@ def _covered(texts: DataFrame) -> DataFrame:
     copied = copies.filter("original < doc").select("doc", "digest", whole.alias("spans")).distinct()
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = originals.select("doc", "text").mapInArrow(_documents_of_anchors(4 * tasks), "part int, anchors binary")
-    shared = stage_table(found.repartition(tasks, "part").mapInArrow(_repeated, "anchor long"), "shared")
-    occurrences = originals.mapInArrow(_occurrences(bit_table(shared)), "anchor long, region long, doc long, digest long, pos long")
+    bits = spark.sparkContext.broadcast(_anchor_bits(
+        originals.select("doc", "text").mapInArrow(_documents_of_anchors(4 * tasks), "part int, anchors binary"), tasks))
+    occurrences = originals.mapInArrow(_occurrences(bits), "anchor long, region long, doc long, digest long, pos long")
     occurrences = bucketed_table(occurrences, ["anchor", "region"], "occurrences")
+    bits.destroy()
+    spans = stage_alone(spark, lambda: _spans(texts, occurrences), "spans")
+    covered = occurrences.join(spans, ["anchor", "region"]).filter("least < doc").groupBy("doc", "digest").agg(
+        F.collect_set(F.struct((F.col("pos") + F.col("begin")).alias("a"), (F.col("pos") + F.col("end")).alias("b"))).alias("spans"))
+    return covered.unionByName(copied)
+
 
+def _spans(texts: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """Spans of the regions of anchors that several documents have."""
+    spark = texts.sparkSession
+    regions = stage_alone(spark, lambda: _shared_regions(occurrences), "shared-regions")
+    settled = regions.filter("n = 1").select(
+        "anchor", "region", F.lit(-AROUND).cast("long").alias("begin"), F.lit(KEY + AROUND).cast("long").alias("end"),
+        F.col("lo").alias("least"))
+    common = regions.filter(F.col("n") > BLOCK)
+    by_window = None if common.isEmpty() else stage_alone(spark, lambda: _spans_by_window(texts, common), "spans-by-window")
+    by_order = _spans_by_order(texts, regions.filter((F.col("n") > 1) & (F.col("n") <= BLOCK)))
+    spans = settled.unionByName(by_order)
+    return spans if by_window is None else spans.unionByName(by_window)
+
+
+def _shared_regions(occurrences: DataFrame) -> DataFrame:
+    """The regions of anchors of several documents: their smallest and largest document, how many regions the anchor has,
+    and if it has more than one, its smallest document and where the region's text is."""
     where = F.struct("doc", "digest", "pos")
     regions = occurrences.groupBy("anchor", "region").agg(F.min(where).alias("at"), F.max("doc").alias("hi"))
     regions = stage_table(regions.select("anchor", "region", F.col("at.doc").alias("lo"), "hi", "at"), "regions")
     met = regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("first"), F.max("hi").alias("last"))
-    met = stage_table(met.filter("first < last"), "shared-by-documents")
-    settled = regions.join(met.filter("n = 1").select("anchor"), "anchor").select(
-        "anchor", "region", F.lit(-AROUND).cast("long").alias("begin"), F.lit(KEY + AROUND).cast("long").alias("end"),
-        F.col("lo").alias("least"))
-    by_order = _spans_by_order(texts, regions.join(met.filter((F.col("n") > 1) & (F.col("n") <= BLOCK)), "anchor"))
-    common = stage_table(regions.join(met.filter(F.col("n") > BLOCK).select("anchor"), "anchor"), "common-anchors")
-    spans = settled.unionByName(by_order)
-    if not common.isEmpty():
-        spans = spans.unionByName(_spans_by_window(texts, common))
-    spans = stage_table(spans, "spans")
-    covered = occurrences.join(spans, ["anchor", "region"]).filter("least < doc").groupBy("doc", "digest").agg(
-        F.collect_set(F.struct((F.col("pos") + F.col("begin")).alias("a"), (F.col("pos") + F.col("end")).alias("b"))).alias("spans"))
-    return covered.unionByName(copied)
+    met = stage_table(met.filter("first < last").drop("last"), "shared-by-documents")
+    several = [F.when(F.col("n") > 1, F.col(c)).alias(c) for c in ("first", "at")]
+    return regions.join(met, "anchor").select("anchor", "region", "lo", "hi", "n", *several)
 
 
 def _spans_by_order(texts: DataFrame, open_regions: DataFrame) -> DataFrame:
     """Spans of regions whose anchors have several, by suffix order within blocks."""
-    rows = stage_table(open_regions.select("anchor", "region", "lo", "hi", "at.*", F.col("first").alias("block")), "open-regions")
-    buckets = max(1, -(-rows.count() // BLOCK))
-    parts = rows.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("anchor"), F.col("parts"))).otherwise(0)
-    rows = rows.join(parts, "block").withColumn("bucket", F.pmod(F.xxhash64("block", part), F.lit(buckets)).cast("long"))
     columns = "bucket long, anchor long, region long, lo long, hi long, doc long, digest long, pos long, left long, bytes binary"
-    pieces = _listed(texts, rows, ["bucket", "anchor", "region", "lo", "hi", "doc", "digest", "pos"]).mapInArrow(_region_texts, columns)
-    return pieces.groupBy("bucket").applyInPandas(
+    fields = ["bucket", "anchor", "region", "lo", "hi", "doc", "digest", "pos"]
+
+    def dealt() -> DataFrame:
+        rows = open_regions.select("anchor", "region", "lo", "hi", "at.*", F.col("first").alias("block"))
+        buckets = max(1, -(-rows.count() // BLOCK))
+        parts = rows.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")).filter("parts > 1")
+        part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("anchor"), F.col("parts"))).otherwise(0)
+        rows = rows.join(stage_table(parts, "large-blocks"), "block", "left")
+        return _by_document(rows.withColumn("bucket", F.pmod(F.xxhash64("block", part), F.lit(buckets)).cast("long")), fields)
+
+    def pieces() -> DataFrame:
+        return _with_texts(texts, stage_alone(texts.sparkSession, dealt, "listed-regions")).mapInArrow(_region_texts, columns)
+
+    return stage_alone(texts.sparkSession, pieces, "pieces").groupBy("bucket").applyInPandas(
         shared_spans, "anchor long, region long, begin long, end long, least long")
 
 
-def _listed(texts: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
+def _by_document(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """The list of the rows of each document that has any."""
+    return rows.groupBy("doc", "digest").agg(F.collect_list(F.struct(*fields)).alias("regions"))
+
+
+def _with_texts(texts: DataFrame, listed: DataFrame) -> DataFrame:
     """text, and the list of its document's rows, of documents that have any."""
-    listed = rows.groupBy("doc", "digest").agg(F.collect_list(F.struct(*fields)).alias("regions"))
-    listed = stage_table(listed, "listed-regions")
     needed = may_be_in(bit_table(listed.select(F.xxhash64("doc"))), F.xxhash64("doc"), texts.sparkSession)
     return texts.select("doc", "digest", "text").filter(needed).join(listed, ["doc", "digest"]).select("text", "regions")
 
 
 def _spans_by_window(texts: DataFrame, regions: DataFrame) -> DataFrame:
     """Spans of the regions of common anchors: each distinct window is a group of its own, over all tasks."""
-    key = ["anchor", "begin", "window"]
-    rows = _listed(texts, regions.select("anchor", "region", "lo", "hi", "at.*"), ["anchor", "region", "lo", "hi", "pos"])
-    windows = stage_table(rows.mapInArrow(_region_windows, "anchor long, region long, lo long, hi long, begin long, window long"), "windows")
+    key, spark = ["anchor", "begin", "window"], texts.sparkSession
+
+    def listed() -> DataFrame:
+        return _by_document(regions.select("anchor", "region", "lo", "hi", "at.*"), ["anchor", "region", "lo", "hi", "pos"])
+
+    def every_window() -> DataFrame:
+        rows = _with_texts(texts, stage_alone(spark, listed, "listed-regions"))
+        return rows.mapInArrow(_region_windows, "anchor long, region long, lo long, hi long, begin long, window long")
+
+    windows = stage_alone(spark, every_window, "windows")
     classes = windows.groupBy(key).agg(F.min("lo").alias("least"), F.max("hi").alias("last"))
     classes = stage_table(classes.filter("least < last").drop("last"), "window-classes")
-    may = may_be_in(bit_table(classes.select(F.xxhash64(*key))), F.xxhash64(*key), texts.sparkSession)
+    may = may_be_in(bit_table(classes.select(F.xxhash64(*key)), bits_for(classes.count())), F.xxhash64(*key), spark)
     found = windows.filter(may).join(classes, key).filter("least < hi")
     # runs of windows with the same smallest document, within a region
     nth = F.dense_rank().over(Window.partitionBy("anchor", "region", "least").orderBy("begin"))

@@ -15,7 +15,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import cache
 
@@ -79,21 +80,39 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written_alone(spark: SparkSession, steps: Callable[[], DataFrame], label: str) -> DataFrame:
-    """What `steps` returns, written and read back as by `written_table`. The tables that `steps` wrote are removed then,
-    so nothing else that reads them may leave `steps`."""
+@contextmanager
+def _noting() -> Iterator[dict[str, str | None]]:
     noted: dict[str, str | None] = {}
     outer = _on_the_way.set(noted)
     try:
-        df = steps()
+        yield noted
     finally:
         _on_the_way.reset(outer)
+
+
+@contextmanager
+def removed_after(spark: SparkSession) -> Iterator[None]:
+    """The tables written inside are removed at the end, so nothing that reads them may be used afterwards."""
+    with _noting() as noted:
+        yield
+    _remove_noted(spark, noted)
+
+
+def written_alone(spark: SparkSession, steps: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What `steps` returns, written and read back as by `written_table`. The tables that `steps` wrote are removed then,
+    so nothing else that reads them may leave `steps`."""
+    with _noting() as noted:
+        df = steps()
     table = written_table(df, label)
+    _remove_noted(spark, noted)
+    return table
+
+
+def _remove_noted(spark: SparkSession, noted: dict[str, str | None]) -> None:
     for path, name in noted.items():
         if name:
             spark.sql(f"DROP TABLE IF EXISTS `{name}`")
         _remove(spark, path)
-    return table
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

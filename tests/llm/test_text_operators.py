@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablespan.llm import jaccard, langid, packing, repeats, rules, shingles, suffixes, weak_labels, words
+from tablespan import scratch
+from tablespan.llm import common, jaccard, langid, packing, repeats, rules, shingles, suffixes, weak_labels, words
 from tablespan.scratch import shared_folder
 from tests.llm.fixtures import SCHEMA, documents, lowered, rows, words_of
 
@@ -431,3 +432,55 @@ def test_tables_on_the_way_are_removed(spark, operator):
     rows = getattr(repeats if operator == "without_repeats" else jaccard, operator)(docs).count()
     assert rows and len(set(folder.glob("*")) - before) == 1
     assert {t.name for t in spark.catalog.listTables()} == names
+
+
+def test_filter_of_anchors_grows_with_them(spark, monkeypatch):
+    """More anchors are shared than the least table has bits; those of one document only still do not travel."""
+    draw, written, whole = random.Random(8), [], repeats.bucketed_table
+    texts = ["".join(draw.choice("abcdefgh ") for _ in range(800)) for _ in range(300)]
+    data = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t[:200] + "#" + t[500:550][::-1]) for i, t in enumerate(texts)]
+    count = Counter(a for _, t in data for a in set(repeats.anchors(pa.array([t]))[2].tolist()))
+    wanted = sum(count[a] > 1 for _, t in data for a in repeats.anchors(pa.array([t]))[2].tolist())
+
+    def counted(*args):
+        table = whole(*args)
+        written.append(table.count())
+        return table
+
+    monkeypatch.setattr(common, "BITS", 1 << 10)
+    monkeypatch.setattr(repeats, "bucketed_table", counted)
+    found = repeats.without_repeats(spark.createDataFrame(data, "doc_id long, text string"))
+    rows = sorted(repr(tuple(r)) for r in found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    assert rows == removed(data)
+    assert sum(c > 1 for c in count.values()) > 1 << 10 and wanted <= written[0] < 1.2 * wanted < 0.5 * sum(count.values())
+
+
+@pytest.mark.parametrize("slice_", [common.SLICE, 16])
+def test_bit_table(spark, monkeypatch, slice_):
+    monkeypatch.setattr(common, "SLICE", slice_)
+    values = [-(1 << 63), -5, 0, 1, 77, 4095, 4096, (1 << 63) - 1]
+    table = common.bit_table(spark.createDataFrame([(v,) for v in values], "v long"), 1 << 12)
+    asked = np.array([*values, 2, 78, 4094, -6], np.int64)
+    assert common.has_bit(table, asked).tolist() == [True] * 8 + [False, False, False, False]
+    assert [common.bits_for(n) for n in (0, 1 << 23, (1 << 23) + 1, 1 << 40)] == [1 << 26, 1 << 26, 1 << 27, 1 << 30]
+
+
+def test_tables_of_finished_steps_are_removed(spark, monkeypatch):
+    """What op10 wrote for one step does not lie on disk during the next."""
+    folder, there, made = Path(shared_folder(spark).removeprefix("file:")) / "tablespan", {}, scratch.new_path
+    before = set(folder.glob("*"))
+
+    def noted(session, label):
+        there[label] = {p.name.rpartition("-")[0] for p in set(folder.glob("*")) - before}
+        return made(session, label)
+
+    monkeypatch.setattr(scratch, "new_path", noted)
+    monkeypatch.setattr(repeats, "BLOCK", 20)
+    phrase, other = "the phrase that all of them hold", "a passage of some more than fifty bytes that a few have"
+    data = [(i, f"{i * 7919:040d} {phrase} {i * 104729:040d}" + (other + f"{i % 3}") * (i % 9 == 0)) for i in range(90)]
+    found = repeats.without_repeats(spark.createDataFrame(data, "doc_id long, text string"))
+    rows = sorted(repr(tuple(r)) for r in found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    assert rows == removed(data)
+    assert there["spans-by-window"] <= {"copies", "occurrences", "shared-regions", "windows", "window-classes"}
+    assert there["spans"] == {"copies", "occurrences", "shared-regions", "spans-by-window", "pieces"}
+    assert there["covered"] == {"copies", "occurrences", "spans"}
